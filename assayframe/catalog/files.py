@@ -1 +1,210 @@
-QUERIES = {}
+"""Sources, sinks, run history and the stream, over files written from the tables."""
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from assayframe.catalog.base import Query, table, with_tables
+from assayframe.catalog.oracle import REPORT, report_sql, results_sql, scores_sql
+from assayframe.catalog.quality import CUSTOMER_COLUMNS, CUSTOMER_RULES, ORDER_COLUMNS, ORDER_RESULTS, ORDER_RULES
+from assayframe.catalog.repair import COLUMNS, PLAN, RULES, _RESULTS, _steps_union, STEP_SQL, dirty
+from assayframe.operators.checks import run_checks
+from assayframe.operators.report import build_report, build_summary, scores
+from assayframe.plans import history, ladder
+from assayframe.plans.validate import validate_source
+from assayframe.rules import Config, DatasetSettings, Rules
+from assayframe.session import materialise, scratch_path
+from assayframe.sources import files, sinks
+from assayframe.streaming.revalidate import batch_history, revalidate
+
+RUN_TS = ("2001-06-28 10:00:00", "2001-06-29 10:00:00", "2001-06-30 10:00:00")
+ORDER_DTYPES = {"order_number": "Int64", "total": "float64", "customer_id": "str", "absent": "str"}
+
+
+def _orders_csv(spark, sf):
+    path = scratch_path(spark, "orders") + ".csv"
+    sinks.write_csv(table(spark, sf, "dirty_orders"), path)
+    return path
+
+
+def _csv_load(spark, sf):
+    return files.load_dataset(spark, _orders_csv(spark, sf), ORDER_DTYPES)
+
+
+def _csv_text(spark, sf):
+    return files.load_text(spark, _orders_csv(spark, sf))
+
+
+def _csv_validate(spark, sf):
+    path = _orders_csv(spark, sf)
+    config = Config(DatasetSettings(input_path=path, dtypes=ORDER_DTYPES), ORDER_RULES)
+    return validate_source(spark, config).report
+
+
+def _scenario_files(spark, sf):
+    """One CSV per order status, scored by file in one run."""
+    root = scratch_path(spark, "scenarios")
+    df = table(spark, sf, "dirty_orders")
+    for priority in ("1-URGENT", "2-HIGH", "5-LOW"):
+        sinks.write_csv(df.filter(F.col("priority") == priority), f"{root}/{priority}.csv")
+    loaded = files.load_scenarios(spark, root)
+    return scores(run_checks(loaded, FILE_RULES, by=["scenario"]), by=["scenario"])
+
+
+FILE_RULES = Rules(
+    required_columns=("order_id", "amount"),
+    non_null_columns=("order_id", "customer_id", "amount"),
+    unique_columns=("order_id",),
+    positive_numeric_columns=("amount", "total"),
+    date_columns=("order_date",),
+    null_thresholds={"status": 0.04},
+)
+
+
+def _table_loop(spark, sf):
+    """Store a table, then validate it by name."""
+    name = f"customers_{uuid.uuid4().hex[:8]}"
+    sinks.overwrite_table(table(spark, sf, "customer"), name)
+    try:
+        run = validate_source(spark, Config(checks=CUSTOMER_RULES), table=name)
+        return build_report(materialise(run.results.coalesce(1), "loop"))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _append_rows(spark, sf):
+    """A table filled, replaced and appended to: rows written and rows kept."""
+    name = f"parts_{uuid.uuid4().hex[:8]}"
+    df = table(spark, sf, "part")
+    sinks.create_tables(spark, {name: df.schema})
+    try:
+        sinks.replace_rows(df, name)
+        replaced = sinks.replace_rows(df, name)
+        appended = sinks.replace_rows(df, name, append=True)
+        return materialise(spark.table(name).groupBy("p_type").agg(
+            F.count(F.lit(1)).alias("kept"),
+            F.lit(replaced).cast("bigint").alias("replaced"),
+            F.lit(appended).cast("bigint").alias("appended")), "rows")
+    finally:
+        sinks.drop_tables(spark, {name: df.schema})
+
+
+def _publish(spark, sf):
+    """Three published runs over ever stricter rules."""
+    root = scratch_path(spark, "runs")
+    df = table(spark, sf, "customer")
+    for i, stamp in enumerate(RUN_TS):
+        rules = RUN_RULES[i]
+        results = materialise(run_checks(df, rules).coalesce(1), "results")
+        summary = build_summary(results, f"sql://customer-{i}", stamp)
+        sinks.publish_run(results, summary, root, f"run-{i}")
+    return root
+
+
+RUN_RULES = (
+    Rules(non_null_columns=CUSTOMER_COLUMNS),
+    Rules(non_null_columns=CUSTOMER_COLUMNS, unique_columns=("c_nationkey",)),
+    CUSTOMER_RULES,
+)
+
+
+def _runs(spark, sf):
+    return history.find_runs(spark, _publish(spark, sf) + "/summary", "*.json")
+
+
+def _published(spark, sf):
+    runs = history.published_runs(spark, _publish(spark, sf))
+    return runs.withColumn("failed_checks", F.array_join(F.transform(
+        "failed_checks", lambda c: F.concat_ws(":", c["check_name"], c["column_name"])), "; "))
+
+
+def _ladder_files(spark, sf):
+    """Ladder steps written as CSV, read back by file and scored again."""
+    root = scratch_path(spark, "ladder")
+    frames = ladder.ladder_frames(dirty(spark, sf), PLAN)
+    for step, frame in frames.items():
+        sinks.write_csv(frame, f"{root}/{step}.csv")
+    loaded = files.load_scenarios(spark, root, "step")
+    return scores(run_checks(loaded, RULES, by=["step"]), by=["step"])
+
+
+def _stream(spark, sf):
+    """Orders arriving as one file per batch; the scored batches summed up."""
+    root = scratch_path(spark, "stream")
+    df = table(spark, sf, "dirty_orders").select("order_id", "amount", "order_date", "priority")
+    df.repartition(3).write.parquet(f"{root}/in")
+    query = revalidate(
+        spark, f"{root}/in", df.schema, STREAM_RULES, f"{root}/history", f"{root}/checkpoint",
+        files_per_batch=1)
+    query.awaitTermination()
+    return batch_history(spark, f"{root}/history").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("row_count").alias("row_count"),
+        F.sum("checks_total").alias("checks_total"), F.max("checks_failed").alias("checks_failed"))
+
+
+STREAM_RULES = Rules(non_null_columns=("order_id",), positive_numeric_columns=("amount",),
+                     date_columns=("order_date",), null_thresholds={"priority": 0.5})
+
+_TOKENS = "('', 'nan')"
+
+
+def _run_sql(i: int) -> str:
+    results = results_sql("customer", RUN_RULES[i], CUSTOMER_COLUMNS)
+    return f"""SELECT 'run-{i}' AS run, CAST('{RUN_TS[i]}' AS TIMESTAMP) AS run_at, 'sql://customer-{i}' AS input_file,
+      MAX(row_count) AS row_count, COUNT(*) AS checks_total, COUNT(CASE WHEN status = 'PASS' THEN 1 END) AS checks_passed,
+      COUNT(CASE WHEN status <> 'PASS' THEN 1 END) AS checks_failed,
+      round_even(COUNT(CASE WHEN status = 'PASS' THEN 1 END) * 100.0 / COUNT(*), 2) AS quality_score,
+      COALESCE(string_agg(check_name || ':' || column_name, '; ' ORDER BY seq) FILTER (WHERE status <> 'PASS'), '') AS failed_checks
+    FROM ({results})"""
+
+
+RUNS_SQL = " UNION ALL ".join(_run_sql(i) for i in range(3))
+_NUMBERS = "row_count, checks_total, checks_passed, checks_failed, quality_score"
+
+QUERIES = {
+    "csv_typed_scan": Query(_csv_load, with_tables(f"""
+        SELECT order_id, customer_id, CASE WHEN amount NOT IN {_TOKENS} THEN amount END AS amount, order_date,
+          status, priority, order_number, total FROM dirty_orders""", "dirty_orders")),
+    "csv_text_scan": Query(_csv_text, with_tables("""
+        SELECT COALESCE(order_id, '') AS order_id, COALESCE(customer_id, '') AS customer_id,
+          COALESCE(amount, '') AS amount, COALESCE(order_date, '') AS order_date, COALESCE(status, '') AS status,
+          COALESCE(priority, '') AS priority, CAST(order_number AS VARCHAR) AS order_number,
+          CAST(total AS VARCHAR) AS total FROM dirty_orders""", "dirty_orders")),
+    "csv_validate": Query(_csv_validate, with_tables(
+        "WITH nulled AS (SELECT * REPLACE (CASE WHEN amount NOT IN ('', 'nan') THEN amount END AS amount) FROM dirty_orders) "
+        + report_sql("nulled", ORDER_RULES, ORDER_COLUMNS), "dirty_orders")),
+    "csv_scenario_files": Query(_scenario_files, with_tables(
+        f"""WITH nulled AS (SELECT * REPLACE (CASE WHEN amount NOT IN ('', 'nan') THEN amount END AS amount),
+          priority AS scenario FROM dirty_orders WHERE priority IN ('1-URGENT', '2-HIGH', '5-LOW'))
+        {scores_sql(results_sql('nulled', FILE_RULES, ORDER_COLUMNS, by='scenario'), 'scenario')}""", "dirty_orders")),
+    "table_validate": Query(_table_loop, report_sql("customer", CUSTOMER_RULES, CUSTOMER_COLUMNS)),
+    "table_replace_append": Query(_append_rows, """
+        SELECT p_type, COUNT(*) * 2 AS kept, (SELECT COUNT(*) FROM part) AS replaced,
+          (SELECT COUNT(*) FROM part) AS appended FROM part GROUP BY p_type"""),
+    "report_file": Query(
+        lambda spark, sf: history.run_report(spark, _publish(spark, sf), "run-2"),
+        report_sql("customer", CUSTOMER_RULES, CUSTOMER_COLUMNS)),
+    "run_history": Query(_runs, f"""
+        SELECT 'run_id=' || run AS run_id, run_at AS generated_at, input_file, {_NUMBERS} FROM ({RUNS_SQL})"""),
+    "published_runs": Query(_published, f"""
+        SELECT run AS run_id, run_at AS generated_at_utc, input_file, {_NUMBERS}, failed_checks FROM ({RUNS_SQL})"""),
+    "run_inventory": Query(
+        lambda spark, sf: history.inventory(_runs(spark, sf), "Europe/Amsterdam"), f"""
+        SELECT 'run_id=' || run AS run_id, 'run_id=' || run || ' | ' || strftime(run_at + INTERVAL 2 HOUR, '%d %b %Y %H:%M') AS label,
+          quality_score, checks_failed, strftime(run_at + INTERVAL 2 HOUR, '%d %b %Y %H:%M') AS generated_local
+        FROM ({RUNS_SQL})"""),
+    "run_trend": Query(
+        lambda spark, sf: history.trend(_runs(spark, sf)), f"""
+        SELECT 'run_id=' || run AS run_id, run_at AS generated_at, quality_score, checks_failed, checks_passed,
+          COALESCE(round_even(quality_score - LAG(quality_score) OVER (ORDER BY run_at), 2), 0) AS score_delta,
+          COALESCE(checks_failed - LAG(checks_failed) OVER (ORDER BY run_at), 0) AS failed_delta FROM ({RUNS_SQL})"""),
+    "last_run": Query(
+        lambda spark, sf: history.last_run(_runs(spark, sf)), f"SELECT MAX(run_at) AS last_run FROM ({RUNS_SQL})"),
+    "ladder_files": Query(_ladder_files, with_tables(
+        STEP_SQL + f""", steps AS ({_steps_union()}), results AS ({_RESULTS})
+        {scores_sql('SELECT * FROM results', 'step')}""", "dirty_entities")),
+    "stream_revalidation": Query(_stream, with_tables("""
+        SELECT CAST(3 AS BIGINT) AS batches, COUNT(*) AS row_count, CAST(15 AS BIGINT) AS checks_total,
+          CAST(3 AS BIGINT) AS checks_failed FROM dirty_orders""", "dirty_orders")),
+}

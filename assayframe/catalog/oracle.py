@@ -103,3 +103,8 @@ def scores_sql(results: str, by: str) -> str:
           round_even(COUNT(CASE WHEN status = 'PASS' THEN 1 END) * 100.0 / COUNT(*), 2) AS quality_score
         FROM ({results}) GROUP BY {by}
     """
+
+
+def cycled_sql(position: str, values: Sequence[str], offset: int) -> str:
+    listed = ", ".join(map(quoted, values))
+    return f"list_value({listed})[(({position}) + {offset}) % {len(values)} + 1]"

@@ -33,18 +33,22 @@ def _require(spark: SparkSession, path: str) -> None:
 
 
 def read_text_table(
-    spark: SparkSession, path: str, multi_line: bool = False, check: bool = True
+    spark: SparkSession, path: str, multi_line: bool = False, check: bool = True,
+    folder: bool = False,
 ) -> DataFrame:
     """All columns as text, cells kept as written, absent cells as empty text.
 
     ``multi_line`` allows line breaks inside quotes and gives up splitting files.
     ``check`` reads the last column once for quotes that were never closed, which the
-    parser itself lets pass there.
+    parser itself lets pass there.  ``folder`` reads every CSV file below ``path``.
     """
-    if not str(path).rstrip("/").lower().endswith(".csv"):
+    if not folder and not str(path).rstrip("/").lower().endswith(".csv"):
         raise ValueError(f"unsupported file format: {path}; use CSV or a table")
     _require(spark, path)
-    df = spark.read.csv(
+    reader = spark.read
+    if folder:
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    df = reader.csv(
         path, header=True, quote='"', escape='"', mode="FAILFAST", multiLine=multi_line,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         nullValue="\x00none\x00", emptyValue="",
@@ -108,12 +112,9 @@ def load_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_scenarios(spark: SparkSession, directory: str, name: str = "scenario") -> DataFrame:
-    """Every CSV file of a directory in one table, labelled with its file name."""
-    path = directory.rstrip("/") + "/*.csv"
-    base = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    df = read_text_table(spark, path)
-    labelled = df.select("*", F.regexp_replace(base, r"\.csv$", "").alias(name))
-    return with_nulls(labelled)
+    """Every CSV file (or written CSV folder) of a directory, labelled with its name."""
+    label = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)\.csv(/[^/]*)?$", 1)
+    return with_nulls(read_text_table(spark, directory, folder=True).withColumn(name, label))
 
 
 def load_table(

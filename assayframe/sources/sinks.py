@@ -58,9 +58,12 @@ def replace_rows(df: DataFrame, table: str, append: bool = False) -> int:
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header.  ``single_file`` is for reports of a few rows."""
+    """CSV with a header, cells kept as they are.  ``single_file`` is for small reports."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    out.write.mode("overwrite").csv(
+        path, header=True, escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -44,4 +44,4 @@ def revalidate(
 
 def batch_history(spark: SparkSession, history: str) -> DataFrame:
     """All scored batches in order."""
-    return spark.read.parquet(history.rstrip("/") + "/*").orderBy("run_id")
+    return spark.read.parquet(history).drop("batch").orderBy("run_id")
