@@ -39,8 +39,6 @@ def _mojibake_clean(spark, sf):
     return docs.select("doc_id", parse.repair_double_encoding(F.col("text")).alias("text"))
 
 
-_AMOUNT = "amount"
-
 QUERIES = {
     # Registry key: digits of the id, padded, never cut; junk gives no key.
     "join_key": Query(
@@ -147,8 +145,8 @@ QUERIES = {
         "SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(20,2)) AS price FROM lineitem"),
     "number_parse": Query(
         lambda spark, sf: (lambda df: df.select(
-            "order_number", parse.to_number(F.col(_AMOUNT), df.schema["amount"].dataType).alias("amount"),
-            parse.is_positive(F.col(_AMOUNT), df.schema["amount"].dataType).alias("is_positive"),
+            "order_number", parse.to_number("amount", df.schema["amount"].dataType).alias("amount"),
+            parse.is_positive("amount", df.schema["amount"].dataType).alias("is_positive"),
         ))(table(spark, sf, "dirty_orders")),
         with_tables("""SELECT order_number, amount,
           COALESCE(amount > 0, FALSE) AS is_positive FROM (SELECT order_number, CASE WHEN
@@ -156,14 +154,14 @@ QUERIES = {
           THEN TRY_CAST(TRIM(amount) AS DOUBLE) END AS amount FROM dirty_orders)""", "dirty_orders")),
     "date_parse": Query(
         _on("dirty_orders", "order_number",
-            lambda: parse.to_date_text(F.col("order_date")).alias("order_date")),
+            lambda: parse.to_date("order_date").alias("order_date")),
         with_tables("""SELECT order_number, CASE WHEN regexp_matches(order_date, '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$')
           THEN CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE) END AS order_date FROM dirty_orders""",
                     "dirty_orders")),
     "null_tokens": Query(
         _on("dirty_orders", "order_number",
-            lambda: parse.null_tokens_to_null(F.col("amount")).alias("amount"),
-            lambda: parse.is_blank(F.col("amount")).alias("is_blank")),
+            lambda: parse.null_tokens_to_null("amount").alias("amount"),
+            lambda: parse.is_blank("amount").alias("is_blank")),
         with_tables("""SELECT order_number, CASE WHEN amount NOT IN ('', 'nan') THEN amount END AS amount,
           TRIM(COALESCE(amount, '')) = '' AS is_blank FROM dirty_orders""", "dirty_orders")),
     # Text damaged on the way in must come out as it was written.

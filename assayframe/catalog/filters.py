@@ -70,7 +70,7 @@ QUERIES = {
                     "entities")),
     "filter_blank": Query(
         lambda spark, sf: table(spark, sf, "dirty_entities").filter(
-            is_blank(F.col("name")) | is_blank(F.col("entity_key"))).select("position", "name", "entity_key"),
+            is_blank("name") | is_blank("entity_key")).select("position", "name", "entity_key"),
         with_tables("""SELECT position, name, entity_key FROM dirty_entities
         WHERE TRIM(name) = '' OR TRIM(entity_key) = ''""", "dirty_entities")),
     "facet_filter": Query(

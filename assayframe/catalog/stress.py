@@ -110,7 +110,7 @@ QUERIES = {
         """SELECT * REPLACE (CASE WHEN p_partkey <= 24 THEN '' ELSE p_name END AS p_name), p_partkey AS row_id FROM part"""),
     "inject_dates": Query(
         lambda spark, sf: _part(spark, sf).select(
-            "p_partkey", inject.stepped_date(F.col("row_id"), "2025-01-03", 5, 520).alias("day")),
+            "p_partkey", F.expr(inject.stepped_date_sql("row_id", "2025-01-03", 5, 520)).alias("day")),
         """SELECT p_partkey, CAST(CAST(DATE '2025-01-03' + CAST((p_partkey * 5) % 520 AS INTEGER) AS DATE) AS VARCHAR) AS day
         FROM part"""),
     "replicate_rows": Query(_replicated, """

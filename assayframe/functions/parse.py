@@ -1,10 +1,16 @@
-"""Tolerant parsing: missing values, numbers, dates, damaged text."""
+"""Tolerant parsing: missing values, numbers, dates, damaged text.
+
+Functions ending in ``_sql`` take an SQL expression and return one; the others are
+their Column forms.
+"""
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assayframe.columns import list_sql, text_sql
+
 # The texts a CSV reader with default settings takes as missing.
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -24,61 +30,81 @@ def is_floating(kind: T.DataType) -> bool:
     return isinstance(kind, (T.FloatType, T.DoubleType))
 
 
-def is_missing(col: Column, kind: T.DataType) -> Column:
+def missing_sql(c: str, kind: T.DataType) -> str:
     """NULL, and NaN where the type has it.  Empty text is data, not missing."""
-    return col.isNull() | F.isnan(col) if is_floating(kind) else col.isNull()
-
-
-def null_tokens_to_null(col: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
-    return F.when(~col.isin(*tokens), col)
+    return f"({c} IS NULL OR isnan({c}))" if is_floating(kind) else f"({c} IS NULL)"
 
 
-def is_blank(col: Column) -> Column:
+def blank_sql(c: str) -> str:
     """Missing, empty or only white space."""
-    return ~F.coalesce(col.cast("string"), F.lit("")).rlike(r"(?U)\S")
+    return f"(NOT coalesce(CAST({c} AS STRING), '') RLIKE '(?U)\\\\S')"
 
 
-def blank_to_null(col: Column) -> Column:
-    """Trimmed text, with blanks as NULL."""
-    return F.nullif(F.trim(col), F.lit(""))
+def null_tokens_sql(c: str, tokens: tuple[str, ...] = NULL_TOKENS) -> str:
+    return f"CASE WHEN {c} NOT IN ({list_sql(tokens)}) THEN {c} END"
 
 
-def zero_text_to_null(col: Column) -> Column:
-    return F.nullif(col, F.lit("0"))
-
-
-def to_number(col: Column, kind: T.DataType) -> Column:
+def number_sql(c: str, kind: T.DataType) -> str:
     """A double, or NULL where the value is not a number.
 
     The pattern guards the cast: Spark alone would read ``'1d'`` as 1.0.
     """
     if isinstance(kind, (T.NumericType, T.BooleanType)):
-        value = col.cast("double")
-        return F.when(~F.isnan(value), value)
-    text = col.cast("string")
-    value = F.trim(text).try_cast("double")
-    in_range = text.rlike(NUMBER_PATTERN) & (F.abs(value) < F.lit(float("inf")))
-    return F.when(in_range | text.rlike(INFINITY_PATTERN), value)
+        return f"nullif(CAST({c} AS DOUBLE), double('NaN'))"
+    text = f"CAST({c} AS STRING)"
+    value = f"try_cast(trim({text}) AS DOUBLE)"
+    return (
+        f"CASE WHEN {text} RLIKE {text_sql(NUMBER_PATTERN)} AND abs({value}) < double('Infinity')"
+        f" OR {text} RLIKE {text_sql(INFINITY_PATTERN)} THEN {value} END"
+    )
 
 
-def is_positive(col: Column, kind: T.DataType) -> Column:
+def positive_sql(c: str, kind: T.DataType) -> str:
     """True for numbers above zero, false for everything else including NULL."""
-    return F.coalesce(to_number(col, kind) > 0, F.lit(False))
+    return f"coalesce({number_sql(c, kind)} > 0, false)"
 
 
-def to_date_text(col: Column) -> Column:
+def date_sql(c: str) -> str:
     """The date written as year-month-day, or NULL."""
-    text = col.cast("string")
-    day = F.try_to_date(F.when(text.rlike(DATE_PATTERN), text), "yyyy-M-d")
-    low, high = F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")
-    return F.when(day.between(low, high), day)
+    text = f"CAST({c} AS STRING)"
+    day = f"try_to_date(CASE WHEN {text} RLIKE {text_sql(DATE_PATTERN)} THEN {text} END, 'yyyy-M-d')"
+    return f"CASE WHEN {day} BETWEEN DATE'{FIRST_DATE}' AND DATE'{LAST_DATE}' THEN {day} END"
 
 
-def is_valid_date(col: Column, kind: T.DataType) -> Column:
+def valid_date_sql(c: str, kind: T.DataType) -> str:
     """True for calendar dates; columns that already hold dates are always valid."""
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return col.isNotNull()
-    return to_date_text(col).isNotNull()
+        return f"({c} IS NOT NULL)"
+    return f"({date_sql(c)} IS NOT NULL)"
+
+
+def is_blank(c: str) -> Column:
+    return F.expr(blank_sql(c))
+
+
+def null_tokens_to_null(c: str, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
+    return F.expr(null_tokens_sql(c, tokens))
+
+
+def to_number(c: str, kind: T.DataType) -> Column:
+    return F.expr(number_sql(c, kind))
+
+
+def is_positive(c: str, kind: T.DataType) -> Column:
+    return F.expr(positive_sql(c, kind))
+
+
+def to_date(c: str) -> Column:
+    return F.expr(date_sql(c))
+
+
+def blank_to_null(col: Column) -> Column:
+    """Trimmed text, with blanks as NULL."""
+    return F.nullif(F.trim(col), F.lit(""))
+
+
+def zero_text_to_null(col: Column) -> Column:
+    return F.nullif(col, F.lit("0"))
 
 
 def date_from_key(col: Column) -> Column:

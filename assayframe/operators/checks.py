@@ -13,15 +13,16 @@ The result is lazy.  With ``by`` the same two passes serve any number of groups
 """
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayframe.columns import missing, named, present, type_of
+from assayframe.columns import list_sql, missing, name_sql, present, type_of
 from assayframe.functions import parse
 from assayframe.rules import Rules
 
@@ -69,190 +70,193 @@ RESULT_COLUMNS = [
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-@dataclass(frozen=True)
-class _Check:
-    seq: int
+class Check(NamedTuple):
+    """One planned check: what is counted, and what the verdict will say."""
+
     name: str
     column: str
     threshold: str
-    bad: Column | None          # counted per row; None where another pass counts
+    bad: str | None             # SQL condition counted per row
     limit: float | None = None  # the tolerated ratio of a null-ratio check
+    absent: int | None = None   # missing columns of the required-columns check
     names: str = ""             # column or value list quoted in the message
-    absent: int = 0             # missing columns of the required-columns check
-
 
-def bad_value(df: DataFrame, check: str, column: str, allowed: Sequence[str] = ()) -> Column:
-    """True on the rows that break a row-level check."""
-    kind, col = type_of(df, column), named(column)
+    def describe(self) -> dict:
+        """The constant part of the verdict; ``before`` and ``after`` enclose the number."""
+        limit = "" if self.limit is None else f"{self.limit:.2%}"
+        wording = FAIL_MESSAGE[self.name].format(
+            c=self.column, names=self.names, n="\x00", ratio="\x00", limit=limit)
+        before, number, after = wording.partition("\x00")
+        return {
+            "check_name": self.name,
+            "column_name": self.column,
+            "severity": SEVERITY[self.name],
+            "threshold": self.threshold,
+            "tolerated": self.limit,
+            "absent": self.absent,
+            "passed": PASS_MESSAGE[self.name].format(c=self.column),
+            "before": before,
+            "numbered": bool(number),
+            "after": after,
+        }
+
+
+_DESCRIPTION = (
+    "array<struct<check_name string, column_name string, severity string, threshold string, "
+    "tolerated double, absent double, passed string, before string, numbered boolean, after string>>"
+)
+
+
+def bad_value(df: DataFrame, check: str, column: str, allowed: Sequence[str] = ()) -> str:
+    """The SQL condition that holds on the rows breaking a row-level check."""
+    kind, c = type_of(df, column), name_sql(column)
+    is_missing = parse.missing_sql(c, kind)
     if check in (NON_NULL, NULL_RATIO):
-        return parse.is_missing(col, kind)
+        return is_missing
     if check == POSITIVE:
-        return ~parse.is_positive(col, kind)
+        return f"NOT {parse.positive_sql(c, kind)}"
     if check == VALID_DATE:
-        return ~parse.is_missing(col, kind) & ~parse.is_valid_date(col, kind)
+        return f"NOT {is_missing} AND NOT {parse.valid_date_sql(c, kind)}"
     if check == ALLOWED:
-        inside = col.cast("string").isin(*allowed) if allowed else F.lit(False)
-        return ~parse.is_missing(col, kind) & ~inside
+        outside = f"CAST({c} AS STRING) NOT IN ({list_sql(allowed)})" if allowed else "true"
+        return f"NOT {is_missing} AND {outside}"
     raise ValueError(f"{check} is not a row-level check")
 
 
-def _plan(df: DataFrame, rules: Rules) -> list[_Check]:
+def plan_checks(df: DataFrame, rules: Rules) -> list[Check]:
     """All checks of a rule set in execution order.
 
     Checks on absent columns are left out; only the required-columns check sees those.
     """
     absent = missing(df, rules.required_columns)
-    plan = [_Check(0, REQUIRED, "dataset", "0", None, names=", ".join(absent), absent=len(absent))]
-
-    def add(name, column, threshold="0", bad=None, **extra):
-        plan.append(_Check(len(plan), name, column, threshold, bad, **extra))
-
-    for c in present(df, rules.non_null_columns):
-        add(NON_NULL, c, bad=bad_value(df, NON_NULL, c))
-    for c in present(df, rules.unique_columns):
-        add(UNIQUE, c)
-    for c in present(df, rules.positive_numeric_columns):
-        add(POSITIVE, c, bad=bad_value(df, POSITIVE, c))
-    for c in present(df, rules.date_columns):
-        add(VALID_DATE, c, bad=bad_value(df, VALID_DATE, c))
+    plan = [Check(REQUIRED, "dataset", "0", "false", absent=len(absent), names=", ".join(absent))]
+
+    def simple(name, columns):
+        return [Check(name, c, "0", bad_value(df, name, c)) for c in present(df, columns)]
+
+    plan += simple(NON_NULL, rules.non_null_columns)
+    plan += [Check(UNIQUE, c, "0", None) for c in present(df, rules.unique_columns)]
+    plan += simple(POSITIVE, rules.positive_numeric_columns)
+    plan += simple(VALID_DATE, rules.date_columns)
     for c in present(df, rules.allowed_values):
         allowed = rules.allowed_values[c]
         listed = ", ".join(allowed)
-        add(ALLOWED, c, listed, bad_value(df, ALLOWED, c, allowed), names=listed)
+        plan.append(Check(ALLOWED, c, listed, bad_value(df, ALLOWED, c, allowed), names=listed))
     for c in present(df, rules.null_thresholds):
         limit = float(rules.null_thresholds[c])
-        add(NULL_RATIO, c, str(limit), bad_value(df, NULL_RATIO, c), limit=limit)
+        plan.append(Check(NULL_RATIO, c, str(limit), bad_value(df, NULL_RATIO, c), limit=limit))
     return plan
 
 
-def _group_value(df: DataFrame, column: str) -> tuple[Column, Column]:
-    """A value as (integer, text) such that equal pairs mean equal values.
+def _group_value(df: DataFrame, column: str) -> tuple[str, str]:
+    """A value as SQL for (integer, text) such that equal pairs mean equal values.
 
     Integers and dates stay eight bytes wide.  Text over 40 bytes is replaced by a
     SHA-256 digest behind a marker no short value carries, so the shuffle moves a
     fixed number of bytes per value however long the texts are.
     """
-    kind, col = type_of(df, column), named(column)
-    no_int, no_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    kind, c = type_of(df, column), name_sql(column)
+    no_int, no_text = "CAST(NULL AS BIGINT)", "CAST(NULL AS STRING)"
     if isinstance(kind, _INTEGRAL):
-        return col.cast("bigint"), no_text
+        return f"CAST({c} AS BIGINT)", no_text
     if isinstance(kind, T.BooleanType):
-        return col.cast("int").cast("bigint"), no_text
+        return f"CAST(CAST({c} AS INT) AS BIGINT)", no_text
     if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("bigint"), no_text
+        return f"CAST(unix_date({c}) AS BIGINT)", no_text
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(col), no_text
+        return f"unix_micros({c})", no_text
     if parse.is_floating(kind):
         # Adding zero folds -0.0 into 0.0; NaN counts as missing.
-        return no_int, F.when(~F.isnan(col), (col + F.lit(0.0)).cast("string"))
+        return no_int, f"CASE WHEN NOT isnan({c}) THEN CAST({c} + 0.0D AS STRING) END"
     if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
-        text = F.to_json(col)
+        text = f"to_json({c})"
     elif isinstance(kind, T.BinaryType):
-        text = F.hex(col)
+        text = f"hex({c})"
     else:
-        text = col.cast("string")
-    short = F.concat(F.lit("="), text)
-    digest = F.concat(F.lit("#"), F.sha2(text.cast("binary"), 256))
-    return no_int, F.when(F.octet_length(text) <= 40, short).otherwise(digest)
+        text = f"CAST({c} AS STRING)"
+    return no_int, (
+        f"CASE WHEN octet_length({text}) <= 40 THEN concat('=', {text}) "
+        f"ELSE concat('#', sha2(CAST({text} AS BINARY), 256)) END"
+    )
 
 
-def count_repeats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows that repeat an earlier value, per column: ``by…, column_index, n, repeats``.
+def value_sizes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows per distinct value of each column: ``by…, column_index, …, size``.
 
-    Missing values equal each other, so k of them make k-1 repeats.
+    One scan and one shuffle for all columns.  Missing values equal each other.
     """
-    values = F.array(*[
-        F.struct(F.lit(i).alias("column_index"), number.alias("_int"), text.alias("_text"))
+    values = ", ".join(
+        f"struct({i} AS column_index, {number} AS int_value, {text} AS text_value)"
         for i, (number, text) in enumerate(_group_value(df, c) for c in columns)
-    ])
-    groups = [named(g) for g in by]
-    sizes = (
-        df.select(*groups, F.inline(values))
-        .groupBy(*groups, "column_index", "_int", "_text")
-        .agg(F.count(F.lit(1)).alias("_size"))
     )
-    return sizes.groupBy(*groups, "column_index").agg(
-        F.sum("_size").alias("n"), F.sum(F.col("_size") - 1).alias("repeats")
+    groups = [name_sql(g) for g in by]
+    return (
+        df.selectExpr(*groups, f"inline(array({values}))")
+        .groupBy(*groups, "column_index", "int_value", "text_value")
+        .agg(F.count(F.lit(1)).alias("size"))
     )
 
 
-def _entry(check: _Check, n: Column, failed: Column) -> Column:
-    metric = failed.cast("double")
-    ok = failed == 0
-    fill = {"c": check.column, "names": check.names}
-    if check.name == REQUIRED:
-        metric, ok = F.lit(float(check.absent)), F.lit(check.absent == 0)
-    elif check.name == NULL_RATIO:
-        # An empty table has no ratio: NULL, which fails.
-        ratio = failed.cast("double") / F.nullif(n, F.lit(0)).cast("double")
-        metric = F.bround(ratio, 4)
-        ok = F.coalesce(ratio <= F.lit(check.limit), F.lit(False))
-    message = F.when(ok, F.lit(PASS_MESSAGE[check.name].format(**fill))).otherwise(
-        _fail_text(check, n, failed, fill)
+def _counts(checked: DataFrame, groups: list[str], seqs: Sequence[int]) -> DataFrame:
+    """One row per check from the aggregated columns ``n`` and ``bad<seq>``."""
+    rows = ", ".join(
+        f"struct({seq} AS seq, coalesce(n, 0L) AS row_count, coalesce(bad{seq}, 0L) AS failed_rows)"
+        for seq in seqs)
+    return checked.selectExpr(*groups, f"inline(array({rows}))")
+
+
+def _verdicts(counts: DataFrame, groups: list[str], plan: list[Check]) -> DataFrame:
+    described = F.from_json(F.lit(json.dumps([c.describe() for c in plan])), _DESCRIPTION)
+    ratio = "CAST(failed_rows AS DOUBLE) / nullif(row_count, 0L)"
+    # An empty table has no ratio: NULL, which fails.
+    judged = counts.withColumn("d", F.get(described, F.col("seq"))).selectExpr(
+        *groups, "seq", "row_count", "failed_rows", "d",
+        f"{ratio} AS ratio",
+        f"""coalesce(CASE WHEN d.absent IS NOT NULL THEN d.absent = 0
+            WHEN d.tolerated IS NOT NULL THEN {ratio} <= d.tolerated
+            ELSE failed_rows = 0 END, false) AS ok""",
     )
-    return F.struct(
-        F.lit(check.seq).alias("seq"),
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.column).alias("column_name"),
-        F.when(ok, "PASS").otherwise("FAIL").alias("status"),
-        F.lit(SEVERITY[check.name]).alias("severity"),
-        metric.alias("metric_value"),
-        F.lit(check.threshold).alias("threshold"),
-        failed.cast("bigint").alias("failed_rows"),
-        message.alias("message"),
-        n.cast("bigint").alias("row_count"),
+    percent = "coalesce(format_string('%.2f', bround(ratio * 100, 2)), 'nan') || '%'"
+    number = f"CASE WHEN d.tolerated IS NULL THEN CAST(failed_rows AS STRING) ELSE {percent} END"
+    return judged.selectExpr(
+        *groups,
+        "seq",
+        "d.check_name AS check_name",
+        "d.column_name AS column_name",
+        "if(ok, 'PASS', 'FAIL') AS status",
+        "d.severity AS severity",
+        """CASE WHEN d.tolerated IS NOT NULL THEN bround(ratio, 4)
+            ELSE coalesce(d.absent, CAST(failed_rows AS DOUBLE)) END AS metric_value""",
+        "d.threshold AS threshold",
+        "failed_rows",
+        f"if(ok, d.passed, concat(d.before, if(d.numbered, {number}, ''), d.after)) AS message",
+        "row_count",
     )
 
 
-
-def _fail_text(check: _Check, n: Column, failed: Column, fill: dict) -> Column:
-    ratio = failed.cast("double") / F.nullif(n, F.lit(0)).cast("double")
-    shown = F.concat(
-        F.coalesce(F.format_string("%.2f", F.bround(ratio * 100.0, 2)), F.lit("nan")),
-        F.lit("%"),
-    )
-    limit = f"{check.limit:.2%}" if check.limit is not None else ""
-    marks = {"n": "\x00n\x00", "ratio": "\x00ratio\x00", "limit": limit}
-    parts = FAIL_MESSAGE[check.name].format(**fill, **marks).split("\x00")
-    live = {"n": failed.cast("bigint").cast("string"), "ratio": shown}
-    return F.concat(*[live.get(part, F.lit(part)) for part in parts])
-
-
 def run_checks(df: DataFrame, rules: Rules, by: Sequence[str] = ()) -> DataFrame:
     """One row per check (and group), numbered in execution order by ``seq``."""
-    plan = _plan(df, rules)
-    groups = [named(g) for g in by]
-    keyed = [check for check in plan if check.name == UNIQUE]
-    rowwise = [check for check in plan if check.name != UNIQUE]
+    plan = plan_checks(df, rules)
+    groups = [name_sql(g) for g in by]
+    rowwise = {seq: check.bad for seq, check in enumerate(plan) if check.bad is not None}
+    keyed = {seq: check.column for seq, check in enumerate(plan) if check.bad is None}
 
-    counted = [check for check in rowwise if check.bad is not None]
     totals = df.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(check.bad).alias(f"_bad{check.seq}") for check in counted],
+        F.expr("count(1) AS n"),
+        *[F.expr(f"count_if({bad}) AS bad{seq}") for seq, bad in rowwise.items()],
     )
-    zero = F.lit(0).cast("bigint")
-    entries = [
-        _entry(check, F.col("_n"), zero if check.bad is None else F.col(f"_bad{check.seq}"))
-        for check in rowwise
-    ]
-    results = [totals.select(*groups, F.inline(F.array(*entries)))]
-
+    counts = [_counts(totals, groups, list(rowwise))]
     if keyed:
-        sizes = count_repeats(df, [check.column for check in keyed], by)
-        per_group = sizes.groupBy(*groups).agg(
-            F.max("n").alias("_n"),
+        sizes = value_sizes(df, list(keyed.values()), by)
+        repeats = sizes.groupBy(*groups).agg(
+            F.expr("sum(if(column_index = 0, size, 0)) AS n"),
             *[
-                F.sum(F.when(F.col("column_index") == i, F.col("repeats"))).alias(f"_bad{check.seq}")
-                for i, check in enumerate(keyed)
+                F.expr(f"sum(if(column_index = {i}, size - 1, 0)) AS bad{seq}")
+                for i, seq in enumerate(keyed)
             ],
         )
-        # Without groups an empty table still gives one row, with NULL sums.
-        entries = [
-            _entry(check, F.coalesce(F.col("_n"), zero), F.coalesce(F.col(f"_bad{check.seq}"), zero))
-            for check in keyed
-        ]
-        results.append(per_group.select(*groups, F.inline(F.array(*entries))))
-    return reduce(DataFrame.unionByName, results)
+        counts.append(_counts(repeats, groups, list(keyed)))
+    return _verdicts(reduce(DataFrame.unionByName, counts), groups, plan)
 
 
 def _single(df: DataFrame, by: Sequence[str], **rule) -> DataFrame:

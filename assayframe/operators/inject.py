@@ -8,12 +8,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from assayframe.columns import named, present
-from assayframe.functions.keys import entity_key
-from assayframe.operators.repair import STANDARD_DOMAINS, padded
+from assayframe.columns import list_sql, name_sql, present, replaced
+from assayframe.operators.repair import STANDARD_DOMAINS, padded_sql
 from assayframe.operators.rowid import ROW_ID, head
 
 # Valid values to cycle through, invalid values, and number formats.
@@ -68,60 +66,61 @@ class Scenario:
         return replace(self, rows=None)
 
 
-def cycled(position: Column, values: Sequence[str], offset: int = 0) -> Column:
-    place = F.pmod(position + F.lit(offset), F.lit(len(values))) + 1
-    return F.element_at(F.array(*[F.lit(v) for v in values]), place.cast("int"))
+def cycled_sql(position: str, values: Sequence[str], offset: int = 0) -> str:
+    place = f"CAST(pmod({position} + {offset}, {len(values)}) AS INT) + 1"
+    return f"element_at(array({list_sql(values)}), {place})"
 
 
 def set_cycled(df: DataFrame, values: Mapping[str, Sequence[str]], offset: int = 0,
                row_id: str = ROW_ID) -> DataFrame:
-    return df.withColumns({
-        c: cycled(named(row_id), values[c], offset) for c in present(df, values)
+    return replaced(df, {
+        c: cycled_sql(name_sql(row_id), values[c], offset) for c in present(df, values)
     })
 
 
 def apply_defects(df: DataFrame, defects: Sequence[Defect], row_id: str = ROW_ID) -> DataFrame:
     """All defects as one expression per column; the last defect that covers a row wins."""
-    row = named(row_id)
-    changed: dict[str, Column] = {}
+    row = name_sql(row_id)
+    cases: dict[str, list[str]] = {}
     for d in defects:
-        if d.column in df.columns:
-            before = changed.get(d.column, named(d.column))
-            value = cycled(row - F.lit(d.start), d.values, d.offset)
-            changed[d.column] = F.when(row.between(d.start, d.stop), value).otherwise(before)
-    return df.withColumns(changed) if changed else df
+        value = cycled_sql(f"({row} - {d.start})", d.values, d.offset)
+        cases.setdefault(d.column, []).insert(
+            0, f"WHEN {row} BETWEEN {d.start} AND {d.stop} THEN {value}")
+    return replaced(df, {
+        c: f"CASE {' '.join(cases[c])} ELSE {name_sql(c)} END" for c in present(df, cases)
+    })
 
 
-def stepped_date(row: Column, first: str, step: int, cycle: int) -> Column:
-    days = F.pmod(row * F.lit(step), F.lit(cycle)).cast("int")
-    return F.date_add(F.lit(first).cast("date"), days).cast("string")
+def stepped_date_sql(row: str, first: str, step: int, cycle: int) -> str:
+    return f"CAST(date_add(DATE'{first}', CAST(pmod({row} * {step}, {cycle}) AS INT)) AS STRING)"
 
 
 def valid_baseline(df: DataFrame, sources: Sequence[str], offset: int = 0,
                    row_id: str = ROW_ID) -> DataFrame:
     """Overwrite the known columns with varied values that all pass the rules."""
-    row = named(row_id)
-    df = set_cycled(df, {
+    row = name_sql(row_id)
+    cycles = {
         "source": tuple(sources),
         **STANDARD_DOMAINS,
         "legal_form": LEGAL_FORMS,
         "mcc": MCC_CODES,
         "contract_category_descriptions": CATEGORIES,
-    }, offset, row_id)
-    made = {
-        "last_trx_date": stepped_date(row, *LAST_TRX),
-        "vintage_date": stepped_date(row, *VINTAGE),
-        "active_contracts": (F.pmod(row, F.lit(5)) + 1).cast("string"),
-        "name": F.concat_ws(" ", cycled(row, NAMES, offset), padded(row + 1, 5)),
-        "vat_number": F.concat(F.lit("VAT"), padded(row + FIRST_VAT, 9)),
-        "kvk_number": padded(row + FIRST_KVK, 8),
     }
-    return rekey(df.withColumns({c: made[c] for c in present(df, made)}))
+    made = {c: cycled_sql(row, values, offset) for c, values in cycles.items()}
+    made |= {
+        "last_trx_date": stepped_date_sql(row, *LAST_TRX),
+        "vintage_date": stepped_date_sql(row, *VINTAGE),
+        "active_contracts": f"CAST(pmod({row}, 5) + 1 AS STRING)",
+        "name": f"concat({cycled_sql(row, NAMES, offset)}, ' ', {padded_sql(f'({row} + 1)', 5)})",
+        "vat_number": f"concat('VAT', {padded_sql(f'({row} + {FIRST_VAT})', 9)})",
+        "kvk_number": padded_sql(f"({row} + {FIRST_KVK})", 8),
+    }
+    return rekey(replaced(df, {c: made[c] for c in present(df, made)}))
 
 
 def rekey(df: DataFrame, key: str = "entity_key") -> DataFrame:
     if len(present(df, ("source", "id", key))) == 3:
-        df = df.withColumn(key, entity_key(named("source"), named("id")))
+        df = replaced(df, {key: "concat(source, ':', id)"})
     return df
 
 
@@ -130,16 +129,16 @@ def replicate(df: DataFrame, copies: int, rows: int, row_id: str = ROW_ID) -> Da
 
     ``rows`` is the table's row count: copy k continues numbering after copy k-1.
     """
-    copy = F.explode(F.sequence(F.lit(1), F.lit(max(copies, 1))))
-    out = df.withColumn("_copy", copy)
-    out = out.withColumn("id", F.concat(named("id"), F.lit("-B"), padded(F.col("_copy"), 2)))
-    out = out.withColumn(row_id, named(row_id) + (F.col("_copy") - 1).cast("bigint") * F.lit(rows))
-    return rekey(out.drop("_copy"))
+    copied = df.selectExpr("*", f"explode(sequence(1, {max(copies, 1)})) AS _copy")
+    return rekey(replaced(copied, {
+        "id": f"concat(id, '-B', {padded_sql('_copy', 2)})",
+        row_id: f"{name_sql(row_id)} + (_copy - 1) * {rows}L",
+    }).drop("_copy"))
 
 
 def append_head(df: DataFrame, count: int, rows: int, row_id: str = ROW_ID) -> DataFrame:
     """The first ``count`` rows once more, numbered after the last row."""
-    again = head(df, count, row_id).withColumn(row_id, named(row_id) + F.lit(rows))
+    again = replaced(head(df, count, row_id), {row_id: f"{name_sql(row_id)} + {rows}L"})
     return df.unionByName(again)
 
 

@@ -4,12 +4,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from assayframe.columns import named, present
-from assayframe.functions.keys import entity_key
-from assayframe.functions.parse import is_blank, to_date_text
+from assayframe.columns import list_sql, name_sql, present, replaced, text_sql
+from assayframe.functions.parse import blank_sql, date_sql
 from assayframe.operators.rowid import ROW_ID, occurrence
 
 # Domains, defaults and placeholder texts of the standard plan.
@@ -74,62 +72,61 @@ class RepairPlan:
     def keyed(self, df: DataFrame) -> bool:
         return len(present(df, (self.source, self.id, self.key))) == 3
 
-    def key_value(self) -> Column:
-        return entity_key(named(self.source), named(self.id))
+    def key_sql(self) -> str:
+        return f"concat({name_sql(self.source)}, ':', {name_sql(self.id)})"
 
 
-def padded(number: Column, width: int) -> Column:
+def padded_sql(number: str, width: int) -> str:
     """A number with leading zeros; longer numbers stay whole."""
-    text = number.cast("string")
-    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+    return f"lpad({number}, greatest({width}, length({number})), '0')"
+
+
+def _blank_or(column: str, value: str) -> str:
+    c = name_sql(column)
+    return f"CASE WHEN {blank_sql(c)} THEN {value} ELSE {c} END"
 
 
 def default_when_blank(df: DataFrame, defaults: Mapping[str, str]) -> DataFrame:
-    return df.withColumns({
-        c: F.when(is_blank(named(c)), F.lit(defaults[c])).otherwise(named(c))
-        for c in present(df, defaults)
-    })
+    return replaced(df, {c: _blank_or(c, text_sql(defaults[c])) for c in present(df, defaults)})
 
 
 def fill_missing(df: DataFrame, plan: RepairPlan) -> DataFrame:
     """Placeholders for blank ids and names, defaults for blank statuses, keys last."""
-    number = padded(named(plan.row_id), 6)
-    placeholders = {plan.id: ID_PLACEHOLDER, plan.name: NAME_PLACEHOLDER}
-    df = df.withColumns({
-        c: F.when(is_blank(named(c)), F.concat(F.lit(placeholders[c]), number)).otherwise(named(c))
-        for c in present(df, placeholders)
-    })
-    df = default_when_blank(df, {c: plan.defaults[c] for c in plan.domains})
-    if plan.keyed(df):
-        key = named(plan.key)
-        df = df.withColumn(plan.key, F.when(is_blank(key), plan.key_value()).otherwise(key))
-    return df
+    number = padded_sql(name_sql(plan.row_id), 6)
+    filled = {plan.id: ID_PLACEHOLDER, plan.name: NAME_PLACEHOLDER}
+    filled = {c: f"concat({text_sql(mark)}, {number})" for c, mark in filled.items()}
+    filled |= {c: text_sql(plan.defaults[c]) for c in plan.domains}
+    df = replaced(df, {c: _blank_or(c, filled[c]) for c in present(df, filled)})
+    return replaced(df, {plan.key: _blank_or(plan.key, plan.key_sql())}) if plan.keyed(df) else df
 
 
 def normalise_domains(df: DataFrame, plan: RepairPlan) -> DataFrame:
     """Values outside their domain, blanks included, become the default."""
-    return df.withColumns({
-        c: F.when(named(c).isin(*plan.domains[c]), named(c)).otherwise(F.lit(plan.defaults[c]))
-        for c in present(df, plan.domains)
-    })
+
+    def inside(c: str) -> str:
+        kept = f"{name_sql(c)} IN ({list_sql(plan.domains[c])})"
+        return f"CASE WHEN {kept} THEN {name_sql(c)} ELSE {text_sql(plan.defaults[c])} END"
+
+    return replaced(df, {c: inside(c) for c in present(df, plan.domains)})
 
 
 def repair_dates_and_optional(df: DataFrame, plan: RepairPlan) -> DataFrame:
     """Unreadable or blank dates and blank optional fields become the default."""
-    df = df.withColumns({
-        c: F.when(to_date_text(named(c)).isNotNull(), named(c)).otherwise(F.lit(plan.defaults[c]))
-        for c in present(df, plan.dates)
-    })
-    return default_when_blank(df, {c: plan.defaults[c] for c in plan.optional})
+
+    def dated(c: str) -> str:
+        valid = f"{date_sql(name_sql(c))} IS NOT NULL"
+        return f"CASE WHEN {valid} THEN {name_sql(c)} ELSE {text_sql(plan.defaults[c])} END"
+
+    changes = {c: dated(c) for c in present(df, plan.dates)}
+    changes |= {c: _blank_or(c, text_sql(plan.defaults[c])) for c in present(df, plan.optional)}
+    return replaced(df, changes)
 
 
 def _number_repeats(df: DataFrame, column: str, row_id: str) -> DataFrame:
-    value = named(column)
-    return occurrence(df, [column], row_id, "_nth").withColumn(
-        column,
-        F.when(F.col("_nth") > 0, F.concat(value, F.lit(REPEAT_MARK), padded(F.col("_nth"), 3)))
-        .otherwise(value),
-    ).drop("_nth")
+    c = name_sql(column)
+    suffix = f"concat({c}, {text_sql(REPEAT_MARK)}, {padded_sql('_nth', 3)})"
+    numbered = occurrence(df, [column], row_id, "_nth")
+    return replaced(numbered, {column: f"CASE WHEN _nth > 0 THEN {suffix} ELSE {c} END"}).drop("_nth")
 
 
 def deduplicate_keys(df: DataFrame, plan: RepairPlan) -> DataFrame:
@@ -140,7 +137,7 @@ def deduplicate_keys(df: DataFrame, plan: RepairPlan) -> DataFrame:
     if plan.id in df.columns:
         df = _number_repeats(df, plan.id, plan.row_id)
     if plan.keyed(df):
-        df = df.withColumn(plan.key, plan.key_value())
+        df = replaced(df, {plan.key: plan.key_sql()})
     if plan.key in df.columns:
         df = _number_repeats(df, plan.key, plan.row_id)
     return df

@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayframe.columns import named
+from assayframe.columns import name_sql
 from assayframe.operators.checks import run_checks
 from assayframe.operators.frequency import step_change
 from assayframe.operators.repair import (
@@ -40,16 +40,14 @@ def all_steps(df: DataFrame, plan: RepairPlan) -> DataFrame:
     The row-level steps are emitted side by side from one scan; only the last step,
     which numbers repeated keys, reads the table again.
     """
-    frames = ladder_frames(df, plan)
-    columns = df.columns
-    wide = df.withColumn("_s0", F.struct(*map(named, columns)))
+    row = "struct(" + ", ".join(map(name_sql, df.columns)) + ")"
+    wide = df.selectExpr("*", f"{row} AS _s0")
     for i, step in enumerate((fill_missing, normalise_domains, repair_dates_and_optional), 1):
-        wide = step(wide, plan).withColumn(f"_s{i}", F.struct(*map(named, columns)))
-    versions = F.array(*[
-        F.struct(F.lit(STEPS[i]).alias("step"), F.col(f"_s{i}").alias("row")) for i in range(4)
-    ])
-    early = wide.select(F.inline(versions)).select("step", "row.*")
-    last = frames[STEPS[-1]].select(F.lit(STEPS[-1]).alias("step"), *map(named, columns))
+        wide = step(wide, plan).selectExpr("*", f"{row} AS _s{i}")
+    versions = ", ".join(f"struct('{STEPS[i]}' AS step, _s{i} AS version)" for i in range(4))
+    early = wide.selectExpr(f"inline(array({versions}))").select("step", "version.*")
+    repaired = wide.select(*map(name_sql, df.columns))
+    last = deduplicate_keys(repaired, plan).selectExpr(f"'{STEPS[4]}' AS step", *map(name_sql, df.columns))
     return early.unionByName(last)
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayframe.columns import named, present, type_of
-from assayframe.functions.parse import NULL_TOKENS, null_tokens_to_null, to_number
+from assayframe.columns import name_sql, named, present, replaced, type_of
+from assayframe.functions.parse import NULL_TOKENS, null_tokens_sql, number_sql
 
 # Dtype names a rules file may use.
 DTYPES = {
@@ -69,8 +69,8 @@ def read_text_table(
 
 def with_nulls(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """The tokens a reader takes as missing become NULL in every text column."""
-    return df.withColumns({
-        f.name: null_tokens_to_null(named(f.name), tuple(tokens))
+    return replaced(df, {
+        f.name: null_tokens_sql(name_sql(f.name), tuple(tokens))
         for f in df.schema.fields if isinstance(f.dataType, T.StringType)
     })
 
@@ -80,19 +80,19 @@ def cast_columns(df: DataFrame, dtypes: Mapping[str, str]) -> DataFrame:
     casts = {}
     for name in present(df, dtypes):
         target = DTYPES.get(dtypes[name], dtypes[name])
-        value = named(name)
+        c = name_sql(name)
+        number = number_sql(c, type_of(df, name))
         if target in ("bigint", "int"):
             # "3.0" is the integer 3, "3.5" is not an integer.
-            number = to_number(value, type_of(df, name))
-            value = F.when(value.cast("string").rlike(r"^\s*[+-]?\d+\s*$"),
-                           F.trim(value.cast("string")).try_cast(target)
-                           ).when(number == F.floor(number), number.try_cast(target))
+            casts[name] = (
+                f"CASE WHEN CAST({c} AS STRING) RLIKE '^\\\\s*[+-]?[0-9]+\\\\s*$' "
+                f"THEN try_cast(trim(CAST({c} AS STRING)) AS {target}) "
+                f"WHEN {number} = floor({number}) THEN try_cast({number} AS {target}) END")
         elif target in ("double", "float"):
-            value = to_number(value, type_of(df, name)).cast(target)
+            casts[name] = f"CAST({number} AS {target})"
         else:
-            value = value.try_cast(target)
-        casts[name] = value
-    return df.withColumns(casts) if casts else df
+            casts[name] = f"try_cast({c} AS {target})"
+    return replaced(df, casts)
 
 
 def load_dataset(
