@@ -28,7 +28,7 @@ def _scenario(name):
 
 def _all(spark, sf):
     df = dirty(spark, sf)
-    return matrix.all_scenarios(df, SCENARIOS, SOURCES, df.count())
+    return inject.build_scenarios(df, SCENARIOS, SOURCES, df.count())
 
 
 def _part(spark, sf):

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 
-from assayframe.columns import list_sql, name_sql, present, replaced
+from assayframe.columns import list_sql, name_sql, present, replaced, text_sql
 from assayframe.operators.repair import STANDARD_DOMAINS, padded_sql
 from assayframe.operators.rowid import ROW_ID, head
 
@@ -66,7 +66,7 @@ class Scenario:
         return replace(self, rows=None)
 
 
-def cycled_sql(position: str, values: Sequence[str], offset: int = 0) -> str:
+def cycled_sql(position: str, values: Sequence[str], offset: int | str = 0) -> str:
     place = f"CAST(pmod({position} + {offset}, {len(values)}) AS INT) + 1"
     return f"element_at(array({list_sql(values)}), {place})"
 
@@ -78,26 +78,37 @@ def set_cycled(df: DataFrame, values: Mapping[str, Sequence[str]], offset: int =
     })
 
 
-def apply_defects(df: DataFrame, defects: Sequence[Defect], row_id: str = ROW_ID) -> DataFrame:
-    """All defects as one expression per column; the last defect that covers a row wins."""
-    row = name_sql(row_id)
+def _cases(defects: Sequence[Defect], row: str, where: str = "") -> dict[str, list[str]]:
+    """CASE branches per column; the defect listed last comes first and so wins."""
     cases: dict[str, list[str]] = {}
-    for d in defects:
+    for d in reversed(defects):
         value = cycled_sql(f"({row} - {d.start})", d.values, d.offset)
-        cases.setdefault(d.column, []).insert(
-            0, f"WHEN {row} BETWEEN {d.start} AND {d.stop} THEN {value}")
+        cases.setdefault(d.column, []).append(
+            f"WHEN {where}{row} BETWEEN {d.start} AND {d.stop} THEN {value}")
+    return cases
+
+
+def _rewritten(df: DataFrame, cases: Mapping[str, Sequence[str]]) -> DataFrame:
     return replaced(df, {
         c: f"CASE {' '.join(cases[c])} ELSE {name_sql(c)} END" for c in present(df, cases)
     })
 
 
+def apply_defects(df: DataFrame, defects: Sequence[Defect], row_id: str = ROW_ID) -> DataFrame:
+    """All defects as one expression per column; the last defect that covers a row wins."""
+    return _rewritten(df, _cases(defects, name_sql(row_id)))
+
+
 def stepped_date_sql(row: str, first: str, step: int, cycle: int) -> str:
     return f"CAST(date_add(DATE'{first}', CAST(pmod({row} * {step}, {cycle}) AS INT)) AS STRING)"
 
 
-def valid_baseline(df: DataFrame, sources: Sequence[str], offset: int = 0,
+def valid_baseline(df: DataFrame, sources: Sequence[str], offset: int | str = 0,
                    row_id: str = ROW_ID) -> DataFrame:
-    """Overwrite the known columns with varied values that all pass the rules."""
+    """Overwrite the known columns with varied values that all pass the rules.
+
+    ``offset`` shifts the cycles: a number, or the name of a column that holds it.
+    """
     row = name_sql(row_id)
     cycles = {
         "source": tuple(sources),
@@ -124,37 +135,62 @@ def rekey(df: DataFrame, key: str = "entity_key") -> DataFrame:
     return df
 
 
-def replicate(df: DataFrame, copies: int, rows: int, row_id: str = ROW_ID) -> DataFrame:
+def replicate(df: DataFrame, copies: int | str, rows: int | str, row_id: str = ROW_ID) -> DataFrame:
     """Each row ``copies`` times with ids suffixed ``-B01``, ``-B02``…, without a shuffle.
 
     ``rows`` is the table's row count: copy k continues numbering after copy k-1.
+    Where ``copies`` (a number or a column) is 0 the row stays as it is.
     """
-    copied = df.selectExpr("*", f"explode(sequence(1, {max(copies, 1)})) AS _copy")
+    copied = df.selectExpr("*", f"explode(sequence(1, greatest({copies}, 1))) AS _copy")
     return rekey(replaced(copied, {
-        "id": f"concat(id, '-B', {padded_sql('_copy', 2)})",
-        row_id: f"{name_sql(row_id)} + (_copy - 1) * {rows}L",
+        "id": f"if({copies} > 0, concat(id, '-B', {padded_sql('_copy', 2)}), id)",
+        row_id: f"{name_sql(row_id)} + (_copy - 1) * CAST({rows} AS BIGINT)",
     }).drop("_copy"))
 
 
-def append_head(df: DataFrame, count: int, rows: int, row_id: str = ROW_ID) -> DataFrame:
-    """The first ``count`` rows once more, numbered after the last row."""
-    again = replaced(head(df, count, row_id), {row_id: f"{name_sql(row_id)} + {rows}L"})
-    return df.unionByName(again)
+def append_head(df: DataFrame, count: int | str, rows: int | str, row_id: str = ROW_ID) -> DataFrame:
+    """The first ``count`` rows once more, numbered after the last of ``rows`` rows.
+
+    Rows are doubled where they stand, so the table is read once and not shuffled.
+    """
+    row = name_sql(row_id)
+    others = [name_sql(c) for c in df.columns if c != row_id]
+    return df.selectExpr(
+        *others,
+        f"explode(if({row} < {count}, array({row}, {row} + {rows}), array({row}))) AS {row}",
+    ).select(*map(name_sql, df.columns))
+
+
+def build_scenarios(df: DataFrame, scenarios: Sequence[Scenario], sources: Sequence[str],
+                    rows: int, row_id: str = ROW_ID, name: str = "scenario") -> DataFrame:
+    """All scenarios over an ordered table of ``rows`` rows, from one scan.
+
+    Every row is emitted once per scenario together with that scenario's settings;
+    baseline, copies, defects and repeated rows are then row-level expressions.
+    """
+    sizes = [rows if s.rows is None else min(rows, s.rows) for s in scenarios]
+    if max(sizes) < rows:
+        df = head(df, max(sizes), row_id)
+    row = name_sql(row_id)
+    settings = ", ".join(
+        f"struct({text_sql(s.name)} AS {name}, {s.offset} AS _offset, {n}L AS _rows, {s.copies} AS _copies, "
+        f"{s.repeat_head} AS _head)"
+        for s, n in zip(scenarios, sizes))
+    made = df.selectExpr("*", f"inline(array({settings}))").filter(f"{row} < _rows")
+    made = valid_baseline(made, sources, "_offset", row_id)
+    made = replicate(made, "_copies", "_rows", row_id)
+    cases: dict[str, list[str]] = {}
+    for s in scenarios:
+        for column, branches in _cases(s.defects, row, f"{name} = {text_sql(s.name)} AND ").items():
+            cases.setdefault(column, []).extend(branches)
+    made = append_head(_rewritten(made, cases), "_head", "_rows * greatest(_copies, 1)", row_id)
+    return made.drop("_offset", "_rows", "_copies", "_head")
 
 
 def build_scenario(df: DataFrame, scenario: Scenario, sources: Sequence[str],
                    rows: int, row_id: str = ROW_ID) -> DataFrame:
     """One scenario over an ordered table of ``rows`` rows."""
-    n = rows if scenario.rows is None else min(rows, scenario.rows)
-    if n < rows:
-        df = head(df, n, row_id)
-    df = valid_baseline(df, sources, scenario.offset, row_id)
-    if scenario.copies:
-        df, n = replicate(df, scenario.copies, n, row_id), n * scenario.copies
-    df = apply_defects(df, scenario.defects, row_id)
-    if scenario.repeat_head:
-        df = append_head(df, scenario.repeat_head, n, row_id)
-    return df
+    return build_scenarios(df, [scenario], sources, rows, row_id, "_scenario").drop("_scenario")
 
 
 def _invalid(column: str, start: int, stop: int) -> Defect:

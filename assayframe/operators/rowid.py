@@ -1,13 +1,15 @@
 """Dense row numbers and occurrence numbers without a single-task window."""
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayframe.columns import named
+from assayframe.columns import name_sql, named
 from assayframe.session import materialise
 
 ROW_ID = "row_id"
@@ -21,8 +23,8 @@ def with_row_id(
     """Number the rows 0..n-1 in the given order; ties keep the order they are read in.
 
     The table is range-partitioned and sorted once and written to the shared scratch
-    folder with its partition number and place in the partition; only the row counts
-    per partition are then accumulated.  The reading position is part of the range
+    folder with its partition number and place in the partition; only the row count
+    of each partition is then collected.  The reading position is part of the range
     key, so no order value is too frequent to be split over several tasks.  Without
     order columns the rows are numbered as they are read and nothing is shuffled.
     """
@@ -41,18 +43,12 @@ def with_row_id(
     written = materialise(
         ranged.withColumn("_part", F.spark_partition_id()).withColumn("_place", in_part), "rowid"
     )
-    # One row per partition: bounded by the partition count, whatever the table size.
-    starts = (
-        written.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_start", F.sum("_rows").over(
-            Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
-        .select("_part", F.coalesce("_start", F.lit(0)).alias("_start"))
-    )
-    return (
-        written.join(F.broadcast(starts), "_part")
-        .withColumn(name, F.col("_start") + F.col("_place"))
-        .drop("_part", "_place", "_start")
-    )
+    # One number per partition, however large the table: small enough to become a
+    # literal, so that later scans of the numbered table are plain projections.
+    sizes = dict(written.groupBy("_part").count().collect())
+    starts = list(accumulate((sizes.get(i, 0) for i in range(max(sizes, default=-1) + 1)), initial=0))
+    start = F.get(F.from_json(F.lit(json.dumps(starts)), "array<bigint>"), F.col("_part"))
+    return written.select(*map(named, df.columns), (start + F.col("_place")).alias(name))
 
 
 def occurrence(
@@ -69,7 +65,7 @@ def occurrence(
     key that holds a third of the table is spread over many tasks.
     """
     keys = [named(c) for c in key]
-    blocked = df.withColumn("_block", F.floor(named(row_id) / F.lit(block_rows)))
+    blocked = df.withColumn("_block", F.expr(f"{name_sql(row_id)} div {block_rows}"))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1)
     shifts = (

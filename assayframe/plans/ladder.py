@@ -14,6 +14,7 @@ from assayframe.operators.repair import (
 )
 from assayframe.operators.report import build_summary
 from assayframe.rules import Rules
+from assayframe.session import materialise
 from assayframe.sources.files import with_nulls
 
 # The names of the steps, in order.
@@ -37,8 +38,9 @@ def ladder_frames(df: DataFrame, plan: RepairPlan) -> dict[str, DataFrame]:
 def all_steps(df: DataFrame, plan: RepairPlan) -> DataFrame:
     """Every step of every row in one table, labelled ``step``.
 
-    The row-level steps are emitted side by side from one scan; only the last step,
-    which numbers repeated keys, reads the table again.
+    The row-level steps are emitted side by side from one scan.  Only the last step,
+    which numbers repeated keys, is shuffled; it is written once, because several
+    passes will read it.
     """
     row = "struct(" + ", ".join(map(name_sql, df.columns)) + ")"
     wide = df.selectExpr("*", f"{row} AS _s0")
@@ -47,7 +49,8 @@ def all_steps(df: DataFrame, plan: RepairPlan) -> DataFrame:
     versions = ", ".join(f"struct('{STEPS[i]}' AS step, _s{i} AS version)" for i in range(4))
     early = wide.selectExpr(f"inline(array({versions}))").select("step", "version.*")
     repaired = wide.select(*map(name_sql, df.columns))
-    last = deduplicate_keys(repaired, plan).selectExpr(f"'{STEPS[4]}' AS step", *map(name_sql, df.columns))
+    final = materialise(deduplicate_keys(repaired, plan).select(*map(name_sql, df.columns)), "ladder")
+    last = final.selectExpr(f"'{STEPS[4]}' AS step", "*")
     return early.unionByName(last)
 
 

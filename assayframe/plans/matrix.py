@@ -1,31 +1,16 @@
 """Scores of many scenarios from one grouped run."""
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.operators.checks import run_checks
-from assayframe.operators.inject import Scenario, build_scenario
 from assayframe.operators.report import scores
 from assayframe.operators.rowid import ROW_ID
 from assayframe.rules import Rules
 from assayframe.sources.files import with_nulls
 
 
-def all_scenarios(
-    df: DataFrame, scenarios: Sequence[Scenario], sources: Sequence[str], rows: int,
-    row_id: str = ROW_ID,
-) -> DataFrame:
-    """All scenarios over one ordered table, labelled ``scenario``."""
-    return reduce(DataFrame.unionByName, [
-        build_scenario(df, s, sources, rows, row_id).withColumn("scenario", F.lit(s.name))
-        for s in scenarios
-    ])
-
-
 def manifest(scenarios: DataFrame) -> DataFrame:
     """Rows and columns of each scenario."""
     columns = len([c for c in scenarios.columns if c not in ("scenario", ROW_ID)])
