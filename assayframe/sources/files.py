@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayframe.columns import name_sql, named, present, replaced, type_of
+from assayframe.columns import name_sql, named, present, replaced, text_sql, type_of
 from assayframe.functions.parse import NULL_TOKENS, null_tokens_sql, number_sql
 
 # Dtype names a rules file may use.
@@ -20,6 +20,15 @@ DTYPES = {
 }
 
 
+# A line whose last cell opens a quote and does not close it.  Lines with an even
+# number of quotes are ruled out before the pattern is tried.
+_CELL = r'(?:"(?:[^"]++|"")*+"|[^",][^,]*+|)'
+OPEN_QUOTE = (
+    """(length(value) - length(replace(value, '"', ''))) % 2 = 1 AND value RLIKE """
+    + text_sql(rf'^(?:{_CELL},)*+"(?:[^"]++|"")*+$')
+)
+
+
 class UnreadableInput(ValueError):
     """The file exists but does not hold a complete table."""
 
@@ -39,8 +48,8 @@ def read_text_table(
     """All columns as text, cells kept as written, absent cells as empty text.
 
     ``multi_line`` allows line breaks inside quotes and gives up splitting files.
-    ``check`` reads the last column once for quotes that were never closed, which the
-    parser itself lets pass there.  ``folder`` reads every CSV file below ``path``.
+    ``check`` scans the raw lines once for a last cell whose quote is never closed,
+    which the parser itself lets pass.  ``folder`` reads every CSV file below ``path``.
     """
     if not folder and not str(path).rstrip("/").lower().endswith(".csv"):
         raise ValueError(f"unsupported file format: {path}; use CSV or a table")
@@ -59,11 +68,10 @@ def read_text_table(
         last = df.columns[-1]
         df = df.withColumn(last, F.regexp_replace(named(last), "\r$", ""))
         df = df.withColumnRenamed(last, last.rstrip("\r"))
-    if check:
-        last = named(df.columns[-1])
-        quotes = F.length(last) - F.length(F.replace(last, F.lit('"'), F.lit("")))
-        if not df.filter(last.startswith('"') & (quotes % 2 == 1)).isEmpty():
-            raise UnreadableInput(f"{path} ends inside a quoted cell")
+    if check and not multi_line:
+        options = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"} if folder else {}
+        if not spark.read.text(path, **options).filter(OPEN_QUOTE).isEmpty():
+            raise UnreadableInput(f"{path} holds a line that ends inside a quoted cell")
     return df.na.fill("")
 
 
