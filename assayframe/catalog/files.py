@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 from assayframe.catalog.base import Query, table, with_tables
 from assayframe.catalog.oracle import REPORT, report_sql, results_sql, scores_sql
 from assayframe.catalog.quality import CUSTOMER_COLUMNS, CUSTOMER_RULES, ORDER_COLUMNS, ORDER_RESULTS, ORDER_RULES
-from assayframe.catalog.repair import COLUMNS, PLAN, RULES, _RESULTS, _steps_union, STEP_SQL, dirty
+from assayframe.catalog.coverage import CURRENT, LATEST, LINKS
+from assayframe.catalog.repair import (
+    _BLANKS, _RESULTS, _steps_union, COLUMNS, LADDER_SQL, PLAN, RULES, SOURCES, STEP_SQL, dirty,
+)
+from assayframe.catalog.stress import MATRIX_SQL, SCENARIOS
+from assayframe.operators import inject
 from assayframe.operators.checks import run_checks
 from assayframe.operators.report import build_report, build_summary, scores
-from assayframe.plans import history, ladder
+from assayframe.plans import coverage, history, ladder, matrix, store
 from assayframe.plans.validate import validate_source
 from assayframe.rules import Config, DatasetSettings, Rules
 from assayframe.session import materialise, scratch_path
@@ -119,16 +124,68 @@ def _published(spark, sf):
         "failed_checks", lambda c: F.concat_ws(":", c["check_name"], c["column_name"])), "; "))
 
 
+def _write_ladder(spark, sf):
+    root = scratch_path(spark, "ladder")
+    df = dirty(spark, sf)
+    ladder.write_ladder(ladder.ladder_frames(df, PLAN), ladder.ladder_summary(df, PLAN, RULES), root)
+    return root
+
+
 def _ladder_files(spark, sf):
     """Ladder steps written as CSV, read back by file and scored again."""
-    root = scratch_path(spark, "ladder")
-    frames = ladder.ladder_frames(dirty(spark, sf), PLAN)
-    for step, frame in frames.items():
-        sinks.write_csv(frame, f"{root}/{step}.csv")
-    loaded = files.load_scenarios(spark, root, "step")
+    loaded = files.load_scenarios(spark, _write_ladder(spark, sf) + "/steps", "step")
     return scores(run_checks(loaded, RULES, by=["step"]), by=["step"])
 
 
+def _ladder_summary_file(spark, sf):
+    """The ladder summary read back from its CSV with tolerant numbers."""
+    stored = files.load_text(spark, _write_ladder(spark, sf) + "/ladder_summary.csv")
+    return history.ladder_scores(stored).select(
+        "step", "quality_score", "checks_failed", "checks_passed", "score_delta", "failed_delta", "failed_checks")
+
+
+def _matrix_file(spark, sf):
+    """The score matrix read back from its JSON."""
+    root = scratch_path(spark, "matrix")
+    df = dirty(spark, sf)
+    made = matrix.score_matrix(inject.build_scenarios(df, SCENARIOS, SOURCES, df.count()), RULES)
+    matrix.write_matrix(made, root)
+    return spark.read.schema(made.schema).json(f"{root}/matrix_summary.json")
+
+
+def _stored_base(spark, sf):
+    """Entities with damaged names written as CSV, loaded twice into their table."""
+    damaged = F.decode(F.encode(F.concat(F.col("name"), F.lit(" Coöperatie")), "UTF-8"), "ISO-8859-1")
+    path = scratch_path(spark, "base") + ".csv"
+    sinks.write_csv(table(spark, sf, "dirty_entities").withColumn("name", damaged), path)
+    name = f"entity_base_{uuid.uuid4().hex[:8]}"
+    schemas = {name: store.SOURCE_TABLES["entity_base"]}
+    sinks.create_tables(spark, schemas)
+    try:
+        store.load_base(spark, path, name)
+        written = store.load_base(spark, path, name)
+        return materialise(spark.table(name).withColumn("written", F.lit(written).cast("bigint")), "base")
+    finally:
+        sinks.drop_tables(spark, schemas)
+
+
+def _stored_lookup(spark, sf):
+    """A combined lookup split into its three tables and joined again."""
+    lookup = coverage.combined_registry(
+        coverage.identity_columns(table(spark, sf, "registry_rows"), "SYS"),
+        coverage.risk_columns(table(spark, sf, "registry_risks")),
+        coverage.link_counts(table(spark, sf, "registry_links"))).drop("_known")
+    suffix = uuid.uuid4().hex[:8]
+    names = {n: f"{n}_{suffix}" for n in ("registry_identity", "registry_risk", "registry_link")}
+    schemas = {names[n]: store.SOURCE_TABLES[n] for n in names}
+    sinks.create_tables(spark, schemas)
+    try:
+        store.load_lookup(lookup, names)
+        return materialise(store.join_lookup(*[spark.table(t) for t in names.values()]), "lookup")
+    finally:
+        sinks.drop_tables(spark, schemas)
+
+
 def _stream(spark, sf):
     """Orders arriving as one file per batch; the scored batches summed up."""
     root = scratch_path(spark, "stream")
@@ -149,6 +206,29 @@ STREAM_RULES = Rules(non_null_columns=("order_id",), positive_numeric_columns=("
 _TOKENS = "('', 'nan')"
 
 
+def _nulled(c: str) -> str:
+    return f"CASE WHEN {c} NOT IN ({_BLANKS}) THEN {c} END AS {c}"
+
+
+LOOKUP_COLUMNS = (*coverage.IDENTITY_COLUMNS, *coverage.RISK_COLUMNS, *coverage.LINK_COLUMNS)
+LOOKUP_SQL = """
+    TRIM(g.name) AS registry_name, TRIM(g.street) AS registry_street, TRIM(g.postal_code) AS registry_postal_code,
+    TRIM(g.city) AS registry_city, TRIM(g.mcc) AS registry_mcc, TRIM(g.country) AS registry_country,
+    TRIM(g.legal_form) AS registry_legal_form, NULLIF(TRIM(g.kvk), '') AS registry_kvk,
+    NULLIF(TRIM(g.duns_id), '') AS registry_duns_id, NULLIF(TRIM(g.vat), '') AS registry_vat,
+    TRIM(r.risk_score) AS registry_risk_score, TRIM(r.risk_label) AS registry_risk_label,
+    TRIM(r.risk_original) AS registry_risk_original, NULLIF(TRIM(r.risk_manual), '') AS registry_risk_manual,
+    NULLIF(TRIM(r.risk_inherited), '') AS registry_risk_inherited,
+    TRIM(r.screening_status) AS registry_screening_status, TRIM(r.screening_pstatus) AS registry_screening_pstatus,
+    CAST(NULLIF(r.watchlist_hit_pct, '0') AS DOUBLE) AS registry_watchlist_hit_pct,
+    NULLIF(TRIM(r.watchlist_list), '') AS registry_watchlist_list,
+    CAST(NULLIF(r.embargo_hit_pct, '0') AS DOUBLE) AS registry_embargo_hit_pct,
+    CAST(NULLIF(r.pep_hit_pct, '0') AS DOUBLE) AS registry_pep_hit_pct,
+    CAST(try_strptime(NULLIF(TRIM(r.next_review), ''), '%Y%m%d') AS DATE) AS registry_next_review_date,
+    NULLIF(TRIM(r.risk_comment), '') AS registry_risk_comment,
+    CAST(l.ubo AS INTEGER) AS registry_ubo_count, CAST(l.si AS INTEGER) AS registry_si_count"""
+
+
 def _run_sql(i: int) -> str:
     results = results_sql("customer", RUN_RULES[i], CUSTOMER_COLUMNS)
     return f"""SELECT 'run-{i}' AS run, CAST('{RUN_TS[i]}' AS TIMESTAMP) AS run_at, 'sql://customer-{i}' AS input_file,
@@ -204,6 +284,21 @@ QUERIES = {
     "ladder_files": Query(_ladder_files, with_tables(
         STEP_SQL + f""", steps AS ({_steps_union()}), results AS ({_RESULTS})
         {scores_sql('SELECT * FROM results', 'step')}""", "dirty_entities")),
+    "ladder_summary_file": Query(_ladder_summary_file, with_tables(f"""
+        SELECT step, quality_score, CAST(checks_failed AS DOUBLE) AS checks_failed, CAST(checks_passed AS DOUBLE) AS checks_passed,
+          CAST(score_delta AS DOUBLE) AS score_delta, CAST(failed_delta AS DOUBLE) AS failed_delta, failed_checks
+        FROM ({LADDER_SQL})""", "dirty_entities")),
+    "matrix_file": Query(_matrix_file, with_tables(MATRIX_SQL, "dirty_entities")),
+    "stored_base": Query(_stored_base, with_tables(f"""
+        SELECT {", ".join(_nulled(c) for c in COLUMNS if c not in ("name", "active_contracts"))},
+          name || ' Coöperatie' AS name, CAST(NULL AS INTEGER) AS active_contracts,
+          (SELECT COUNT(*) FROM dirty_entities) AS written FROM dirty_entities""", "dirty_entities")),
+    "stored_lookup": Query(_stored_lookup, with_tables(f"""
+        SELECT k AS join_key, {", ".join(LOOKUP_COLUMNS)} FROM (
+          SELECT COALESCE(g.key, r.key, l.key) AS k, {LOOKUP_SQL}
+          FROM (SELECT * FROM registry_rows WHERE {CURRENT}) g FULL JOIN ({LATEST}) r ON g.key = r.key
+            FULL JOIN ({LINKS}) l ON COALESCE(g.key, r.key) = l.key)""",
+        "registry_rows", "registry_risks", "registry_links")),
     "stream_revalidation": Query(_stream, with_tables("""
         SELECT CAST(3 AS BIGINT) AS batches, COUNT(*) AS row_count, CAST(15 AS BIGINT) AS checks_total,
           CAST(3 AS BIGINT) AS checks_failed FROM dirty_orders""", "dirty_orders")),

@@ -19,7 +19,7 @@ from assayframe.functions import dates, keys, text
 from assayframe.functions.parse import blank_to_null, date_from_text_key, zero_text_to_null
 from assayframe.operators.frequency import distributions, latest_per_key, share_of_group
 from assayframe.operators.lookups import lookup_join, with_flag, without_match
-from assayframe.sources.sinks import replace_rows, stamp
+from assayframe.sources.sinks import replace_rows, stamp, write_csv
 
 JOIN_KEY = "join_key"
 FLAG = "in_registry_flag"
@@ -323,6 +323,17 @@ def run_coverage(base: DataFrame, lookup: DataFrame, run_ts: str) -> Coverage:
     )
 
 
+def write_coverage(run: Coverage, lookup: DataFrame, root: str) -> dict[str, str]:
+    """Lookup, flag and enriched tables as parquet, the summary as one ordered CSV."""
+    base = root.rstrip("/")
+    paths = {part: f"{base}/{part}" for part in ("lookup", *run._fields)}
+    lookup.write.mode("overwrite").parquet(paths["lookup"])
+    run.flag.write.mode("overwrite").parquet(paths["flag"])
+    run.rich.write.mode("overwrite").parquet(paths["rich"])
+    write_csv(run.summary, paths["summary"], single_file=True)
+    return paths
+
+
 def store_coverage(run: Coverage, tables: Mapping[str, str]) -> dict[str, int]:
     """Replace the rows of the three output tables; returns the rows written."""
     return {part: replace_rows(getattr(run, part), table) for part, table in tables.items()}

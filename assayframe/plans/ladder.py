@@ -1,8 +1,6 @@
 """Cumulative repairs scored after each step."""
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +14,7 @@ from assayframe.operators.report import build_summary
 from assayframe.rules import Rules
 from assayframe.session import materialise
 from assayframe.sources.files import with_nulls
+from assayframe.sources.sinks import write_csv, write_json
 
 # The names of the steps, in order.
 STEPS = (
@@ -77,16 +76,8 @@ def ladder_summary(df: DataFrame, plan: RepairPlan, rules: Rules) -> DataFrame:
 
 def write_ladder(frames: dict[str, DataFrame], summary: DataFrame, root: str) -> None:
     """Each step as CSV; the summary as CSV and JSON."""
-    from assayframe.sources.sinks import write_csv, write_json
-
     for step, frame in frames.items():
-        write_csv(frame, f"{root.rstrip('/')}/{step}.csv")
+        write_csv(frame, f"{root.rstrip('/')}/steps/{step}.csv")
     flat = summary.withColumn("failed_checks", F.array_join("failed_checks", "; "))
-    write_csv(flat, f"{root.rstrip('/')}/summary_csv", single_file=True)
-    write_json(summary, f"{root.rstrip('/')}/summary_json", single_file=True)
-
-
-def union_steps(frames: dict[str, DataFrame]) -> DataFrame:
-    """Stored step tables in one labelled table."""
-    return reduce(DataFrame.unionByName, [
-        frame.withColumn("step", F.lit(step)) for step, frame in frames.items()])
+    write_csv(flat, f"{root.rstrip('/')}/ladder_summary.csv", single_file=True)
+    write_json(summary, f"{root.rstrip('/')}/ladder_summary.json", single_file=True)

@@ -9,6 +9,7 @@ from assayframe.operators.report import scores
 from assayframe.operators.rowid import ROW_ID
 from assayframe.rules import Rules
 from assayframe.sources.files import with_nulls
+from assayframe.sources.sinks import write_csv, write_json
 
 
 def manifest(scenarios: DataFrame) -> DataFrame:
@@ -23,3 +24,9 @@ def score_matrix(scenarios: DataFrame, rules: Rules) -> DataFrame:
     """One scored row per scenario, worst first."""
     results = run_checks(with_nulls(scenarios), rules, by=["scenario"])
     return scores(results, by=["scenario"]).orderBy("quality_score", "scenario")
+
+
+def write_matrix(matrix: DataFrame, root: str) -> None:
+    """The score matrix as CSV and JSON."""
+    write_csv(matrix, f"{root.rstrip('/')}/matrix_summary.csv", single_file=True)
+    write_json(matrix, f"{root.rstrip('/')}/matrix_summary.json", single_file=True)
