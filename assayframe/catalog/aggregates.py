@@ -156,9 +156,16 @@ QUERIES = {
         lambda spark, sf: with_row_id(
             table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                 "l_extendedprice"),
-            ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]),
+            ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], plain_scan=True),
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, ROW_NUMBER() OVER (
           ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS row_id FROM lineitem"""),
+    # Over the result of a shuffle, which is written before it is numbered.
+    "dense_row_id_after_group": Query(
+        lambda spark, sf: with_row_id(
+            table(spark, sf, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(
+                F.count(F.lit(1)).alias("lines")), ["l_suppkey", "l_returnflag"]),
+        """SELECT l_suppkey, l_returnflag, COUNT(*) AS lines,
+          ROW_NUMBER() OVER (ORDER BY l_suppkey, l_returnflag) - 1 AS row_id FROM lineitem GROUP BY 1, 2"""),
     "occurrence_number": Query(
         lambda spark, sf: occurrence(
             table(spark, sf, "events").select("event_id", "event_type"), ["event_type"], "event_id",

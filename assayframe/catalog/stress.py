@@ -10,7 +10,7 @@ from assayframe.functions.parse import NULL_TOKENS
 from assayframe.operators import inject
 from assayframe.operators.inject import STANDARD_SCENARIOS, Scenario
 from assayframe.operators.repair import STANDARD_DOMAINS
-from assayframe.operators.rowid import with_row_id
+from assayframe.operators.rowid import head, with_row_id
 from assayframe.plans import matrix
 
 # Registered queries run every scenario over the whole table.
@@ -32,7 +32,7 @@ def _all(spark, sf):
 
 
 def _part(spark, sf):
-    return with_row_id(table(spark, sf, "part"), ["p_partkey"])
+    return with_row_id(table(spark, sf, "part"), ["p_partkey"], plain_scan=True)
 
 
 def _replicated(spark, sf):
@@ -97,6 +97,9 @@ MANIFEST_SQL = _S0 + f""", every_row AS ({_EVERY})
     SELECT scenario AS name, COUNT(*) AS "rows", CAST({len(COLUMNS)} AS BIGINT) AS columns FROM every_row GROUP BY scenario"""
 
 QUERIES = {
+    "head_rows": Query(
+        lambda spark, sf: head(_part(spark, sf), 75),
+        "SELECT *, p_partkey AS row_id FROM part WHERE p_partkey < 75"),
     "inject_cycle": Query(
         lambda spark, sf: inject.set_cycled(_part(spark, sf), {"p_type": ("A", "B", "C")}, 2),
         f"""SELECT * REPLACE ({cycled_sql('p_partkey', ('A', 'B', 'C'), 2)} AS p_type), p_partkey AS row_id FROM part"""),

@@ -38,18 +38,23 @@ def lookup_join(
     * Rows without a key match nothing in any join type used here.  They get one of
       many stand-in keys instead of all hashing to the same partition.
     * Keys named in ``hot_keys`` are salted: their rows spread over ``HOT_SPREAD``
-      partitions and only their lookup rows are copied.  Other skew is left to
-      adaptive execution, which splits oversized partitions of these joins.
+      partitions and only their lookup rows are copied.  Other skew, such as many exact
+      copies of one row, is left to adaptive execution, which splits oversized
+      partitions of these joins.
 
-    The smaller side is broadcast only when the optimizer's size estimate allows it.
+    Salts come from the row's own values, so a repeated task sends every row where it
+    went before.  A side is broadcast only when the optimizer's size estimate allows it.
     """
-    others = [named(c) for c in left.columns if c != key]
-    stand_in = F.pmod(F.xxhash64(*others) if others else F.lit(0), F.lit(NULL_SPREAD)) + 1
-    salt = F.when(named(key).isNull(), stand_in.cast("int"))
+    hashable = [
+        named(f.name) for f in left.schema.fields
+        if f.name != key and "map<" not in f.dataType.simpleString()
+    ]
+    hashed = F.xxhash64(*hashable) if hashable else F.lit(0)
+    salt = F.when(named(key).isNull(), (F.pmod(hashed, F.lit(NULL_SPREAD)) + 1).cast("int"))
     copies = F.array(F.lit(0))
     if hot_keys:
         hot = named(key).isin(*hot_keys)
-        salt = salt.when(hot, F.pmod(F.monotonically_increasing_id(), F.lit(HOT_SPREAD)).cast("int"))
+        salt = salt.when(hot, F.pmod(hashed, F.lit(HOT_SPREAD)).cast("int"))
         copies = F.when(hot, F.sequence(F.lit(0), F.lit(HOT_SPREAD - 1))).otherwise(copies)
     salted = left.withColumn("_salt", salt.otherwise(0))
     matches = right.filter(named(key).isNotNull())

@@ -18,7 +18,11 @@ BLOCK_ROWS = 1_000_000
 
 
 def with_row_id(
-    df: DataFrame, order: Sequence[str] = (), name: str = ROW_ID, partitions: int | None = None
+    df: DataFrame,
+    order: Sequence[str] = (),
+    name: str = ROW_ID,
+    partitions: int | None = None,
+    plain_scan: bool = False,
 ) -> DataFrame:
     """Number the rows 0..n-1 in the given order; ties keep the order they are read in.
 
@@ -27,18 +31,20 @@ def with_row_id(
     of each partition is then collected.  The reading position is part of the range
     key, so no order value is too frequent to be split over several tasks.  Without
     order columns the rows are numbered as they are read and nothing is shuffled.
+
+    A repeated task must see the reading positions it saw before, or rows would change
+    ranges half way.  That holds for a plain scan of files, which ``plain_scan`` states;
+    anything else is written with its positions first.
     """
     spark = df.sparkSession
     ranged = df
     if order:
         n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         keys = [*map(named, order), F.col("_read")]
-        ranged = (
-            df.withColumn("_read", F.monotonically_increasing_id())
-            .repartitionByRange(n, *keys)
-            .sortWithinPartitions(*keys)
-            .drop("_read")
-        )
+        read = df.withColumn("_read", F.monotonically_increasing_id())
+        if not plain_scan:
+            read = materialise(read, "positions")
+        ranged = read.repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_read")
     in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     written = materialise(
         ranged.withColumn("_part", F.spark_partition_id()).withColumn("_place", in_part), "rowid"
