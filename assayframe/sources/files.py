@@ -54,7 +54,8 @@ def read_text_table(
     if not folder and not str(path).rstrip("/").lower().endswith(".csv"):
         raise ValueError(f"unsupported file format: {path}; use CSV or a table")
     _require(spark, path)
-    reader = spark.read
+    # Broken rows must fail even when a query needs only some of their columns.
+    reader = spark.read.option("columnPruning", False)
     if folder:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
     df = reader.csv(

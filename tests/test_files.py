@@ -78,6 +78,12 @@ def test_unreadable_input(spark, tmp_path):
         files.load_dataset(spark, csv(tmp_path, "a,b,c\n1,2\n", "short.csv")).collect()
 
 
+def test_broken_rows_fail_whatever_is_checked(spark, tmp_path):
+    path = csv(tmp_path, "a,b,c\n1,2,3\n1,2\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        run_checks(files.load_dataset(spark, path), Rules(non_null_columns=("a",))).collect()
+
+
 def test_truncated_input_gives_no_report(spark, tmp_path):
     path = csv(tmp_path, 'a,b\nx,"unterminated')
     with pytest.raises(ValueError):
