@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from assayframe.functions.dates import local_label
 from assayframe.operators.frequency import step_change
 from assayframe.operators.report import REPORT_SCHEMA
+from assayframe.sources.files import FILE_PATH
 
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("generated_at_utc", T.StringType()),
@@ -38,7 +39,7 @@ def find_runs(spark: SparkSession, root: str, pattern: str = "summary.json") ->
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_broken")
         .json(root)
-        .withColumn("_path", F.col("_metadata.file_path"))
+        .withColumn("_path", F.expr(FILE_PATH))
     )
     folder = F.regexp_replace(F.col("_path"), r"/[^/]*$", "")
     start = F.instr(folder, root.rstrip("/")) + len(root.rstrip("/")) + 1

@@ -29,6 +29,10 @@ OPEN_QUOTE = (
 )
 
 
+# The path a row was read from, as it was written rather than as a URI.
+FILE_PATH = "url_decode(replace(_metadata.file_path, '+', '%2B'))"
+
+
 class UnreadableInput(ValueError):
     """The file exists but does not hold a complete table."""
 
@@ -122,7 +126,7 @@ def load_text(spark: SparkSession, path: str) -> DataFrame:
 
 def load_scenarios(spark: SparkSession, directory: str, name: str = "scenario") -> DataFrame:
     """Every CSV file (or written CSV folder) of a directory, labelled with its name."""
-    label = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)\.csv(/[^/]*)?$", 1)
+    label = F.regexp_extract(F.expr(FILE_PATH), r"/([^/]+)\.csv(/[^/]*)?$", 1)
     return with_nulls(read_text_table(spark, directory, folder=True).withColumn(name, label))
 
 

@@ -21,13 +21,15 @@ def revalidate(
     files_per_batch: int | None = None,
     every: str | None = None,
     file_format: str = "parquet",
+    **options: str,
 ) -> StreamingQuery:
     """Start the run; without ``every`` it handles what is there and stops.
 
     Nothing is kept between batches.  Each batch overwrites its own ``run_id`` folder
     of the history, so a batch that is repeated after a failure leaves one run.
+    ``options`` go to the file reader.
     """
-    source = spark.readStream.schema(schema).format(file_format)
+    source = spark.readStream.schema(schema).format(file_format).options(**options)
     if files_per_batch:
         source = source.option("maxFilesPerTrigger", files_per_batch)
 

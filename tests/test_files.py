@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from assayframe.operators.report import build_summary
@@ -8,6 +10,7 @@ from assayframe.plans import history
 from assayframe.plans.validate import validate_source
 from assayframe.rules import Config, DatasetSettings, Rules
 from assayframe.sources import files, sinks
+from assayframe.streaming.revalidate import batch_history, revalidate
 
 
 def csv(tmp_path, data, name="data.csv"):
@@ -141,7 +144,7 @@ def test_no_input_named(spark):
 def test_history_skips_broken_and_partial_summaries(spark, tmp_path):
     good = '{"generated_at_utc": "%s", "row_count": 5, "checks_total": 3, "checks_passed": 2, "checks_failed": 1, "quality_score": 66.67, "failed_checks": []}'
     for name, text in {
-        "a/old": good % "2026-01-01T00:00:00+00:00",
+        "a/old + one": good % "2026-01-01T00:00:00+00:00",
         "b": good % "2026-02-01T10:30:00+00:00",
         "c": good % "whenever",
         "broken": "{not json",
@@ -153,9 +156,9 @@ def test_history_skips_broken_and_partial_summaries(spark, tmp_path):
         (folder / "summary.json").write_text(text)
     (tmp_path / "reports" / "other.json").write_text(good % "2026-03-01T00:00:00+00:00")
     runs = history.find_runs(spark, str(tmp_path / "reports"))
-    assert [r.run_id for r in runs.collect()] == ["b", "a/old", "c"]
+    assert [r.run_id for r in runs.collect()] == ["b", "a/old + one", "c"]
     labels = [r.label for r in history.inventory(runs, "Europe/Amsterdam").collect()]
-    assert labels == ["b | 01 Feb 2026 11:30", "a/old | 01 Jan 2026 01:00", "c | unknown time"]
+    assert labels == ["b | 01 Feb 2026 11:30", "a/old + one | 01 Jan 2026 01:00", "c | unknown time"]
 
 
 def test_replace_keeps_schema_and_does_not_duplicate(spark):
@@ -191,3 +194,42 @@ def test_two_runs_do_not_touch_each_other(spark, tmp_path):
         list(pool.map(publish, range(4)))
     runs = {r.run_id: (r.input_file, r.checks_total) for r in history.published_runs(spark, root).collect()}
     assert runs == {f"run-{i}": (f"source-{i}", 1 + i % 2) for i in range(4)}
+
+
+def test_written_text_is_read_as_written(spark, tmp_path):
+    rng = random.Random(3)
+    cells = ["", " ", "NULL", '"', '""', ",", "a,b", "\\", '\\"', " x ", "#x", "'", "é漢", "a\tb"]
+    cells += ["".join(rng.choice('ab,"\\ \';#é') for _ in range(rng.randrange(8))) for _ in range(300)]
+    rows = [(str(i), a, b) for i, (a, b) in enumerate(zip(cells, cells[::-1]))]
+    df = spark.createDataFrame(rows, "id string, `a b` string, `c,d` string")
+    for turn in range(2):
+        path = str(tmp_path / f"turn-{turn}.csv")
+        sinks.write_csv(df, path)
+        df = files.load_text(spark, path)
+        assert df.columns == ["id", "a b", "c,d"]
+        assert sorted(map(tuple, df.collect())) == sorted(rows)
+
+
+def test_files_are_labelled_by_name(spark, tmp_path):
+    for name in ("first case.csv", "second+case.csv"):
+        csv(tmp_path, "id,name\n1,x\n2,\n", name)
+    (tmp_path / "notes.txt").write_text("not a table")
+    df = files.load_scenarios(spark, str(tmp_path))
+    rows = run_checks(df, Rules(non_null_columns=("name",)), by=["scenario"]).filter("seq = 1").collect()
+    assert {(r.scenario, r.failed_rows) for r in rows} == {("first case", 1), ("second+case", 1)}
+
+
+def test_stream_of_csv_files(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    schema = spark.createDataFrame([], "id string, name string").schema
+    where = [str(folder), schema, Rules(non_null_columns=("name",)), str(tmp_path / "history"), str(tmp_path / "state")]
+
+    def arrive(name, text):
+        (folder / name).write_text(text)
+        revalidate(spark, *where, file_format="csv", header="true").awaitTermination()
+        return [(r.row_count, r.checks_failed) for r in batch_history(spark, where[3]).collect()]
+
+    assert arrive("one.csv", "id,name\n1,x\n2,y\n") == [(2, 0)]
+    # Only what arrived since is validated.
+    assert arrive("two.csv", "id,name\n3,\n") == [(2, 0), (1, 1)]
