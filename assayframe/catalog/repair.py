@@ -1,6 +1,8 @@
 """Repairs of text tables and the quality ladder."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from assayframe.catalog.base import Query, table, with_tables
@@ -36,7 +38,10 @@ def dirty(spark, sf):
 
 
 def _step(name):
-    return lambda spark, sf: ladder.ladder_frames(dirty(spark, sf), PLAN)[name].select("row_id", *COLUMNS)
+    """The table after the named step."""
+    repairs = ladder.REPAIRS[: ladder.STEPS.index(name)]
+    return lambda spark, sf: reduce(
+        lambda df, repair: repair(df, PLAN), repairs, dirty(spark, sf)).select("row_id", *COLUMNS)
 
 
 def _ladder(spark, sf):

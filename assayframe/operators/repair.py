@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from assayframe.columns import list_sql, name_sql, present, replaced, text_sql
 from assayframe.functions.parse import blank_sql, date_sql
 from assayframe.operators.rowid import ROW_ID, occurrence
+from assayframe.session import materialise
 
 # Domains, defaults and placeholder texts of the standard plan.
 STANDARD_DOMAINS = {
@@ -129,15 +130,41 @@ def _number_repeats(df: DataFrame, column: str, row_id: str) -> DataFrame:
     return replaced(numbered, {column: f"CASE WHEN _nth > 0 THEN {suffix} ELSE {c} END"}).drop("_nth")
 
 
-def deduplicate_keys(df: DataFrame, plan: RepairPlan) -> DataFrame:
-    """Second and later occurrences of an id, then of a key, get a numbered suffix.
+def repeated_keys(df: DataFrame, plan: RepairPlan) -> DataFrame:
+    """New id and key of the rows that need one: ``row_id, new_id, new_key``.
 
-    Keys are rebuilt from source and id on every row in between.
+    Second and later occurrences of an id, then of a key, get a numbered suffix; keys
+    are rebuilt from source and id in between.  Only the key columns are shuffled, and
+    the result, usually a small part of the table, is written so that its true size
+    decides how it is joined.
     """
-    if plan.id in df.columns:
-        df = _number_repeats(df, plan.id, plan.row_id)
-    if plan.keyed(df):
-        df = replaced(df, {plan.key: plan.key_sql()})
-    if plan.key in df.columns:
-        df = _number_repeats(df, plan.key, plan.row_id)
-    return df
+    columns = present(df, (plan.source, plan.id, plan.key))
+    narrow = _rebuilt(df, plan).select(name_sql(plan.row_id), *map(name_sql, columns))
+    pairs = {"id": plan.id, "key": plan.key}
+    pairs = {new: c for new, c in pairs.items() if c in columns}
+    fixed = replaced(narrow, {f"old_{new}": name_sql(c) for new, c in pairs.items()})
+    if plan.id in columns:
+        fixed = _rebuilt(_number_repeats(fixed, plan.id, plan.row_id), plan)
+    if plan.key in columns:
+        fixed = _number_repeats(fixed, plan.key, plan.row_id)
+    same = " AND ".join(f"{name_sql(c)} <=> old_{new}" for new, c in pairs.items())
+    return materialise(
+        fixed.filter(f"NOT ({same})").selectExpr(
+            f"{name_sql(plan.row_id)} AS row_id",
+            *[f"{name_sql(c)} AS new_{new}" for new, c in pairs.items()]),
+        "repeats")
+
+
+def _rebuilt(df: DataFrame, plan: RepairPlan) -> DataFrame:
+    return replaced(df, {plan.key: plan.key_sql()}) if plan.keyed(df) else df
+
+
+def deduplicate_keys(df: DataFrame, plan: RepairPlan) -> DataFrame:
+    """Make ids and keys unique, rebuilding the keys of all rows from source and id."""
+    pairs = {c: f"coalesce(new_{new}, {name_sql(c)})"
+             for new, c in (("id", plan.id), ("key", plan.key)) if c in df.columns}
+    if not pairs:
+        return df
+    changes = repeated_keys(df, plan).withColumnRenamed("row_id", plan.row_id)
+    joined = _rebuilt(df, plan).join(changes, plan.row_id, "left")
+    return replaced(joined, pairs).select(*map(name_sql, df.columns))

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayframe.columns import name_sql
+from assayframe.columns import name_sql, text_sql
 from assayframe.operators.checks import run_checks
 from assayframe.operators.frequency import step_change
 from assayframe.operators.repair import (
@@ -12,7 +12,6 @@ from assayframe.operators.repair import (
 )
 from assayframe.operators.report import build_summary
 from assayframe.rules import Rules
-from assayframe.session import materialise
 from assayframe.sources.files import with_nulls
 from assayframe.sources.sinks import write_csv, write_json
 
@@ -24,33 +23,29 @@ STEPS = (
     "03_dates_thresholds_fixed",
     "04_deduplicated_final",
 )
+REPAIRS = (fill_missing, normalise_domains, repair_dates_and_optional, deduplicate_keys)
 
 
 def ladder_frames(df: DataFrame, plan: RepairPlan) -> dict[str, DataFrame]:
     """The table after each step.  Each step continues from the one before."""
     frames = [df]
-    for step in (fill_missing, normalise_domains, repair_dates_and_optional, deduplicate_keys):
-        frames.append(step(frames[-1], plan))
+    for repair in REPAIRS:
+        frames.append(repair(frames[-1], plan))
     return dict(zip(STEPS, frames))
 
 
 def all_steps(df: DataFrame, plan: RepairPlan) -> DataFrame:
-    """Every step of every row in one table, labelled ``step``.
+    """Every step of every row in one table, labelled ``step``, from one scan.
 
-    The row-level steps are emitted side by side from one scan.  Only the last step,
-    which numbers repeated keys, is shuffled; it is written once, because several
-    passes will read it.
+    Steps are emitted side by side; the last one joins the few rows whose keys repeat.
     """
-    row = "struct(" + ", ".join(map(name_sql, df.columns)) + ")"
-    wide = df.selectExpr("*", f"{row} AS _s0")
-    for i, step in enumerate((fill_missing, normalise_domains, repair_dates_and_optional), 1):
-        wide = step(wide, plan).selectExpr("*", f"{row} AS _s{i}")
-    versions = ", ".join(f"struct('{STEPS[i]}' AS step, _s{i} AS version)" for i in range(4))
-    early = wide.selectExpr(f"inline(array({versions}))").select("step", "version.*")
-    repaired = wide.select(*map(name_sql, df.columns))
-    final = materialise(deduplicate_keys(repaired, plan).select(*map(name_sql, df.columns)), "ladder")
-    last = final.selectExpr(f"'{STEPS[4]}' AS step", "*")
-    return early.unionByName(last)
+    columns = ", ".join(map(name_sql, df.columns))
+    wide = df.selectExpr("*", f"struct({columns}) AS _s0")
+    for i, repair in enumerate(REPAIRS, 1):
+        wide = repair(wide, plan).selectExpr("*", f"struct({columns}) AS _s{i}")
+    versions = ", ".join(
+        f"struct({text_sql(step)} AS step, _s{i} AS version)" for i, step in enumerate(STEPS))
+    return wide.selectExpr(f"inline(array({versions}))").select("step", "version.*")
 
 
 def step_results(df: DataFrame, plan: RepairPlan, rules: Rules) -> DataFrame:
