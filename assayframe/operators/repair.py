@@ -5,10 +5,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from assayframe.columns import list_sql, name_sql, present, replaced, text_sql
 from assayframe.functions.parse import blank_sql, date_sql
-from assayframe.operators.rowid import ROW_ID, occurrence
+from assayframe.operators.rowid import BLOCK_ROWS, ROW_ID, occurrence
 from assayframe.session import materialise
 
 # Domains, defaults and placeholder texts of the standard plan.
@@ -61,6 +62,7 @@ class RepairPlan:
     name: str = "name"
     key: str = "entity_key"
     row_id: str = ROW_ID
+    block_rows: int = BLOCK_ROWS
 
     @classmethod
     def standard(cls, sources: Sequence[str], default_source: str) -> RepairPlan:
@@ -123,10 +125,10 @@ def repair_dates_and_optional(df: DataFrame, plan: RepairPlan) -> DataFrame:
     return replaced(df, changes)
 
 
-def _number_repeats(df: DataFrame, column: str, row_id: str) -> DataFrame:
+def _number_repeats(df: DataFrame, column: str, plan: RepairPlan, rows: int) -> DataFrame:
     c = name_sql(column)
     suffix = f"concat({c}, {text_sql(REPEAT_MARK)}, {padded_sql('_nth', 3)})"
-    numbered = occurrence(df, [column], row_id, "_nth")
+    numbered = occurrence(df, [column], plan.row_id, "_nth", plan.block_rows, rows)
     return replaced(numbered, {column: f"CASE WHEN _nth > 0 THEN {suffix} ELSE {c} END"}).drop("_nth")
 
 
@@ -142,11 +144,12 @@ def repeated_keys(df: DataFrame, plan: RepairPlan) -> DataFrame:
     narrow = _rebuilt(df, plan).select(name_sql(plan.row_id), *map(name_sql, columns))
     pairs = {"id": plan.id, "key": plan.key}
     pairs = {new: c for new, c in pairs.items() if c in columns}
+    rows = 1 + (narrow.agg(F.max(name_sql(plan.row_id))).first()[0] or 0)
     fixed = replaced(narrow, {f"old_{new}": name_sql(c) for new, c in pairs.items()})
     if plan.id in columns:
-        fixed = _rebuilt(_number_repeats(fixed, plan.id, plan.row_id), plan)
+        fixed = _rebuilt(_number_repeats(fixed, plan.id, plan, rows), plan)
     if plan.key in columns:
-        fixed = _number_repeats(fixed, plan.key, plan.row_id)
+        fixed = _number_repeats(fixed, plan.key, plan, rows)
     same = " AND ".join(f"{name_sql(c)} <=> old_{new}" for new, c in pairs.items())
     return materialise(
         fixed.filter(f"NOT ({same})").selectExpr(

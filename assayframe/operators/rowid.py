@@ -63,15 +63,21 @@ def occurrence(
     row_id: str = ROW_ID,
     name: str = "occurrence",
     block_rows: int = BLOCK_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Number the rows of each key 0, 1, 2… in row order; NULL keys form one group.
 
     Rows are numbered inside (key, block of row ids) and shifted by the size of the
     key's earlier blocks.  Block sizes are combined before they are shuffled, so a
-    key that holds a third of the table is spread over many tasks.
+    key that holds a third of the table is spread over many tasks.  Where the row
+    count is known to fit one block, the numbers need no shift.
     """
     keys = [named(c) for c in key]
     blocked = df.withColumn("_block", F.expr(f"{name_sql(row_id)} div {block_rows}"))
+    inside = Window.partitionBy(*keys, "_block").orderBy(named(row_id))
+    numbered = blocked.withColumn(name, F.row_number().over(inside).cast("bigint") - 1)
+    if rows is not None and rows <= block_rows:
+        return numbered.drop("_block")
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1)
     shifts = (
@@ -81,14 +87,12 @@ def occurrence(
         .filter("_shift > 0")
         .select(*[c.alias(f"_k{i}") for i, c in enumerate(keys)], F.col("_block").alias("_b"), "_shift")
     )
-    inside = Window.partitionBy(*keys, "_block").orderBy(named(row_id))
-    numbered = blocked.withColumn("_inside", F.row_number().over(inside) - 1)
     same: list[Column] = [c.eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)]
     on = reduce(Column.__and__, same, F.col("_block") == F.col("_b"))
     return (
         numbered.join(shifts, on, "left")
-        .withColumn(name, (F.col("_inside") + F.coalesce("_shift", F.lit(0))).cast("bigint"))
-        .drop("_block", "_b", "_inside", "_shift", *[f"_k{i}" for i in range(len(keys))])
+        .withColumn(name, F.col(name) + F.coalesce("_shift", F.lit(0)))
+        .drop("_block", "_b", "_shift", *[f"_k{i}" for i in range(len(keys))])
     )
 
 

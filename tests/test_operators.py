@@ -1,6 +1,7 @@
 """Row ids, occurrences, lookups, repairs and injections against plain Python."""
 from __future__ import annotations
 
+import dataclasses
 import random
 
 import pytest
@@ -195,6 +196,30 @@ def test_repair_steps(spark):
         "Two:UNKNOWN_ID_000000", "One:7", "Two:7-DEDUP-001", "One:7-DEDUP-001"]
 
 
+@pytest.mark.parametrize("block", [3, 10, 1_000_000])
+def test_repeated_keys_over_blocks(spark, block):
+    """Ids and keys of a table with a hot id, against a plain loop."""
+    rng = random.Random(block)
+    rows = [(i, rng.choice(["One", "Two"]), "K", rng.choice(["hot"] * 6 + ["a", "a-DEDUP-001", "b", ""]))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "row_id bigint, source string, entity_key string, id string")
+    plan = dataclasses.replace(PLAN, block_rows=block)
+
+    def numbered(values):
+        seen: dict = {}
+        out = []
+        for v in values:
+            n = seen[v] = seen.get(v, -1) + 1
+            out.append(f"{v}-DEDUP-{n:03d}" if n else v)
+        return out
+
+    ids = numbered([r[3] for r in rows])
+    found = numbered([f"{r[1]}:{i}" for r, i in zip(rows, ids)])
+    got = repair.deduplicate_keys(df, plan).orderBy("row_id").collect()
+    assert [r.id for r in got] == ids
+    assert [r.entity_key for r in got] == found
+
+
 def test_repairs_ignore_absent_columns(spark):
     df = spark.createDataFrame([(0, "x")], "row_id bigint, other string")
     for frame in ladder.ladder_frames(df, PLAN).values():
