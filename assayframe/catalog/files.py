@@ -6,8 +6,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from assayframe.catalog.base import Query, table, with_tables
-from assayframe.catalog.oracle import REPORT, report_sql, results_sql, scores_sql
-from assayframe.catalog.quality import CUSTOMER_COLUMNS, CUSTOMER_RULES, ORDER_COLUMNS, ORDER_RESULTS, ORDER_RULES
+from assayframe.catalog.oracle import report_sql, results_sql, scores_sql
+from assayframe.catalog.quality import CUSTOMER_COLUMNS, CUSTOMER_RULES, ORDER_COLUMNS, ORDER_RULES
 from assayframe.catalog.coverage import CURRENT, LATEST, LINKS
 from assayframe.catalog.repair import (
     _BLANKS, _RESULTS, _steps_union, COLUMNS, LADDER_SQL, PLAN, RULES, SOURCES, STEP_SQL, dirty,
