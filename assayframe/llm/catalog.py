@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayframe.catalog.base import Query, table
-from assayframe.llm import mixing, quotes, search, warc
+from assayframe.llm import fingerprints, mixing, packing, quotes, search, warc
 from assayframe.session import scratch_path
 
 
@@ -14,6 +14,23 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path, payloads=False)
 
 
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces(table(spark, sf_dir, "documents"))
+
+
+def pieces(docs: DataFrame) -> DataFrame:
+    """Pieces under the byte-level vocabulary, with a checksum in place of their ids."""
+    import public_tokenizers as files
+
+    found = packing.pack(docs, files.path("byte_bpe_50k.json"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN)
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                        "sequence_id", "offset")
+
+
+def fingerprinted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_neighbours(table(spark, sf_dir, "documents"))
+
+
 def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -44,7 +61,9 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 
 QUERIES: dict[str, Query] = {
     "op4_warc": Query(archives),
+    "op5_packing": Query(packed),
     "op6_mixing": Query(mixed),
     "op7_quotations": Query(replies),
+    "op8_fingerprints": Query(fingerprinted),
     "op10_topk": Query(neighbours, SEARCH_SQL),
 }

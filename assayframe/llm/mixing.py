@@ -26,7 +26,7 @@ WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 SHARDS = 64
 BLOCKS_PER_SHARD = 64
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 4096
 SEED = 20240229
 WORD = r"[^\x20\x09-\x0D]+"
 

@@ -13,7 +13,16 @@ import pyarrow as pa
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 CHUNK_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
-_TABLES: dict = {}
+
+
+class _PerProcess(dict):
+    """A cache that is empty again in every process that it is sent to."""
+
+    def __reduce__(self):
+        return _PerProcess, ()
+
+
+_TABLES = _PerProcess()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
