@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayframe.catalog.base import Query, table
-from assayframe.llm import fingerprints, mixing, packing, quotes, search, warc
+from assayframe.llm import fingerprints, labelled, mixing, packing, quality, quotes, search, similarity, toxicity, warc
 from assayframe.session import scratch_path
 
 
@@ -14,6 +14,26 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path, payloads=False)
 
 
+def near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similarity.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_text_links")
+
+
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", F.coalesce(labelled.fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
+
+
+def good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.quality_scores(docs, table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", F.coalesce(labelled.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces(table(spark, sf_dir, "documents"))
 
@@ -60,6 +80,9 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_jaccard_join": Query(near),
+    "op2_toxicity": Query(toxic),
+    "op3_quality": Query(good),
     "op4_warc": Query(archives),
     "op5_packing": Query(packed),
     "op6_mixing": Query(mixed),

@@ -79,11 +79,15 @@ def _classes(lower: bool) -> tuple[np.ndarray, np.ndarray]:
     return is_word, value
 
 
-def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the row it belongs to."""
+def word_spans(data: np.ndarray, at: np.ndarray,
+               members: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the row it belongs to.
+
+    ``members`` says for each of the 256 bytes whether it can be part of a word.
+    """
     n = len(data)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = _classes(True)[0][data]
+    inside[1:-1] = (_classes(True)[0] if members is None else members)[data]
     starts = inside[1:] & ~inside[:-1]
     ends = inside[:-1] & ~inside[1:]
     cuts = at[1:-1]
