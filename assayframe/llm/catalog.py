@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayframe.catalog.base import Query, table
-from assayframe.llm import fingerprints, labelled, mixing, packing, quality, quotes, search, similarity, toxicity, warc
+from assayframe.llm import fingerprints, labelled, mixing, packing, quality, quotes, repeats, search, similarity, toxicity, warc
 from assayframe.session import scratch_path
 
 
@@ -59,6 +59,10 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.linked(table(spark, sf_dir, "conversations"))
 
 
+def repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_report(table(spark, sf_dir, "documents"))
+
+
 def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -88,5 +92,6 @@ QUERIES: dict[str, Query] = {
     "op6_mixing": Query(mixed),
     "op7_quotations": Query(replies),
     "op8_fingerprints": Query(fingerprinted),
+    "op9_repeats": Query(repeated),
     "op10_topk": Query(neighbours, SEARCH_SQL),
 }

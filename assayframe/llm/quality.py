@@ -144,25 +144,24 @@ def _rows(piece: pa.RecordBatch, size: int) -> list[tuple[np.ndarray, np.ndarray
     return out
 
 
-def scored(docs: DataFrame, weights: np.ndarray, shift: float = 0.0) -> DataFrame:
-    """``docs`` with the column ``score``, by one pass without a shuffle.
+def scored(docs: DataFrame, weights: np.ndarray, shift: float = 0.0, name: str = "score") -> DataFrame:
+    """``docs`` with the column ``name`` (replacing one of that name), by one pass without a shuffle.
 
     Texts go through the task one slice of some megabytes at a time; the other columns are
     carried along unchanged.
     """
+    docs = docs.drop(name)
     names = docs.columns
-    if "score" in names:
-        raise ValueError("docs already has a column named score")
     light = weights.astype(np.float32)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in chunks(batch, "text"):
                 value = logistic(dots(piece.column("text"), light[:-1]) + float(light[-1]) + shift)
-                yield pa.record_batch([*piece.columns, pa.array(value)], names=[*names, "score"])
+                yield pa.record_batch([*piece.columns, pa.array(value)], names=[*names, name])
 
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(task, kinds + ", score double")
+    return docs.mapInArrow(task, kinds + f", `{name}` double")
 
 
 def prior_shift(sample: DataFrame) -> float:
@@ -171,11 +170,12 @@ def prior_shift(sample: DataFrame) -> float:
     return float(np.log(rates.get(0, 1.0) / rates.get(1, 1.0)))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, folds: int = 5) -> DataFrame:
-    """``docs`` with ``score``: how likely label 1 of ``quality`` is.
+def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, folds: int = 5,
+                   name: str = "score") -> DataFrame:
+    """``docs`` with the score in column ``name``: how likely label 1 of ``quality`` is.
 
     Learns from labels whose ids have a crc32 that is no multiple of ``folds``, from about
     ``train_rows`` of them at most.
     """
     sample = labelled.sample(docs, labels, "quality", labelled.fold("doc_id", folds) != 0, train_rows, "quality")
-    return scored(docs, train(sample), prior_shift(sample))
+    return scored(docs, train(sample), prior_shift(sample), name)
