@@ -2,8 +2,8 @@
 
 Examples are a bounded sample of labelled documents.  Terms are words (letters and digits,
 lower case) and their first four and five bytes; the vocabulary is the terms that speak most
-for the label by the likelihood ratio (beyond a first few, above a threshold that chance
-rarely passes), so common words do not decide who is near.  Vectors
+for the label by the likelihood ratio (beyond a first few, above a share of the number of
+examples, so that more examples do not let weaker terms in), so common words do not decide who is near.  Vectors
 are (1 + log count) * idf, of length 1.
 
 The inverted index keeps, for every term, the blocks of examples that have it, with the
@@ -33,9 +33,9 @@ from assayframe.llm import labelled
 from assayframe.llm.words import chunks, mix64, span_hashes, texts_of, word_spans
 
 EXAMPLES = 8192
-VOCABULARY = 2048
+VOCABULARY = 512
 LEAST_DF = 4
-LEAST_TERMS, LEAST_RATIO = 128, 24.0
+LEAST_TERMS, LEAST_RATIO = 128, 0.006
 NEIGHBOURS = 16
 POWER = 2.0
 SHRINK = 0.25
@@ -94,7 +94,7 @@ def choose_terms(sample: DataFrame, size: int, least_df: int, least_terms: int =
     ratio = part(a, ones, p) + part(ones - a, ones, 1 - p) + part(b, zeros, p) + part(zeros - b, zeros, 1 - p)
     best = found.where(a / float(ones) > b / float(zeros)).withColumn("g", 2.0 * ratio).orderBy(
         F.col("g").desc(), "term").limit(size).select("term", "df", "g").toPandas()
-    best = best[(best["g"] >= least_ratio) | (np.arange(len(best)) < least_terms)]
+    best = best[(best["g"] >= least_ratio * (ones + zeros)) | (np.arange(len(best)) < least_terms)]
     best = best.copy()
     best["term"] = best["term"].to_numpy().astype(np.int64).view(np.uint64)
     best = best.sort_values("term")
