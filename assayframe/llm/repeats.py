@@ -3,9 +3,9 @@ document with a smaller id, found with a sampled suffix order.
 
 Sorting all suffixes would move fifty bytes for every byte of text, so suffixes are sampled
 first, in a way that loses nothing.  Every 50-byte window takes the smallest hash among its
-16-byte grams (the leftmost on ties) as its anchor.  Equal windows have equal anchors at
+24-byte grams (the leftmost on ties) as its anchor.  Equal windows have equal anchors at
 equal places, so it is enough to compare windows whose anchors have the same gram.  About
-one position in eighteen is an anchor; the bytes that its windows cover are its context.
+one position in fourteen is an anchor; the bytes that its windows cover are its context.
 
 1. Tasks take hashes of (gram, context) with the id of the document, reduce them to the
    smallest id per pair inside some megabytes of text, and send them to buckets, ranges of
@@ -20,7 +20,7 @@ one position in eighteen is an anchor; the bytes that its windows cover are its
    hash instead, so no gram is one task.
 3. Documents meet their repeated contexts and windows, and lose the bytes those cover.
 
-Texts are shuffled once, and once more where step 2 has to decide; nothing is collected.
+Texts are shuffled once; steps 2 and 3 read the same shuffle files.  Nothing is collected.
 
 Defined results: null text is empty; texts below 50 bytes lose nothing; a null id counts as
 larger than all others; rows with equal ids are one document for the comparison (they do not
@@ -41,13 +41,14 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from assayframe.llm.words import chunks, mix64, powers, texts_of
-from assayframe.session import materialise
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
 UNIT_BYTES = 8 << 20
+PIECE_BYTES = 1 << 19  # arrays of a piece fit a core's cache
 SEGMENT = 4 << 20
-PART_BYTES = 12 << 20
+PART_BYTES = 8 << 20
+SLICE = 1 << 18
 MANY_CONTEXTS = 20_000
 _NO_ID = (1 << 63) - 1
 _LOW = 24
@@ -168,7 +169,7 @@ def _entries(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Recor
 
     held, size = [], 0
     for batch in batches:
-        for piece in chunks(batch, "text"):
+        for piece in chunks(batch, "text", PIECE_BYTES):
             row, _, _, gram, context = all_anchors(piece)
             if len(row):
                 held.append((piece.column("id").to_numpy()[row], gram, context))
@@ -252,90 +253,66 @@ def _cut(raw: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[int, int, int,
     return len(raw), int(gone.sum()), runs, np.frombuffer(raw, np.uint8)[~gone].tobytes()
 
 
-def _apply(batches: Iterator[pa.RecordBatch], schema: pa.Schema, parts: int) -> Iterator[pa.RecordBatch]:
-    """Step 3 of decided contexts: finished documents, and the bytes of open contexts.
+_FOUND = pa.schema([("part", pa.int32()), ("id", pa.int64()), ("key", pa.int64()), ("place", pa.int64()),
+                    ("bytes", pa.binary()), ("spans", pa.binary())])
 
-    Rows come with all flags of the part (kind 0) before its documents (kind 1).
-    """
-    flags: list[list[np.ndarray]] = []
-    ids = context = flag = None
-    for batch in batches:
-        kinds = batch.column("kind").to_numpy()
-        for raw in batch.filter(pa.array(kinds == 0)).column("blob").to_pylist():
-            i, c, f = _unpack(raw, (np.uint8, 6), (np.uint8, 1))
-            flags.append([i, _from_six(c), f])
-        docs = batch.filter(pa.array(kinds == 1))
-        if not docs.num_rows:
-            continue
-        if ids is None:
-            flags = flags or [[np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint8)]]
-            ids, context, flag = (np.concatenate(x) for x in zip(*flags))
-            order = np.lexsort((flag, context, ids))
-            ids, context, flag = ids[order], context[order], flag[order]
-            flags = []
-        for piece in chunks(docs, "text"):
-            yield from _piece(piece, schema, parts, ids, context, flag)
+
+def _open_contexts(docs: pa.Table, told: pa.Table, parts: int) -> pa.Table:
+    """What the documents of a part lose at once (spans), and the bytes of their open contexts."""
+    flags = [_unpack(raw, (np.uint8, 6), (np.uint8, 1)) for raw in told.column("blob").to_pylist()]
+    if not flags or not docs.num_rows:
+        return _FOUND.empty_table()
+    ids, context, flag = (np.concatenate(x) for x in zip(*flags))
+    context = _from_six(context)
+    order = np.lexsort((flag, context, ids))
+    ids, context, flag = ids[order], context[order], flag[order]
+    out = [b for batch in docs.to_batches() for piece in chunks(batch, "text", PIECE_BYTES)
+           for b in _piece(piece, parts, ids, context, flag)]
+    return pa.Table.from_batches(out, _FOUND)
 
 
-def _piece(piece: pa.RecordBatch, schema: pa.Schema, parts: int, ids: np.ndarray, context: np.ndarray,
+def _piece(piece: pa.RecordBatch, parts: int, ids: np.ndarray, context: np.ndarray,
            flag: np.ndarray) -> Iterator[pa.RecordBatch]:
     row, begin, end, gram, own = all_anchors(piece)
     order = np.argsort(row, kind="stable")
     row, begin, end, gram, own = row[order], begin[order], end[order], gram[order], own[order]
-    bound = np.searchsorted(row, np.arange(piece.num_rows + 1))
-    doc_ids = piece.column("id").to_numpy()
-    low, high = np.searchsorted(ids, doc_ids, "left"), np.searchsorted(ids, doc_ids, "right")
-    texts = [t.as_py().encode() for t in piece.column("text")]
-    results, spans, pending = [], [], []
-    out: dict[str, list] = {"row": [], "part": [], "place": [], "bytes": []}
-    for k, raw in enumerate(texts):
+    bound = np.searchsorted(row, np.arange(piece.num_rows + 1)).tolist()
+    doc_ids, keys = piece.column("id").to_numpy(), piece.column("key").to_numpy()
+    low, high = (np.searchsorted(ids, doc_ids, side).tolist() for side in ("left", "right"))
+    data, at = texts_of(piece.column("text"))
+    made: list[tuple] = []
+    for k in range(piece.num_rows):
+        if low[k] == high[k] or bound[k] == bound[k + 1]:
+            continue
         here = slice(bound[k], bound[k + 1])
-        told = np.full(bound[k + 1] - bound[k], 9, np.uint8)
-        if low[k] < high[k] and len(told):
-            known, said = context[low[k]:high[k]], flag[low[k]:high[k]]
-            at = np.minimum(np.searchsorted(known, own[here]), len(known) - 1)
-            hit = known[at] == own[here]
-            told[hit] = said[at[hit]]
+        known, said = context[low[k]:high[k]], flag[low[k]:high[k]]
+        place = np.minimum(np.searchsorted(known, own[here]), len(known) - 1)
+        told = np.where(known[place] == own[here], said[place], 9)
         b, e = begin[here], end[here]
         gone = told == RESOLVED
-        waits = np.flatnonzero((told == OPEN) | (told == OPEN_MANY))
-        pending.append(bool(len(waits)))
-        spans.append(np.stack([b[gone], e[gone] + LENGTH]).astype(np.int64).tobytes() if len(waits) else None)
-        results.append(None if len(waits) else _cut(raw, b[gone], e[gone] + LENGTH))
-        for i in waits.tolist():
+        if gone.any():
+            spans = _joined(b[gone], e[gone] + LENGTH)
+            made.append((int(piece.column("part")[k].as_py()), doc_ids[k], keys[k], None, None, spans.tobytes()))
+        raw = data[at[k]:at[k + 1]]
+        for i in np.flatnonzero((told == OPEN) | (told == OPEN_MANY)).tolist():
+            first, last = int(b[i]), int(e[i])
             if told[i] == OPEN:
-                out["row"].append(k)
-                out["part"].append(int(_part_of(gram[here][i:i + 1], parts)[0]))
-                out["place"].append(int(b[i]))
-                out["bytes"].append(raw[b[i]:e[i] + LENGTH])
+                made.append((int(_part_of(gram[here][i:i + 1], parts)[0]), doc_ids[k], keys[k], first,
+                             raw[first:last + LENGTH].tobytes(), None))
             else:  # a gram with very many contexts: window by window
-                for w in range(int(b[i]), int(e[i]) + 1):
-                    text = raw[w:w + LENGTH]
-                    out["row"].append(k)
-                    out["part"].append(zlib.crc32(text) % parts)
-                    out["place"].append(w)
-                    out["bytes"].append(text)
-    yield _rows(schema, piece, list(range(piece.num_rows)), {
-        "done": [not x for x in pending], "kind": [2 if x else 1 for x in pending], "spans": spans,
-        "text": [t if x else None for t, x in zip(piece.column("text").to_pylist(), pending)],
-        **{name: [r[i] if r else None for r in results] for i, name in enumerate(_RESULT)}})
-    if out["row"]:
-        yield _rows(schema, piece, out["row"], {
-            "kind": [3] * len(out["row"]), "part": out["part"], "place": out["place"], "bytes": out["bytes"]})
-
-
-def _rows(schema: pa.Schema, piece: pa.RecordBatch, rows: list[int], made: dict[str, list]) -> pa.RecordBatch:
-    """Output rows: given columns, the id and key of the row, and its other columns if it is a document."""
-    take = pa.array(rows, pa.int64())
-    columns = []
-    for field in schema:
-        if field.name in made:
-            columns.append(pa.array(made[field.name], field.type))
-        elif field.name in ("id", "key") or (field.name == "rest" and made["kind"][0] != 3):
-            columns.append(piece.column(field.name).take(take).cast(field.type))
-        else:
-            columns.append(pa.nulls(len(rows), field.type))
-    return pa.record_batch(columns, schema=schema)
+                for w in range(first, last + 1):
+                    text = raw[w:w + LENGTH].tobytes()
+                    made.append((zlib.crc32(text) % parts, doc_ids[k], keys[k], w, text, None))
+    if made:
+        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*made), _FOUND)], schema=_FOUND)
+
+
+def _joined(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Rising spans [begin, end) with those that touch made one: pairs of numbers."""
+    new = np.ones(len(begin), bool)
+    new[1:] = begin[1:] > np.maximum.accumulate(end)[:-1]
+    last = np.append(np.flatnonzero(new)[1:], len(begin)) - 1
+    return np.stack([begin[new], np.maximum.accumulate(end)[last]], axis=1).astype(np.int64)
 
 
 def sort_suffixes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -364,9 +341,22 @@ def sort_suffixes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2: windows of the part's contexts that a smaller document has too, as rows (id, key, place)."""
-    held = [b for b in batches if b.num_rows]
+def _word(eight: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The eight bytes at each place as one number that sorts like them."""
+    return np.ascontiguousarray(eight[start]).view(">u8").ravel().astype(np.uint64)
+
+
+def _compare(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Step 2: spans of the part's contexts that a smaller document has too; known spans pass through."""
+    held = []
+    for batch in batches:
+        known = batch.column("spans").is_valid()
+        ready = batch.filter(known)
+        if ready.num_rows:
+            yield ready.select(["part", "id", "key", "spans"])
+        rest = batch.filter(pa.array(~known.to_numpy(zero_copy_only=False)))
+        if rest.num_rows:
+            held.append(rest)
     if not held:
         return
     table = pa.Table.from_batches(held)
@@ -378,15 +368,23 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     start = at[owner] + offset
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    words = np.empty((len(start), 7), ">u8")
-    for k in range(6):
-        words[:, k] = np.ascontiguousarray(eight[start + 8 * k]).view(">u8").ravel()
-    words[:, 6] = np.ascontiguousarray(eight[start + 42]).view(">u8").ravel()  # the last eight bytes
-    words = words.astype(np.uint64)
-    order, new = sort_suffixes(words)
-    group = np.cumsum(new) - 1
-    least = np.minimum.reduceat(ids[owner[order]], np.flatnonzero(new))
-    repeated = order[ids[owner[order]] > least[group]]
+    found = []
+    lead = np.empty(len(start), np.uint64)
+    for low in range(0, len(start), SLICE):
+        lead[low:low + SLICE] = _word(eight, start[low:low + SLICE])
+    turn = mix64(lead) % np.uint64(-(-len(start) // SLICE) or 1)  # equal windows share a turn
+    del lead
+    for k in range(-(-len(start) // SLICE)):
+        here = np.flatnonzero(turn == np.uint64(k))
+        if not len(here):
+            continue
+        at_ = start[here]
+        words = np.stack([_word(eight, at_ + step) for step in (0, 8, 16, 24, 32, 40, LENGTH - 8)], axis=1)
+        order, new = sort_suffixes(words)
+        own = ids[owner[here[order]]]
+        least = np.minimum.reduceat(own, np.flatnonzero(new))
+        found.append(here[order[own > least[np.cumsum(new) - 1]]])
+    repeated = np.concatenate(found) if found else np.zeros(0, np.int64)
     repeated.sort()
     if not len(repeated):
         return
@@ -395,38 +393,24 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = repeated[run]
     last = repeated[np.append(np.flatnonzero(run)[1:], len(repeated)) - 1]
     who = owner[first]
+    spans = np.stack([place[who] + offset[first], place[who] + offset[last] + LENGTH], axis=1).astype(np.int64)
     yield pa.record_batch([
-        pa.array(ids[who]), pa.array(keys[who]), pa.array(place[who] + offset[first]),
-        pa.array(place[who] + offset[last] + LENGTH)], names=["id", "key", "begin", "end"])
+        pa.array(_doc_part(ids[who], parts).astype(np.int32)), pa.array(ids[who]), pa.array(keys[who]),
+        pa.array([x.tobytes() for x in spans], pa.binary())], names=["part", "id", "key", "spans"])
 
 
-def _finish(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Documents that waited, with their late windows (kind 0 rows, which come first)."""
-    late: list[tuple[np.ndarray, ...]] = []
-    known: dict[tuple[int, int], list[int]] | None = None
-    begin = end = np.zeros(0, np.int64)
-    for batch in batches:
-        kinds = batch.column("kind").to_numpy()
-        some = batch.filter(pa.array(kinds == 0))
-        if some.num_rows:
-            late.append(tuple(some.column(c).to_numpy() for c in ("id", "key", "begin", "end")))
-        docs = batch.filter(pa.array(kinds == 2))
-        if not docs.num_rows:
-            continue
-        if known is None:
-            known = {}
-            if late:
-                i, k, begin, end = (np.concatenate(x) for x in zip(*late))
-                for n, pair in enumerate(zip(i.tolist(), k.tolist())):
-                    known.setdefault(pair, []).append(n)
-        for piece in chunks(docs, "text"):
-            results = []
-            for doc_id, key, text, spans in zip(*(piece.column(c).to_pylist() for c in ("id", "key", "text", "spans"))):
-                span = np.frombuffer(spans, np.int64).reshape(2, -1)
-                at = known.get((doc_id, key), [])
-                results.append(_cut(text.encode(), np.concatenate([span[0], begin[at]]), np.concatenate([span[1], end[at]])))
-            yield _rows(schema, piece, list(range(piece.num_rows)), {
-                "kind": [1] * piece.num_rows, **{name: [r[i] for r in results] for i, name in enumerate(_RESULT)}})
+def _finish(docs: pa.Table, lost: pa.Table, schema: pa.Schema) -> pa.Table:
+    """The documents of a part without the bytes of their spans."""
+    known: dict[tuple[int, int], list[bytes]] = {}
+    for doc_id, key, spans in zip(*(lost.column(c).to_pylist() for c in ("id", "key", "spans"))):
+        known.setdefault((doc_id, key), []).append(spans)
+    data, at = texts_of(docs.column("text").combine_chunks())
+    results = []
+    for k, pair in enumerate(zip(docs.column("id").to_pylist(), docs.column("key").to_pylist())):
+        span = np.frombuffer(b"".join(known.get(pair, [])), np.int64).reshape(-1, 2)
+        results.append(_cut(data[at[k]:at[k + 1]].tobytes(), span[:, 0], span[:, 1]))
+    made = [pa.array([r[i] for r in results], f.type) for i, f in enumerate(list(schema)[2:])]
+    return pa.table([docs.column("id"), docs.column("rest").cast(schema.field("rest").type), *made], schema=schema)
 
 
 def without_repeats(docs: DataFrame, part_bytes: int = PART_BYTES, many: int = MANY_CONTEXTS) -> DataFrame:
@@ -446,32 +430,22 @@ def without_repeats(docs: DataFrame, part_bytes: int = PART_BYTES, many: int = M
         lambda b: _entries(b, parts), "part int, kind int, blob binary").repartitionById(parts, "part")
     flags = entries.mapInArrow(lambda b: _decide(b, parts, many), "part int, blob binary")
     made = T.StructType([
-        T.StructField("kind", T.IntegerType()), T.StructField("id", T.LongType()), T.StructField("key", T.LongType()),
-        T.StructField("rest", rest_type), T.StructField("text", T.StringType()), T.StructField("spans", T.BinaryType()),
-        *[T.StructField(n, T.LongType()) for n in _RESULT[:3]], T.StructField("kept", T.BinaryType()),
-        T.StructField("part", T.IntegerType()), T.StructField("place", T.LongType()), T.StructField("bytes", T.BinaryType())])
+        T.StructField("id", T.LongType()), T.StructField("rest", rest_type),
+        *[T.StructField(n, T.LongType()) for n in _RESULT[:3]], T.StructField("kept", T.BinaryType())])
     schema = to_arrow_schema(made)
 
     @F.pandas_udf("int")
     def doc_part(ids: pd.Series) -> pd.Series:
         return pd.Series(_doc_part(ids.to_numpy(), parts).astype(np.int32))
 
-    none = F.lit(None)
-    both = rows.select(doc_part("id").alias("part"), F.lit(1).alias("kind"), "id", "key", "text", "rest",
-                       none.cast("binary").alias("blob")).unionByName(flags.select(
-                           "part", F.lit(0).alias("kind"), none.cast("long").alias("id"), none.cast("long").alias("key"),
-                           none.cast("string").alias("text"), none.cast(rest_type).alias("rest"), "blob"))
-    both = both.repartitionById(parts, "part").sortWithinPartitions("kind").drop("part")
-    first = materialise(both.mapInArrow(lambda b: _apply(b, schema, parts), made), "repeats")
-    late = first.where("kind = 3").select("part", "id", "key", "place", "bytes").repartitionById(parts, "part").mapInArrow(
-        _compare, "id long, key long, begin long, end long")
-    waits = first.where("kind = 2").select("kind", "id", "key", "text", "spans", "rest", none.cast("long").alias("begin"),
-                                           none.cast("long").alias("end"))
-    found = late.select(F.lit(0).alias("kind"), "id", "key", none.cast("string").alias("text"),
-                        none.cast("binary").alias("spans"), none.cast(rest_type).alias("rest"), "begin", "end")
-    second = waits.unionByName(found).withColumn("part", doc_part("id")).repartitionById(parts, "part") \
-        .sortWithinPartitions("kind").drop("part").mapInArrow(lambda b: _finish(b, schema), made)
-    done = first.where("kind = 1").unionByName(second)
+    # Both cogroups shuffle this one plan in the same way, so its texts are shuffled once.
+    texts = rows.withColumn("part", doc_part("id")).groupBy("part")
+    found = texts.cogroup(flags.groupBy("part")).applyInArrow(
+        lambda docs, told: _open_contexts(docs, told, parts),
+        "part int, id long, key long, place long, bytes binary, spans binary")
+    lost = found.repartitionById(parts, "part").mapInArrow(
+        lambda b: _compare(b, parts), "part int, id long, key long, spans binary")
+    done = texts.cogroup(lost.groupBy("part")).applyInArrow(lambda docs, lost: _finish(docs, lost, schema), made)
     return done.select(F.when(~F.col("rest.no_id"), F.col("id")).alias("doc_id"), *_RESULT, "rest")
 
 
