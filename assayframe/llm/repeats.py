@@ -90,7 +90,8 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     begin, end = real[first], real[last]
     stop = end + LENGTH
     context = mix64((total[stop] - total[begin]) * q[begin] + (stop - begin).astype(np.uint64)) & _HASH
-    return row[first], begin, end, gram[place[first]], context
+    # Anchors are small hashes; mixed again they fall evenly into ranges.
+    return row[first], begin, end, mix64(gram[place[first]] + np.uint64(1)), context
 
 
 def _segments(piece: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
