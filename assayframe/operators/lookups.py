@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from assayframe.columns import named
 
-# Rows without a key are spread over this many join keys that match nothing.
+# Rows without a key are spread over at least this many join keys that match nothing,
+# and rows of a hot key over at least this many copies of its lookup rows; both follow
+# the number of shuffle partitions beyond that.
 NULL_SPREAD = 4096
-# Rows of a hot key are spread over this many copies of its lookup rows.
 HOT_SPREAD = 64
 
 
@@ -50,18 +51,18 @@ def lookup_join(
         if f.name != key and "map<" not in f.dataType.simpleString()
     ]
     hashed = F.xxhash64(*hashable) if hashable else F.lit(0)
-    salt = F.when(named(key).isNull(), (F.pmod(hashed, F.lit(NULL_SPREAD)) + 1).cast("int"))
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    null_spread, hot_spread = max(NULL_SPREAD, 8 * width), max(HOT_SPREAD, width)
+    salt = F.when(named(key).isNull(), (F.pmod(hashed, F.lit(null_spread)) + 1).cast("int"))
     copies = F.array(F.lit(0))
     if hot_keys:
         hot = named(key).isin(*hot_keys)
-        salt = salt.when(hot, F.pmod(hashed, F.lit(HOT_SPREAD)).cast("int"))
-        copies = F.when(hot, F.sequence(F.lit(0), F.lit(HOT_SPREAD - 1))).otherwise(copies)
+        salt = salt.when(hot, F.pmod(hashed, F.lit(hot_spread)).cast("int"))
+        copies = F.when(hot, F.sequence(F.lit(0), F.lit(hot_spread - 1))).otherwise(copies)
     salted = left.withColumn("_salt", salt.otherwise(0))
     matches = right.filter(named(key).isNotNull())
-    if hot_keys:
-        matches = matches.withColumn("_salt", F.explode(copies))
-    else:
-        matches = matches.withColumn("_salt", F.lit(0))
+    # Exploded even where it is always 0: a constant would be folded out of the join keys.
+    matches = matches.withColumn("_salt", F.explode(copies))
     return salted.join(matches, [key, "_salt"], how).drop("_salt")
 
 

@@ -125,10 +125,10 @@ def repair_dates_and_optional(df: DataFrame, plan: RepairPlan) -> DataFrame:
     return replaced(df, changes)
 
 
-def _number_repeats(df: DataFrame, column: str, plan: RepairPlan, rows: int) -> DataFrame:
+def _number_repeats(df: DataFrame, column: str, plan: RepairPlan) -> DataFrame:
     c = name_sql(column)
     suffix = f"concat({c}, {text_sql(REPEAT_MARK)}, {padded_sql('_nth', 3)})"
-    numbered = occurrence(df, [column], plan.row_id, "_nth", plan.block_rows, rows)
+    numbered = occurrence(df, [column], plan.row_id, "_nth", plan.block_rows)
     return replaced(numbered, {column: f"CASE WHEN _nth > 0 THEN {suffix} ELSE {c} END"}).drop("_nth")
 
 
@@ -144,12 +144,11 @@ def repeated_keys(df: DataFrame, plan: RepairPlan) -> DataFrame:
     narrow = _rebuilt(df, plan).select(name_sql(plan.row_id), *map(name_sql, columns))
     pairs = {"id": plan.id, "key": plan.key}
     pairs = {new: c for new, c in pairs.items() if c in columns}
-    rows = 1 + (narrow.agg(F.max(name_sql(plan.row_id))).first()[0] or 0)
     fixed = replaced(narrow, {f"old_{new}": name_sql(c) for new, c in pairs.items()})
     if plan.id in columns:
-        fixed = _rebuilt(_number_repeats(fixed, plan.id, plan, rows), plan)
+        fixed = _rebuilt(_number_repeats(fixed, plan.id, plan), plan)
     if plan.key in columns:
-        fixed = _number_repeats(fixed, plan.key, plan, rows)
+        fixed = _number_repeats(fixed, plan.key, plan)
     same = " AND ".join(f"{name_sql(c)} <=> old_{new}" for new, c in pairs.items())
     return materialise(
         fixed.filter(f"NOT ({same})").selectExpr(

@@ -66,6 +66,7 @@ def read_text_table(
         path, header=True, quote='"', escape='"', mode="FAILFAST", multiLine=multi_line,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         nullValue="\x00none\x00", emptyValue="",
+        enforceSchema=False,  # a file whose header differs is an error, not other columns
     )
     if not df.columns:
         raise UnreadableInput(f"{path} has no header and no rows")

@@ -233,3 +233,10 @@ def test_stream_of_csv_files(spark, tmp_path):
     assert arrive("one.csv", "id,name\n1,x\n2,y\n") == [(2, 0)]
     # Only what arrived since is validated.
     assert arrive("two.csv", "id,name\n3,\n") == [(2, 0), (1, 1)]
+
+
+def test_files_with_another_column_order_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name,country\n1,Alpha,NL\n")
+    (tmp_path / "b.csv").write_text("country,id,name\nFR,3,Gamma\n")
+    with pytest.raises(Exception):
+        files.read_text_table(spark, str(tmp_path), folder=True).collect()

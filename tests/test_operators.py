@@ -305,3 +305,18 @@ def test_empty_inputs_are_errors(spark):
     one = spark.createDataFrame([("a", "1", "Active")], base.schema)
     with pytest.raises(RuntimeError, match="registry lookup is empty"):
         coverage.run_coverage(one, lookup, "2026-01-01 00:00:00")
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_rows_without_any_key_are_spread_without_hot_keys(spark, how):
+    left = spark.range(4000).selectExpr("CASE WHEN id < 0 THEN CAST(id AS STRING) END AS k", "id AS v")
+    right = spark.createDataFrame([("a", 1)], "k string, w int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookups.lookup_join(left, right, "k", how)
+        assert joined.count() == 4000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(k" in plan and "_salt" in plan.split("hashpartitioning(k")[1][:40]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
