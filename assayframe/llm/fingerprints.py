@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.llm import ranges
-from assayframe.llm.words import CHUNK_BYTES, chunks, mix64, powers, texts_of
+from assayframe.llm.words import chunks, mix64, powers, texts_of, tidied, CHUNK_BYTES
 
 WINDOW = 7
 LEAST_LEVEL = 2
@@ -196,7 +196,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_chars", "fingerprint"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(task, "doc_id long, n_chars long, fingerprint string")
+        .mapInArrow(tidied(task), "doc_id long, n_chars long, fingerprint string")
 
 
 _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, " \
@@ -250,7 +250,7 @@ def with_neighbours(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
                     yield _compared(ids[:-1], texts)
                     ids, texts = ids[-1:], texts[-1:]
 
-    return both.select("doc_id", "text", "kind").mapInArrow(task, _OUT)
+    return both.select("doc_id", "text", "kind").mapInArrow(tidied(task), _OUT)
 
 
 def _compared(ids: list, texts: list[str]) -> pa.RecordBatch:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.llm import ranges
-from assayframe.llm.words import chunks, word_hashes
+from assayframe.llm.words import chunks, tidied, word_hashes
 
 LENGTH = 1024
 SEPARATOR = 0
@@ -106,7 +106,7 @@ def curve(docs: DataFrame, part_bytes: int = PART_BYTES,
     total = rows.count()
     sample = rows.where(ranges.in_sample(total, sample_rows, "doc_id")).select(
         "text", "tie", F.octet_length("text").cast("double").alias("bytes")).mapInArrow(
-        points, "tie long, bytes double, " + ", ".join(f"{n} double" for n in names)).toPandas()
+        tidied(points), "tie long, bytes double, " + ", ".join(f"{n} double" for n in names)).toPandas()
     y = sample[names].to_numpy()
     mean = y.mean(axis=0) if len(y) else np.zeros(DIMENSIONS)
     spread = np.maximum(y.std(axis=0), 1e-6) if len(y) else np.ones(DIMENSIONS)
@@ -129,7 +129,7 @@ def curve(docs: DataFrame, part_bytes: int = PART_BYTES,
                                        piece.column("tie"), pa.array(part)],
                                       names=["doc_id", "text", "key", "tie", "part"])
 
-    placed = rows.mapInArrow(place, "doc_id long, text string, key long, tie long, part int")
+    placed = rows.mapInArrow(tidied(place), "doc_id long, text string, key long, tie long, part int")
     return placed, len(limits) + 1
 
 
@@ -142,10 +142,7 @@ class Tokens:
     """
 
     def __init__(self, vocabulary: str, ranks: str | None = None, pattern: str | None = None):
-        from tokenizers import Tokenizer
-
-        self.full = Tokenizer.from_file(vocabulary)
-        self.fast = None
+        self.vocabulary, self.full, self.fast = vocabulary, None, None
         if ranks and pattern:
             import tiktoken
 
@@ -156,6 +153,10 @@ class Tokens:
     def ids(self, text: str) -> list[int]:
         if self.fast is not None and not _PLAIN.search(text):
             return self.fast.encode_ordinary(text)
+        if self.full is None:  # some tens of megabytes that few tasks need
+            from tokenizers import Tokenizer
+
+            self.full = Tokenizer.from_file(self.vocabulary)
         return self.full.encode(text, add_special_tokens=False).ids
 
 
@@ -243,4 +244,4 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern: st
         if stream is not None:
             yield stream.rest()
 
-    return sorted_.select("doc_id", "text", "part").mapInArrow(task, _PIECES)
+    return sorted_.select("doc_id", "text", "part").mapInArrow(tidied(task), _PIECES)

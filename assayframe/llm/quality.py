@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.llm import labelled
-from assayframe.llm.words import chunks, mix64, span_hashes, texts_of, word_spans
+from assayframe.llm.words import chunks, mix64, span_hashes, texts_of, tidied, word_spans
 
 BITS = 18
 TRAIN_ROWS = 16_384
@@ -123,7 +123,7 @@ def train(sample: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> np.n
                 yield pa.record_batch([pa.array([z.tobytes()]), pa.array([n.tobytes()]), pa.array([seen])],
                                       names=["z", "n", "seen"])
 
-        made = dealt.mapInArrow(one_shard, "z binary, n binary, seen long").collect()
+        made = dealt.mapInArrow(tidied(one_shard), "z binary, n binary, seen long").collect()
         total = sum(r["seen"] for r in made)
         z = sum(np.frombuffer(r["z"]) * (r["seen"] / total) for r in made)
         n = sum(np.frombuffer(r["n"]) * (r["seen"] / total) for r in made)
@@ -161,7 +161,7 @@ def scored(docs: DataFrame, weights: np.ndarray, shift: float = 0.0, name: str =
                 yield pa.record_batch([*piece.columns, pa.array(value)], names=[*names, name])
 
     kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(task, kinds + f", `{name}` double")
+    return docs.mapInArrow(tidied(task), kinds + f", `{name}` double")
 
 
 def prior_shift(sample: DataFrame) -> float:

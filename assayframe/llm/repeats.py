@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from assayframe.llm.words import chunks, mix64, powers, texts_of
+from assayframe.llm.words import chunks, mix64, powers, texts_of, tidied, tidy
 
 LENGTH = 50
 GRAM = 24
@@ -414,6 +414,15 @@ def _finish(docs: pa.Table, lost: pa.Table, schema: pa.Schema) -> pa.Table:
     return pa.table([docs.column("id"), docs.column("rest").cast(schema.field("rest").type), *made], schema=schema)
 
 
+def _tidied_group(task: Callable) -> Callable:
+    def run(docs: pa.Table, other: pa.Table) -> pa.Table:
+        out = task(docs, other)
+        tidy()
+        return out
+
+    return run
+
+
 def without_repeats(docs: DataFrame, part_bytes: int = PART_BYTES, many: int = MANY_CONTEXTS) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept (bytes), and ``rest``, the other columns."""
     others = [f for f in docs.schema.fields if f.name not in ("doc_id", "text")]
@@ -428,8 +437,8 @@ def without_repeats(docs: DataFrame, part_bytes: int = PART_BYTES, many: int = M
     size = int(rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0])
     parts = max(1, -(-size // part_bytes))
     entries = rows.select("id", "text").mapInArrow(
-        lambda b: _entries(b, parts), "part int, kind int, blob binary").repartitionById(parts, "part")
-    flags = entries.mapInArrow(lambda b: _decide(b, parts, many), "part int, blob binary")
+        tidied(lambda b: _entries(b, parts)), "part int, kind int, blob binary").repartitionById(parts, "part")
+    flags = entries.mapInArrow(tidied(lambda b: _decide(b, parts, many)), "part int, blob binary")
     made = T.StructType([
         T.StructField("id", T.LongType()), T.StructField("rest", rest_type),
         *[T.StructField(n, T.LongType()) for n in _RESULT[:3]], T.StructField("kept", T.BinaryType())])
@@ -442,11 +451,12 @@ def without_repeats(docs: DataFrame, part_bytes: int = PART_BYTES, many: int = M
     # Both cogroups shuffle this one plan in the same way, so its texts are shuffled once.
     texts = rows.withColumn("part", doc_part("id")).groupBy("part")
     found = texts.cogroup(flags.groupBy("part")).applyInArrow(
-        lambda docs, told: _open_contexts(docs, told, parts),
+        _tidied_group(lambda docs, told: _open_contexts(docs, told, parts)),
         "part int, id long, key long, place long, bytes binary, spans binary")
     lost = found.repartitionById(parts, "part").mapInArrow(
-        lambda b: _compare(b, parts), "part int, id long, key long, spans binary")
-    done = texts.cogroup(lost.groupBy("part")).applyInArrow(lambda docs, lost: _finish(docs, lost, schema), made)
+        tidied(lambda b: _compare(b, parts)), "part int, id long, key long, spans binary")
+    done = texts.cogroup(lost.groupBy("part")).applyInArrow(
+        _tidied_group(lambda docs, lost: _finish(docs, lost, schema)), made)
     return done.select(F.when(~F.col("rest.no_id"), F.col("id")).alias("doc_id"), *_RESULT, "rest")
 
 
@@ -471,7 +481,7 @@ def trimmed(docs: DataFrame, **how) -> DataFrame:
                                   names=["doc_id", "rest", "text"])
 
     kinds = T.StructType([T.StructField("doc_id", T.LongType()), found.schema["rest"], T.StructField("text", T.StringType())])
-    left = found.select("doc_id", "rest", "kept").mapInArrow(decode, kinds)
+    left = found.select("doc_id", "rest", "kept").mapInArrow(tidied(decode), kinds)
     columns = {n: F.col(f"rest.c{i}") for i, n in enumerate(names)}
     if "n_chars" in columns:
         columns["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.llm.rows import KEYS, keep_one, row_keys
-from assayframe.llm.words import chunks, mix64, sets_of, shingles, word_hashes
+from assayframe.llm.words import chunks, mix64, sets_of, shingles, tidied, word_hashes
 from assayframe.session import materialise
 
 WORDS = 5
@@ -108,7 +108,7 @@ def described(docs: DataFrame) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .withColumns(row_keys())
-    return rows.mapInArrow(task, "doc_id long, row_key_1 long, row_key_2 long, name binary, n int, marks binary")
+    return rows.mapInArrow(tidied(task), "doc_id long, row_key_1 long, row_key_2 long, name binary, n int, marks binary")
 
 
 def chosen_paths(sets: DataFrame, runs: int, levels: int = LEVELS, most: int = NODE_SETS) -> DataFrame:
@@ -299,7 +299,7 @@ def links(docs: DataFrame, rows: DataFrame, sets: DataFrame, threshold: float, r
     grouped = members.join(known.select("name", "n", "marks", "nodes"), "name")
     ready = spread(grouped).repartition(*_GROUP).sortWithinPartitions(*_GROUP, "name")
     wanted = materialise(ready.select(*_GROUP, "own", "name", "n", "marks", "nodes").mapInArrow(
-        lambda b: _wanted(b, threshold), "node long, left int, right int, own int, name binary"), "wanted")
+        tidied(lambda b: _wanted(b, threshold)), "node long, left int, right int, own int, name binary"), "wanted")
     needed = wanted.select("name").distinct().join(known, "name")
 
     def with_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,10 +313,10 @@ def links(docs: DataFrame, rows: DataFrame, sets: DataFrame, threshold: float, r
 
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumns(row_keys()).select(*KEYS, "text")
     full = texts.join(needed, KEYS).select("name", "n", "marks", "nodes", "copies", "text").mapInArrow(
-        with_shingles, "name binary, n int, marks binary, nodes array<long>, copies long, shingles binary")
+        tidied(with_shingles), "name binary, n int, marks binary, nodes array<long>, copies long, shingles binary")
     ready = wanted.join(full, "name").repartition(*_GROUP).sortWithinPartitions(*_GROUP, "name")
     return materialise(ready.select(*_GROUP, "own", "name", "n", "marks", "nodes", "copies", "shingles").mapInArrow(
-        lambda b: _verified(b, threshold), "name binary, sets long, docs long, root binary"), "links")
+        tidied(lambda b: _verified(b, threshold)), "name binary, sets long, docs long, root binary"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:

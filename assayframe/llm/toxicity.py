@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.llm import labelled
-from assayframe.llm.words import chunks, mix64, span_hashes, texts_of, word_spans
+from assayframe.llm.words import chunks, mix64, span_hashes, texts_of, tidied, word_spans
 
 EXAMPLES = 8192
 VOCABULARY = 512
@@ -83,7 +83,7 @@ def choose_terms(sample: DataFrame, size: int, least_df: int, least_terms: int =
     ones, zeros = counts.get(1, 0), counts.get(0, 0)
     if not ones or not zeros:
         return np.zeros(0, np.uint64), np.zeros(0), ones + zeros
-    found = sample.select("text", "label").mapInArrow(distinct, "term long, label int").groupBy("term").agg(
+    found = sample.select("text", "label").mapInArrow(tidied(distinct), "term long, label int").groupBy("term").agg(
         F.sum("label").alias("a"), F.count("*").alias("df")).where(F.col("df") >= least_df)
     a, b, df = F.col("a"), F.col("df") - F.col("a"), F.col("df")
 
@@ -262,7 +262,7 @@ def fit(sample: DataFrame, vocabulary: int = VOCABULARY, least_df: int = LEAST_D
                     names=["doc_id", "label", "rate", "term", "weight"])
 
     rows = sample.select("doc_id", "text", "label", "rate").mapInArrow(
-        vector, "doc_id long, label int, rate double, term array<long>, weight array<double>") \
+        tidied(vector), "doc_id long, label int, rate double, term array<long>, weight array<double>") \
         .toPandas().sort_values("doc_id", kind="stable")
     ids, labels, rate = rows["doc_id"].to_numpy(), rows["label"].to_numpy(), rows["rate"].to_numpy()
     listed = [(np.asarray(t, np.int64), np.asarray(w)) for t, w in zip(rows["term"], rows["weight"])]
@@ -295,7 +295,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                     pa.array([e for _, e in found], evidence)], names=["doc_id", "score", "evidence"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        task, "doc_id long, score double, evidence array<struct<doc_id:long,similarity:double,label:int>>")
+        tidied(task), "doc_id long, score double, evidence array<struct<doc_id:long,similarity:double,label:int>>")
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, folds: int = 3) -> DataFrame:

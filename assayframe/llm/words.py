@@ -5,24 +5,46 @@ count as lower case.  A batch is one byte buffer, so no word becomes a Python ob
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19  # arrays of a piece fit a core's cache
 _BASE = 0x9E3779B97F4A7C15
 
 
-class _PerProcess(dict):
-    """A cache that is empty again in every process that it is sent to."""
+def _tables() -> dict:
+    """A cache of the process: code that is sent by value would bring a new one with every task."""
+    return sys.modules.setdefault("_assayframe_word_tables", ModuleType("_assayframe_word_tables")).__dict__
 
-    def __reduce__(self):
-        return _PerProcess, ()
 
+def tidy() -> None:
+    """Give memory back to the system.
 
-_TABLES = _PerProcess()
+    Python workers outlive their tasks; what a task has freed would stay in the allocators
+    of several idle workers, and sent code and its globals are cycles.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidied(task: Callable) -> Callable:
+    """A task over batches that gives its memory back at its end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        tidy()
+
+    return run
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -36,13 +58,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0 to n of an odd base modulo 2^64, and of its inverse."""
-    if "p" not in _TABLES or len(_TABLES["p"]) <= n:
+    tables = _tables()
+    if "p" not in tables or len(tables["p"]) <= n:
         size = max(n + 1, CHUNK_BYTES + 1)
         for name, base in (("p", _BASE), ("q", pow(_BASE, -1, 1 << 64))):
             steps = np.full(size, np.uint64(base))
             steps[0] = 1
-            _TABLES[name] = np.multiply.accumulate(steps)
-    return _TABLES["p"], _TABLES["q"]
+            tables[name] = np.multiply.accumulate(steps)
+    return tables["p"], tables["q"]
 
 
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
