@@ -7,8 +7,8 @@ a constant, so a score is one sparse dot product and whole texts of any length a
 
 Training runs on a bounded sample of labelled documents.  It is dealt to a fixed number of
 shards; in each round every shard updates the common weights with follow-the-regularised-
-leader steps over its documents, and the results are averaged (iterative parameter mixing).
-The driver holds one vector of weights per shard, whatever the corpus holds.
+leader steps over its documents, and the results are averaged block by block in tasks
+(iterative parameter mixing).  The driver sees the averages alone, whatever the corpus holds.
 
 Defined results: null text is empty; a text without words scores by the intercept alone;
 repeated rows are scored each; without labels of both classes every score is their share,
@@ -29,6 +29,7 @@ from assayframe.llm.words import chunks, mix64, span_hashes, texts_of, tidied, w
 BITS = 18
 TRAIN_ROWS = 16_384
 SHARDS = 8
+BLOCKS = 8
 ROUNDS = 3
 SCALE = 12.0
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-4, 1e-3
@@ -110,24 +111,35 @@ def train(sample: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> np.n
         return out
     dealt = sample.repartitionById(shards, F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")) \
         .sortWithinPartitions(F.xxhash64("doc_id", F.lit(1)), "text")
-    z, n = np.zeros(size), np.zeros(size)
+    z, n = np.zeros(size, np.float32), np.zeros(size, np.float32)
     for _ in range(rounds):
         def one_shard(batches: Iterator[pa.RecordBatch], z=z, n=n) -> Iterator[pa.RecordBatch]:
-            z, n, seen = z.copy(), n.copy(), 0
+            z, n, seen = z.astype(np.float64), n.astype(np.float64), 0
             for batch in batches:
                 for piece in chunks(batch, "text"):
                     rows = _rows(piece, size)
                     ftrl(rows, z, n)
                     seen += len(rows)
             if seen:
-                yield pa.record_batch([pa.array([z.tobytes()]), pa.array([n.tobytes()]), pa.array([seen])],
-                                      names=["z", "n", "seen"])
-
-        made = dealt.mapInArrow(tidied(one_shard), "z binary, n binary, seen long").collect()
-        total = sum(r["seen"] for r in made)
-        z = sum(np.frombuffer(r["z"]) * (r["seen"] / total) for r in made)
-        n = sum(np.frombuffer(r["n"]) * (r["seen"] / total) for r in made)
-    return weights_of(z, n)
+                yield pa.record_batch([
+                    pa.array(range(BLOCKS), pa.int32()),
+                    *[pa.array([part.tobytes() for part in np.array_split(x.astype(np.float32), BLOCKS)])
+                      for x in (z, n)], pa.array([seen] * BLOCKS)], names=["block", "z", "n", "seen"])
+
+        made = dealt.mapInArrow(tidied(one_shard), "block int, z binary, n binary, seen long") \
+            .groupBy("block").applyInArrow(_averaged, "block int, z binary, n binary").collect()
+        made.sort(key=lambda r: r["block"])
+        z, n = (np.concatenate([np.frombuffer(r[c], np.float32) for r in made]) for c in ("z", "n"))
+    return weights_of(z.astype(np.float64), n.astype(np.float64))
+
+
+def _averaged(shards: pa.Table) -> pa.Table:
+    """One block of the common weights: the shards' mean by rows seen, added in an order of content."""
+    rows = sorted(zip(*(shards.column(c).to_pylist() for c in ("z", "n", "seen"))))
+    total = sum(seen for *_, seen in rows)
+    mean = [sum(np.frombuffer(r[i], np.float32).astype(np.float64) * (r[2] / total) for r in rows) for i in (0, 1)]
+    return pa.table({"block": shards.column("block").slice(0, 1),
+                     **{c: pa.array([x.astype(np.float32).tobytes()]) for c, x in zip("zn", mean)}})
 
 
 def _rows(piece: pa.RecordBatch, size: int) -> list[tuple[np.ndarray, np.ndarray, int, float]]:
