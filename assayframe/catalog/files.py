@@ -10,7 +10,7 @@ from assayframe.catalog.oracle import report_sql, results_sql, scores_sql
 from assayframe.catalog.quality import CUSTOMER_COLUMNS, CUSTOMER_RULES, ORDER_COLUMNS, ORDER_RULES
 from assayframe.catalog.coverage import CURRENT, LATEST, LINKS
 from assayframe.catalog.repair import (
-    _BLANKS, _RESULTS, _steps_union, COLUMNS, LADDER_SQL, PLAN, RULES, SOURCES, STEP_SQL, dirty,
+    _BLANKS, _RESULTS, _steps_union, COLUMNS, LADDER_SQL, PLAN, RULES, STEP_SQL, dirty,
 )
 from assayframe.catalog.stress import MATRIX_SQL, SCENARIOS
 from assayframe.operators import inject
@@ -48,15 +48,18 @@ def _csv_validate(spark, sf):
 
 
 def _scenario_files(spark, sf):
-    """One CSV per order status, scored by file in one run."""
+    """One CSV per order priority, scored by file in one run."""
     root = scratch_path(spark, "scenarios")
     df = table(spark, sf, "dirty_orders")
-    for priority in ("1-URGENT", "2-HIGH", "5-LOW"):
-        sinks.write_csv(df.filter(F.col("priority") == priority), f"{root}/{priority}.csv")
+    for priority in PRIORITIES:
+        own = F.col("priority") == priority if priority else F.col("priority").isNull()
+        sinks.write_csv(df.filter(own), f"{root}/{priority or 'none'}.csv")
     loaded = files.load_scenarios(spark, root)
     return scores(run_checks(loaded, FILE_RULES, by=["scenario"]), by=["scenario"])
 
 
+# The fixed values of an order's priority, and orders without one.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", None)
 FILE_RULES = Rules(
     required_columns=("order_id", "amount"),
     non_null_columns=("order_id", "customer_id", "amount"),
@@ -115,7 +118,7 @@ RUN_RULES = (
 
 
 def _runs(spark, sf):
-    return history.find_runs(spark, _publish(spark, sf) + "/summary", "*.json")
+    return history.find_runs(spark, _publish(spark, sf))
 
 
 def _published(spark, sf):
@@ -148,7 +151,7 @@ def _matrix_file(spark, sf):
     """The score matrix read back from its JSON."""
     root = scratch_path(spark, "matrix")
     df = dirty(spark, sf)
-    made = matrix.score_matrix(inject.build_scenarios(df, SCENARIOS, SOURCES, df.count()), RULES)
+    made = matrix.score_matrix(inject.build_scenarios(df, SCENARIOS, df.count()), RULES)
     matrix.write_matrix(made, root)
     return spark.read.schema(made.schema).json(f"{root}/matrix_summary.json")
 
@@ -256,7 +259,7 @@ QUERIES = {
         + report_sql("nulled", ORDER_RULES, ORDER_COLUMNS), "dirty_orders")),
     "csv_scenario_files": Query(_scenario_files, with_tables(
         f"""WITH nulled AS (SELECT * REPLACE (CASE WHEN amount NOT IN ('', 'nan') THEN amount END AS amount),
-          priority AS scenario FROM dirty_orders WHERE priority IN ('1-URGENT', '2-HIGH', '5-LOW'))
+          COALESCE(priority, 'none') AS scenario FROM dirty_orders)
         {scores_sql(results_sql('nulled', FILE_RULES, ORDER_COLUMNS, by='scenario'), 'scenario')}""", "dirty_orders")),
     "table_validate": Query(_table_loop, report_sql("customer", CUSTOMER_RULES, CUSTOMER_COLUMNS)),
     "table_replace_append": Query(_append_rows, """
@@ -266,17 +269,17 @@ QUERIES = {
         lambda spark, sf: history.run_report(spark, _publish(spark, sf), "run-2"),
         report_sql("customer", CUSTOMER_RULES, CUSTOMER_COLUMNS)),
     "run_history": Query(_runs, f"""
-        SELECT 'run_id=' || run AS run_id, run_at AS generated_at, input_file, {_NUMBERS} FROM ({RUNS_SQL})"""),
+        SELECT run AS run_id, run_at AS generated_at, input_file, {_NUMBERS} FROM ({RUNS_SQL})"""),
     "published_runs": Query(_published, f"""
         SELECT run AS run_id, run_at AS generated_at_utc, input_file, {_NUMBERS}, failed_checks FROM ({RUNS_SQL})"""),
     "run_inventory": Query(
         lambda spark, sf: history.inventory(_runs(spark, sf), "Europe/Amsterdam"), f"""
-        SELECT 'run_id=' || run AS run_id, 'run_id=' || run || ' | ' || strftime(run_at + INTERVAL 2 HOUR, '%d %b %Y %H:%M') AS label,
+        SELECT run AS run_id, run || ' | ' || strftime(run_at + INTERVAL 2 HOUR, '%d %b %Y %H:%M') AS label,
           quality_score, checks_failed, strftime(run_at + INTERVAL 2 HOUR, '%d %b %Y %H:%M') AS generated_local
         FROM ({RUNS_SQL})"""),
     "run_trend": Query(
         lambda spark, sf: history.trend(_runs(spark, sf)), f"""
-        SELECT 'run_id=' || run AS run_id, run_at AS generated_at, quality_score, checks_failed, checks_passed,
+        SELECT run AS run_id, run_at AS generated_at, quality_score, checks_failed, checks_passed,
           COALESCE(round_even(quality_score - LAG(quality_score) OVER (ORDER BY run_at), 2), 0) AS score_delta,
           COALESCE(checks_failed - LAG(checks_failed) OVER (ORDER BY run_at), 0) AS failed_delta FROM ({RUNS_SQL})"""),
     "last_run": Query(

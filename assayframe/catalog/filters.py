@@ -86,9 +86,9 @@ QUERIES = {
         OR regexp_matches(p_name, '(?i)brand#1[0-2]$|RED') OR regexp_matches(p_brand, '(?i)brand#1[0-2]$|RED')
         OR regexp_matches(p_type, '(?i)brand#1[0-2]$|RED')"""),
     "any_cell_text": Query(
-        lambda spark, sf: filters.any_cell(table(spark, sf, "documents"), "(c)", pattern=False).select("doc_id"),
-        """SELECT doc_id FROM documents WHERE LOWER(text) LIKE '%(c)%' OR LOWER(lang) LIKE '%(c)%'
-        OR LOWER(source) LIKE '%(c)%'"""),
+        lambda spark, sf: filters.any_cell(table(spark, sf, "documents"), "$", pattern=False).select("doc_id"),
+        """SELECT doc_id FROM documents WHERE LOWER(text) LIKE '%$%' OR LOWER(lang) LIKE '%$%'
+        OR LOWER(source) LIKE '%$%'"""),
     "preview_rows": Query(
         lambda spark, sf: filters.preview(table(spark, sf, "orders"), ["o_orderkey"], 20),
         "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20"),

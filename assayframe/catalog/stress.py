@@ -13,22 +13,25 @@ from assayframe.operators.repair import STANDARD_DOMAINS
 from assayframe.operators.rowid import head, with_row_id
 from assayframe.plans import matrix
 
-# Registered queries run every scenario over the whole table.
-SCENARIOS = tuple(s.whole_table() for s in STANDARD_SCENARIOS)
+SCENARIOS = STANDARD_SCENARIOS
 BY_NAME = {s.name: s for s in SCENARIOS}
 
 
 def _scenario(name):
     def run(spark, sf):
         df = dirty(spark, sf)
-        made = inject.build_scenario(df, BY_NAME[name], SOURCES, df.count())
+        made = inject.build_scenario(df, BY_NAME[name], df.count())
         return made.select("row_id", *COLUMNS)
     return run
 
 
 def _all(spark, sf):
     df = dirty(spark, sf)
-    return inject.build_scenarios(df, SCENARIOS, SOURCES, df.count())
+    return inject.build_scenarios(df, SCENARIOS, df.count())
+
+
+def _valid(spark, sf):
+    return inject.valid_baseline(dirty(spark, sf), SOURCES, 1).select("row_id", *COLUMNS)
 
 
 def _part(spark, sf):
@@ -61,7 +64,7 @@ def _baseline_sql(offset: int, relation: str) -> str:
 
 def scenario_sql(s: Scenario) -> str:
     """The scenario as nested SQL, one defect after the other."""
-    sql = _baseline_sql(s.offset, "s0")
+    sql = f"SELECT row_id, {', '.join(COLUMNS)} FROM s0"
     n = "(SELECT COUNT(*) FROM s0)"
     if s.copies:
         others = ", ".join(c for c in COLUMNS if c not in ("id", "entity_key"))
@@ -120,7 +123,8 @@ QUERIES = {
         SELECT c_custkey + (k - 1) * (SELECT COUNT(*) FROM customer) AS row_id, 'C' AS source,
           CAST(c_custkey AS VARCHAR) || '-B0' || k AS id, 'C:' || c_custkey || '-B0' || k AS entity_key
         FROM customer, range(1, 4) t(k)"""),
-    "valid_baseline": Query(_scenario("control"), _one("control")),
+    "valid_baseline": Query(_valid, with_tables(_S0 + _baseline_sql(1, "s0"), "dirty_entities")),
+    "scenario_control": Query(_scenario("control"), _one("control")),
     "scenario_missing_critical": Query(_scenario("missing_critical"), _one("missing_critical")),
     "scenario_duplicate_keys": Query(_scenario("duplicate_keys"), _one("duplicate_keys")),
     "scenario_invalid_domains": Query(_scenario("invalid_domains"), _one("invalid_domains")),

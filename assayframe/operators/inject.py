@@ -6,13 +6,13 @@ a range of rows; a scenario is an ordered list of defects, so later ones win.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from assayframe.columns import list_sql, name_sql, present, replaced, text_sql
 from assayframe.operators.repair import STANDARD_DOMAINS, padded_sql
-from assayframe.operators.rowid import ROW_ID, head
+from assayframe.operators.rowid import ROW_ID
 
 # Valid values to cycle through, invalid values, and number formats.
 LEGAL_FORMS = ("BV", "NV", "GMBH", "SARL", "SA", "LTD", "SAS", "SOLE_TRADER")
@@ -56,15 +56,10 @@ class Defect:
 @dataclass(frozen=True)
 class Scenario:
     name: str
-    offset: int = 0
-    rows: int | None = None          # only the first rows of the table, all when None
     copies: int = 0                  # copies of every row, each with its own id suffix
     defects: Sequence[Defect] = field(default_factory=tuple)
     repeat_head: int = 0             # first rows appended once more at the end
 
-    def whole_table(self) -> Scenario:
-        return replace(self, rows=None)
-
 
 def cycled_sql(position: str, values: Sequence[str], offset: int | str = 0) -> str:
     place = f"CAST(pmod({position} + {offset}, {len(values)}) AS INT) + 1"
@@ -129,9 +124,9 @@ def valid_baseline(df: DataFrame, sources: Sequence[str], offset: int | str = 0,
     return rekey(replaced(df, {c: made[c] for c in present(df, made)}))
 
 
-def rekey(df: DataFrame, key: str = "entity_key") -> DataFrame:
+def rekey(df: DataFrame, key: str = "entity_key", where: str = "true") -> DataFrame:
     if len(present(df, ("source", "id", key))) == 3:
-        df = replaced(df, {key: "concat(source, ':', id)"})
+        df = replaced(df, {key: f"if({where}, concat(source, ':', id), {key})"})
     return df
 
 
@@ -145,7 +140,7 @@ def replicate(df: DataFrame, copies: int | str, rows: int | str, row_id: str = R
     return rekey(replaced(copied, {
         "id": f"if({copies} > 0, concat(id, '-B', {padded_sql('_copy', 2)}), id)",
         row_id: f"{name_sql(row_id)} + (_copy - 1) * CAST({rows} AS BIGINT)",
-    }).drop("_copy"))
+    }).drop("_copy"), where=f"{copies} > 0")
 
 
 def append_head(df: DataFrame, count: int | str, rows: int | str, row_id: str = ROW_ID) -> DataFrame:
@@ -161,36 +156,30 @@ def append_head(df: DataFrame, count: int | str, rows: int | str, row_id: str =
     ).select(*map(name_sql, df.columns))
 
 
-def build_scenarios(df: DataFrame, scenarios: Sequence[Scenario], sources: Sequence[str],
-                    rows: int, row_id: str = ROW_ID, name: str = "scenario") -> DataFrame:
-    """All scenarios over an ordered table of ``rows`` rows, from one scan.
+def build_scenarios(df: DataFrame, scenarios: Sequence[Scenario], rows: int,
+                    row_id: str = ROW_ID, name: str = "scenario") -> DataFrame:
+    """All scenarios over the rows of an ordered table of ``rows`` rows, from one scan.
 
     Every row is emitted once per scenario together with that scenario's settings;
-    baseline, copies, defects and repeated rows are then row-level expressions.
+    copies, defects and repeated rows are then row-level expressions.
     """
-    sizes = [rows if s.rows is None else min(rows, s.rows) for s in scenarios]
-    if max(sizes) < rows:
-        df = head(df, max(sizes), row_id)
     row = name_sql(row_id)
     settings = ", ".join(
-        f"struct({text_sql(s.name)} AS {name}, {s.offset} AS _offset, {n}L AS _rows, {s.copies} AS _copies, "
-        f"{s.repeat_head} AS _head)"
-        for s, n in zip(scenarios, sizes))
-    made = df.selectExpr("*", f"inline(array({settings}))").filter(f"{row} < _rows")
-    made = valid_baseline(made, sources, "_offset", row_id)
-    made = replicate(made, "_copies", "_rows", row_id)
+        f"struct({text_sql(s.name)} AS {name}, {s.copies} AS _copies, {s.repeat_head} AS _head)"
+        for s in scenarios)
+    made = df.selectExpr("*", f"inline(array({settings}))")
+    made = replicate(made, "_copies", rows, row_id)
     cases: dict[str, list[str]] = {}
     for s in scenarios:
         for column, branches in _cases(s.defects, row, f"{name} = {text_sql(s.name)} AND ").items():
             cases.setdefault(column, []).extend(branches)
-    made = append_head(_rewritten(made, cases), "_head", "_rows * greatest(_copies, 1)", row_id)
-    return made.drop("_offset", "_rows", "_copies", "_head")
+    made = append_head(_rewritten(made, cases), "_head", f"{rows}L * greatest(_copies, 1)", row_id)
+    return made.drop("_copies", "_head")
 
 
-def build_scenario(df: DataFrame, scenario: Scenario, sources: Sequence[str],
-                   rows: int, row_id: str = ROW_ID) -> DataFrame:
+def build_scenario(df: DataFrame, scenario: Scenario, rows: int, row_id: str = ROW_ID) -> DataFrame:
     """One scenario over an ordered table of ``rows`` rows."""
-    return build_scenarios(df, [scenario], sources, rows, row_id, "_scenario").drop("_scenario")
+    return build_scenarios(df, [scenario], rows, row_id, "_scenario").drop("_scenario")
 
 
 def _invalid(column: str, start: int, stop: int) -> Defect:
@@ -198,16 +187,16 @@ def _invalid(column: str, start: int, stop: int) -> Defect:
 
 
 # The standard scenarios and the rows their defects cover.
-CONTROL = Scenario("control", offset=1, rows=1000)
-MISSING_CRITICAL = Scenario("missing_critical", offset=2, rows=1500, defects=(
+CONTROL = Scenario("control")
+MISSING_CRITICAL = Scenario("missing_critical", defects=(
     Defect("name", 0, 24),
     Defect("country", 25, 49),
     Defect("type_of_activity", 50, 74),
     Defect("contracting_method", 75, 99),
     Defect("contract_status", 100, 124),
 ))
-DUPLICATE_KEYS = Scenario("duplicate_keys", offset=3, rows=1500, repeat_head=75)
-INVALID_DOMAINS = Scenario("invalid_domains", offset=4, rows=1500, defects=(
+DUPLICATE_KEYS = Scenario("duplicate_keys", repeat_head=75)
+INVALID_DOMAINS = Scenario("invalid_domains", defects=(
     _invalid("source", 0, 24),
     _invalid("country", 25, 49),
     _invalid("activity_detail_status", 50, 74),
@@ -216,20 +205,20 @@ INVALID_DOMAINS = Scenario("invalid_domains", offset=4, rows=1500, defects=(
     _invalid("contracting_method", 125, 149),
     _invalid("contract_status", 150, 174),
 ))
-INVALID_DATE_VALUES = Scenario("invalid_dates", offset=5, rows=1500, defects=(
+INVALID_DATE_VALUES = Scenario("invalid_dates", defects=(
     Defect("last_trx_date", 0, 39, INVALID_DATES),
     Defect("vintage_date", 40, 79, INVALID_DATES, 1),
     Defect("last_trx_date", 80, 119, INVALID_DATES, 2),
     Defect("vintage_date", 120, 159, INVALID_DATES, 3),
 ))
-NULL_BREACH = Scenario("null_threshold_breach", offset=6, rows=2000, defects=(
+NULL_BREACH = Scenario("null_threshold_breach", defects=(
     Defect("mcc", 0, 1399),
     Defect("vintage_date", 0, 1199),
     Defect("legal_form", 0, 1899),
     Defect("last_trx_date", 0, 999),
 ))
-LARGE_VOLUME = Scenario("large_volume", offset=7, copies=5)
-MIXED_EXTREME = Scenario("mixed_extreme", offset=7, rows=4000, copies=3, repeat_head=100, defects=(
+LARGE_VOLUME = Scenario("large_volume", copies=5)
+MIXED_EXTREME = Scenario("mixed_extreme", copies=3, repeat_head=100, defects=(
     Defect("name", 0, 99),
     _invalid("country", 100, 199),
     _invalid("source", 200, 299),

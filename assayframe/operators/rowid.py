@@ -1,11 +1,10 @@
 """Dense row numbers and occurrence numbers without a single-task window."""
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from functools import reduce
-from itertools import accumulate
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +14,24 @@ from assayframe.session import materialise
 ROW_ID = "row_id"
 # Rows of one key that one task numbers at a time.
 BLOCK_ROWS = 1_000_000
+# Rows that one range of an ordered table holds at most, about.
+RANGE_ROWS = 1_000_000
+_READ = ("_file", "_start", "_read")
+
+
+def _with_reading_position(df: DataFrame) -> DataFrame:
+    """Where each row was read: file, start of its split, and position as Spark counts.
+
+    Spark packs splits into tasks by size, so its own count follows the files only
+    inside a split.  A table that is not read from files has no file and no split.
+    """
+    counted = df.withColumn("_read", F.monotonically_increasing_id())
+    try:
+        return counted.withColumns({
+            "_file": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start")})
+    except AnalysisException:
+        return counted.withColumns({
+            "_file": F.lit(None).cast("string"), "_start": F.lit(None).cast("bigint")})
 
 
 def with_row_id(
@@ -26,35 +43,42 @@ def with_row_id(
 ) -> DataFrame:
     """Number the rows 0..n-1 in the given order; ties keep the order they are read in.
 
-    The table is range-partitioned and sorted once and written to the shared scratch
-    folder with its partition number and place in the partition; only the row count
-    of each partition is then collected.  The reading position is part of the range
-    key, so no order value is too frequent to be split over several tasks.  Without
-    order columns the rows are numbered as they are read and nothing is shuffled.
+    Reading order is by file path and position in the file.  The table is
+    range-partitioned and sorted once and written to the shared scratch folder with its
+    partition number and place in the partition; the offsets of the partitions are a
+    small table that is joined.  The reading position is part of the range key, so no
+    order value is too frequent to be split over several tasks.  Without order columns
+    nothing is shuffled: splits take the place of partitions.
 
     A repeated task must see the reading positions it saw before, or rows would change
     ranges half way.  That holds for a plain scan of files, which ``plain_scan`` states;
     anything else is written with its positions first.
     """
     spark = df.sparkSession
-    ranged = df
+    ranged = _with_reading_position(df)
     if order:
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        keys = [*map(named, order), F.col("_read")]
-        read = df.withColumn("_read", F.monotonically_increasing_id())
+        keys = [*map(named, order), *map(F.col, _READ)]
         if not plain_scan:
-            read = materialise(read, "positions")
-        ranged = read.repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_read")
+            ranged = materialise(ranged, "positions")
+        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = partitions or max(width, -(-ranged.count() // RANGE_ROWS))
+        ranged = ranged.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        # A range stands for itself; its rows come from any number of files.
+        ranged = ranged.withColumns({"_file": F.lit(""), "_start": F.lit(0).cast("bigint")})
     in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     written = materialise(
-        ranged.withColumn("_part", F.spark_partition_id()).withColumn("_place", in_part), "rowid"
+        ranged.drop("_read").withColumn("_part", F.spark_partition_id()).withColumn("_place", in_part)
+        .withColumns({"_file": F.coalesce("_file", F.lit("")), "_start": F.coalesce("_start", F.lit(0))}), "rowid"
     )
-    # One number per partition, however large the table: small enough to become a
-    # literal, so that later scans of the numbered table are plain projections.
-    sizes = dict(written.groupBy("_part").count().collect())
-    starts = list(accumulate((sizes.get(i, 0) for i in range(max(sizes, default=-1) + 1)), initial=0))
-    start = F.get(F.from_json(F.lit(json.dumps(starts)), "array<bigint>"), F.col("_part"))
-    return written.select(*map(named, df.columns), (start + F.col("_place")).alias(name))
+    # One row per range or split, so the window holds little however large the table is.
+    pieces = written.groupBy("_file", "_start", "_part").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
+    earlier = Window.orderBy("_file", "_start", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")
+    offsets = materialise(
+        pieces.select("_file", "_start", "_part", shift.alias("_shift")).coalesce(1), "offsets")
+    return written.join(offsets, ["_file", "_start", "_part"]).select(
+        *map(named, df.columns), (F.col("_shift") + F.col("_place")).alias(name))
 
 
 def occurrence(

@@ -140,14 +140,15 @@ def with_join_key(base: DataFrame, id_column: str = "id", **key_options) -> Data
     return base.withColumn(JOIN_KEY, keys.registry_key(named(id_column), **key_options))
 
 
-def flagged(base: DataFrame, known: DataFrame, hot_keys: Sequence = ()) -> DataFrame:
+def flagged(base: DataFrame, known: DataFrame, hot_keys: Sequence = (), **key_options) -> DataFrame:
     """The base with one more column: whether the registry holds the entity."""
-    return with_flag(with_join_key(base), known, JOIN_KEY, FLAG, hot_keys=hot_keys).drop(
-        JOIN_KEY).select(*base.columns, FLAG)
+    return with_flag(with_join_key(base, **key_options), known, JOIN_KEY, FLAG, hot_keys=hot_keys).drop(
+        JOIN_KEY).select(*map(named, base.columns), FLAG)
 
 
-def unmatched(base: DataFrame, known: DataFrame, hot_keys: Sequence = ()) -> DataFrame:
-    return without_match(with_join_key(base), known, JOIN_KEY, hot_keys).select(*base.columns)
+def unmatched(base: DataFrame, known: DataFrame, hot_keys: Sequence = (), **key_options) -> DataFrame:
+    return without_match(with_join_key(base, **key_options), known, JOIN_KEY, hot_keys).select(
+        *map(named, base.columns))
 
 
 def combined_registry(identity: DataFrame, risk: DataFrame, links: DataFrame,
@@ -166,14 +167,14 @@ def combined_registry(identity: DataFrame, risk: DataFrame, links: DataFrame,
 
 
 def enriched(base: DataFrame, identity: DataFrame, risk: DataFrame, links: DataFrame,
-             dedupe: bool = False, hot_keys: Sequence = ()) -> DataFrame:
+             dedupe: bool = False, hot_keys: Sequence = (), **key_options) -> DataFrame:
     """The base with flag and 25 registry columns; unmatched entities have NULLs.
 
     ``in_registry_flag`` means the registry knows the key, ``has_risk_flag`` that a
     risk score was found; the two can differ.
     """
     registry = combined_registry(identity, risk, links, dedupe)
-    joined = lookup_join(with_join_key(base), registry, JOIN_KEY, "left", hot_keys)
+    joined = lookup_join(with_join_key(base, **key_options), registry, JOIN_KEY, "left", hot_keys)
     return joined.select(
         *base.columns,
         F.when(F.col("_known"), "Y").otherwise("N").alias(FLAG),
@@ -182,10 +183,11 @@ def enriched(base: DataFrame, identity: DataFrame, risk: DataFrame, links: DataF
     )
 
 
-def enrich_from_lookup(base: DataFrame, lookup: DataFrame, hot_keys: Sequence = ()) -> DataFrame:
+def enrich_from_lookup(base: DataFrame, lookup: DataFrame, hot_keys: Sequence = (),
+                       **key_options) -> DataFrame:
     """The base joined to an already combined lookup; the flag follows the risk score."""
     columns = [c for c in lookup.columns if c != JOIN_KEY]
-    joined = lookup_join(with_join_key(base), lookup, JOIN_KEY, "left", hot_keys)
+    joined = lookup_join(with_join_key(base, **key_options), lookup, JOIN_KEY, "left", hot_keys)
     return joined.select(
         *base.columns, *map(named, columns),
         F.when(F.col("registry_risk_score").isNotNull(), "Y").otherwise("N").alias(FLAG),
@@ -213,13 +215,13 @@ def match_volume(flagged_base: DataFrame, volume: str = "total_msv_12m_eur") ->
     ).orderBy("source", FLAG)
 
 
-def match_rates(base: DataFrame, known: DataFrame) -> DataFrame:
+def match_rates(base: DataFrame, known: DataFrame, **key_options) -> DataFrame:
     """Matched and total entities per source, straight from base and registry keys.
 
     The base is counted per (source, key) before it meets the registry, so a key with
     a third of all entities is one row in the join.
     """
-    counted = with_join_key(base).groupBy("source", JOIN_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    counted = with_join_key(base, **key_options).groupBy("source", JOIN_KEY).agg(F.count(F.lit(1)).alias("_n"))
     matched = with_flag(counted, known, JOIN_KEY, FLAG)
     out = matched.groupBy("source").agg(
         F.coalesce(F.sum(F.when(F.col(FLAG) == "Y", F.col("_n"))), F.lit(0)).alias("matched"),

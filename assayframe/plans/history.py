@@ -1,12 +1,15 @@
 """Run history: finding, labelling and comparing finished runs."""
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayframe.functions.dates import local_label
-from assayframe.operators.frequency import step_change
+from assayframe.operators.frequency import latest_per_key, step_change
 from assayframe.operators.report import REPORT_SCHEMA
 from assayframe.sources.files import FILE_PATH
 
@@ -25,27 +28,49 @@ SUMMARY_SCHEMA = T.StructType([
 NEEDED = ("quality_score", "checks_failed", "checks_passed", "row_count")
 
 
-def find_runs(spark: SparkSession, root: str, pattern: str = "summary.json") -> DataFrame:
+_SCHEME = r"[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)"
+# Summaries of one file per run, and those that ``publish_run`` writes.
+SUMMARY_FILES = "{summary.json,part-*.json}"
+# What ``publish_run`` puts around a run id.
+_PUBLISHED = r"^(?:summary/)?run_id=(.*)/attempt=[^/]*$"
+
+
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def find_runs(spark: SparkSession, root: str, pattern: str = SUMMARY_FILES) -> DataFrame:
     """All runs below ``root``, newest first, runs without a readable time last.
 
-    Corrupt files and summaries without the needed fields are left out.  The run id
-    is the folder of the file relative to ``root``.
+    Corrupt files and summaries without the needed fields are left out, and a missing
+    root has no runs.  The run id is the folder of the file relative to ``root``, or the
+    id that a run was published under; of several publications the last counts.
     """
-    raw = (
+    reader = (
         spark.read.schema(SUMMARY_SCHEMA)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .option("multiLine", pattern == "summary.json")
+        .option("multiLine", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_broken")
-        .json(root)
-        .withColumn("_path", F.expr(FILE_PATH))
     )
+    try:
+        raw = reader.json(root).withColumn("_path", F.expr(FILE_PATH))
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        raw = spark.createDataFrame([], SUMMARY_SCHEMA).withColumn("_path", F.lit(""))
     folder = F.regexp_replace(F.col("_path"), r"/[^/]*$", "")
-    start = F.instr(folder, root.rstrip("/")) + len(root.rstrip("/")) + 1
-    runs = raw.filter(F.col("_broken").isNull()).dropna(subset=list(NEEDED))
-    return runs.select(
-        F.substring(folder, start, F.length(folder)).alias("run_id"),
+    # Readers may spell the scheme in another way than the caller did.
+    inside = F.regexp_replace(folder, f"^{_SCHEME}", "")
+    own = re.sub(f"^{_SCHEME}", "", root.rstrip("/"))
+    below = F.substring(inside, F.instr(inside, own) + len(own) + 1, F.length(inside))
+    runs = raw.filter(F.col("_broken").isNull()).dropna(subset=list(NEEDED)).withColumns({
+        "run_id": F.regexp_replace(below, _PUBLISHED, "$1"),
+        "_attempt": F.regexp_extract(below, r"attempt=([^/]*)$", 1),
+    })
+    return latest_per_key(runs, ["run_id"], "_attempt").select(
+        "run_id",
         F.try_to_timestamp("generated_at_utc").cast("timestamp_ntz").alias("generated_at"),
         "input_file",
         "row_count",
@@ -56,18 +81,29 @@ def find_runs(spark: SparkSession, root: str, pattern: str = "summary.json") ->
     ).orderBy(F.desc_nulls_last("generated_at"), F.asc("run_id"))
 
 
+def _history(spark: SparkSession, root: str) -> DataFrame:
+    """The last publication of each run, with its attempt."""
+    return latest_per_key(
+        spark.read.parquet(root.rstrip("/") + "/history").drop("publication"), ["run_id"], "attempt")
+
+
 def published_runs(spark: SparkSession, root: str) -> DataFrame:
-    """Runs published with ``publish_run``, newest first."""
-    return spark.read.parquet(root.rstrip("/") + "/history").orderBy(
+    """Runs published with ``publish_run``, newest first; of repeated ids the last publication."""
+    return _history(spark, root).drop("attempt").orderBy(
         F.desc_nulls_last("generated_at_utc"), F.asc("run_id"))
 
 
 def run_report(spark: SparkSession, root: str, run_id: str) -> DataFrame:
-    """The report of one published run; no rows when there is none."""
-    path = root.rstrip("/") + f"/report/run_id={run_id}"
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
+    """The report of one published run, as its history row names it; no rows when there is none."""
+    try:
+        found = _history(spark, root).filter(F.col("run_id") == run_id).select("attempt").first()
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        found = None
+    if found is None:
         return spark.createDataFrame([], REPORT_SCHEMA)
+    path = root.rstrip("/") + f"/report/run_id={run_id}/attempt={found['attempt']}"
     return spark.read.schema(REPORT_SCHEMA).option("escape", '"').csv(path, header=True)
 
 

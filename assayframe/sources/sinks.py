@@ -1,12 +1,13 @@
 """Writers: tables that keep their schema, report files, and published runs.
 
-A run is published under its own ``run_id``.  Its results go first and its history
-row last, so a reader that starts from the history only ever sees complete runs and
-two runs never write to the same place.
+Every publication of a run writes to a folder of its own, the attempt.  Its results go
+first and its history row, which names the attempt, last, so a reader that starts from the
+history only ever sees complete runs and no two publications write to the same place.
 """
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,16 +75,22 @@ def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:
 def publish_run(
     results: DataFrame, summary: DataFrame, root: str, run_id: str
 ) -> dict[str, str]:
-    """Write report and summary of one run, then make it visible in the history."""
+    """Write report and summary of one run, then make it visible in the history.
+
+    A run id that is published again gets another attempt; readers take the last one.
+    """
     base = root.rstrip("/")
+    now = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    attempt = f"{now}-{uuid.uuid4().hex[:8]}"
     paths = {
-        "report": f"{base}/report/run_id={run_id}",
-        "summary": f"{base}/summary/run_id={run_id}",
-        "history": f"{base}/history/run_id={run_id}",
+        "report": f"{base}/report/run_id={run_id}/attempt={attempt}",
+        "summary": f"{base}/summary/run_id={run_id}/attempt={attempt}",
+        "history": f"{base}/history",
     }
     write_csv(build_report(results), paths["report"], single_file=True)
     write_json(summary, paths["summary"], single_file=True)
     spark = results.sparkSession
-    spark.read.schema(summary.schema).json(paths["summary"]).coalesce(1).write.mode(
-        "overwrite").parquet(paths["history"])
+    row = spark.read.schema(summary.schema).json(paths["summary"])
+    row.withColumns({"run_id": F.lit(run_id), "attempt": F.lit(attempt)}).coalesce(1).write.parquet(
+        f"{paths['history']}/publication={attempt}")
     return paths

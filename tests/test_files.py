@@ -196,6 +196,21 @@ def test_two_runs_do_not_touch_each_other(spark, tmp_path):
     assert runs == {f"run-{i}": (f"source-{i}", 1 + i % 2) for i in range(4)}
 
 
+def test_a_run_published_again_is_never_mixed(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    assert history.find_runs(spark, root).count() == 0
+    assert history.run_report(spark, root, "run").count() == 0
+    for i, rules in enumerate((Rules(non_null_columns=("c",)), Rules(non_null_columns=("c",), unique_columns=("c",)))):
+        df = spark.createDataFrame([("a",)] * (i + 1), "c string")
+        results = run_checks(df, rules)
+        sinks.publish_run(results, build_summary(results, f"source-{i}", f"2026-01-0{i + 1} 00:00:00"), root, "run")
+    found = history.find_runs(spark, root).collect()
+    assert [(r.run_id, r.input_file, r.checks_total, r.row_count) for r in found] == [("run", "source-1", 3, 2)]
+    kept = history.published_runs(spark, root).collect()
+    assert [(r.run_id, r.input_file, r.checks_total) for r in kept] == [("run", "source-1", 3)]
+    assert history.run_report(spark, root, "run").count() == 3
+
+
 def test_written_text_is_read_as_written(spark, tmp_path):
     rng = random.Random(3)
     cells = ["", " ", "NULL", '"', '""', ",", "a,b", "\\", '\\"', " x ", "#x", "'", "é漢", "a\tb"]

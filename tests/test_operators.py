@@ -235,20 +235,9 @@ def entity_rows(spark, n):
         F.lit("5411").alias("mcc"), F.lit("BV").alias("legal_form"), F.lit("1").alias("active_contracts"))
 
 
-def brute_scenario(rows, s, sources):
+def brute_scenario(rows, s):
     """The scenario on Python dicts, row after row."""
-    rows = [dict(r) for r in rows[: s.rows]]
-    cycles = {"source": sources, **repair.STANDARD_DOMAINS, "legal_form": inject.LEGAL_FORMS, "mcc": inject.MCC_CODES}
-    import datetime as dt
-    for i, r in enumerate(rows):
-        for c, values in cycles.items():
-            if c in r:
-                r[c] = values[(i + s.offset) % len(values)]
-        for c, (first, step, cycle) in (("last_trx_date", inject.LAST_TRX), ("vintage_date", inject.VINTAGE)):
-            r[c] = str(dt.date.fromisoformat(first) + dt.timedelta(days=i * step % cycle))
-        r["active_contracts"] = str(i % 5 + 1)
-        r["name"] = f"{inject.NAMES[(i + s.offset) % len(inject.NAMES)]} {i + 1:05d}"
-        r["entity_key"] = f"{r['source']}:{r['id']}"
+    rows = [dict(r) for r in rows]
     if s.copies:
         rows = [{**r, "id": f"{r['id']}-B{k:02d}", "entity_key": f"{r['source']}:{r['id']}-B{k:02d}"}
                 for k in range(1, s.copies + 1) for r in rows]
@@ -262,24 +251,41 @@ def brute_scenario(rows, s, sources):
 @pytest.mark.parametrize("n", [30, 220])
 def test_scenarios(spark, n):
     df = entity_rows(spark, n)
-    sources = ("One", "Two")
     source_rows = [r.asDict() for r in df.orderBy("row_id").collect()]
-    made = inject.build_scenarios(df, inject.STANDARD_SCENARIOS, sources, n)
+    made = inject.build_scenarios(df, inject.STANDARD_SCENARIOS, n)
     got: dict = {}
     for r in made.collect():
         d = r.asDict()
         got.setdefault(d.pop("scenario"), []).append(d)
     for s in inject.STANDARD_SCENARIOS:
-        expected = brute_scenario(source_rows, s, sources)
+        expected = brute_scenario(source_rows, s)
         rows = sorted(got[s.name], key=lambda r: r["row_id"])
         assert [r.pop("row_id") for r in rows] == list(range(len(expected)))
         for r in expected:
             r.pop("row_id")
         assert rows == expected, s.name
-    one = inject.build_scenario(df, inject.MIXED_EXTREME, sources, n)
+    one = inject.build_scenario(df, inject.MIXED_EXTREME, n)
     assert one.count() == len(got["mixed_extreme"])
 
 
+def test_valid_baseline_passes_its_own_domains(spark):
+    made = inject.valid_baseline(entity_rows(spark, 30), ("One", "Two"), 1).orderBy("row_id").collect()
+    assert [r.source for r in made[:3]] == ["Two", "One", "Two"]
+    assert made[4].last_trx_date == "2025-01-23" and made[4].active_contracts == "5"
+    assert all(r.entity_key == f"{r.source}:{r.id}" for r in made)
+
+
+def test_rows_of_several_files_are_numbered_file_by_file(spark, tmp_path):
+    for name, rows in (("a", 5), ("b", 50), ("c", 500)):
+        spark.range(rows).selectExpr(f"'{name}' AS file", "id", "1 AS same").coalesce(1).write.parquet(
+            str(tmp_path / "in" / f"part={name}"))
+    df = spark.read.parquet(str(tmp_path / "in")).select("file", "id", "same")
+    for order, plain in (([], False), (["same"], True), (["same"], False)):
+        rows = with_row_id(df, order, plain_scan=plain).orderBy("row_id").collect()
+        assert [r.row_id for r in rows] == list(range(555))
+        assert [(r.file, r.id) for r in rows] == [(f, i) for f, n in (("a", 5), ("b", 50), ("c", 500)) for i in range(n)]
+
+
 def test_coverage_of_a_small_base(spark):
     base = spark.createDataFrame([
         ("One", "2001190603", "a", "Active"), ("One", "835720", "b", "Inactive"), ("Two", None, "c", "Active"),
@@ -290,6 +296,9 @@ def test_coverage_of_a_small_base(spark):
     assert flagged.columns == [*base.columns, "in_registry_flag"]
     assert {r.name for r in flagged.filter("in_registry_flag = 'Y'").collect()} == {"b", "e"}
     assert {r.name for r in coverage.unmatched(base, known).collect()} == {"a", "c", "d", "f"}
+    # The plain form pads ids without digits, which the registry may hold.
+    zeros = spark.createDataFrame([("P_M0000000000000",)], "join_key string")
+    assert {r.name for r in coverage.unmatched(base, zeros, truncate=True).collect()} == {"a", "b", "c", "e", "f"}
     summary = {(r.source, r.in_registry_flag): (r.merchants, r.active_merchants, r.pct_of_source)
                for r in coverage.match_summary(flagged).collect()}
     assert summary == {
