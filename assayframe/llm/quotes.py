@@ -25,43 +25,45 @@ from pyspark.sql import functions as F
 
 from assayframe.session import materialise
 
-_MARKS = r"^\s{0,3}((?:>[ \t]?)+)"
+_MARKS = r"^\s{0,3}((?:>[ \t]?)++)"  # possessive: no recursion on long runs of marks
+_BLANKS = " \t\n\x0b\f\r"
 _NO_TURN = 1 << 62
 _STRETCH = 4096
 
 
-def passages(text: Column) -> Column:
-    """array<struct<level, body>>: the passages of a text, in order, without quote marks."""
+def parsed_lines(text: Column) -> Column:
+    """array<struct<level, body>>: the lines of a text without quote marks; a blank line has level -1."""
     lines = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n?", "\n"), "\n")
 
     def parsed(line: Column) -> Column:
-        marks = F.regexp_extract(line, _MARKS, 1)
-        level = F.length(F.regexp_replace(marks, "[^>]", ""))
-        return F.struct(level.alias("level"), F.regexp_replace(line, _MARKS, "").alias("body"))
-
-    def add(done: Column, line: Column) -> Column:
-        blank = F.trim(line["body"]) == ""
-        same = (done["last"] == line["level"]) & ~blank
-        n = F.size(done["out"])
-        grown = F.concat(
-            F.slice(done["out"], 1, F.greatest(n - 1, F.lit(0))),
-            F.array(F.struct(line["level"].alias("level"), F.concat_ws(
-                "\n", F.element_at(done["out"], -1)["body"], line["body"]).alias("body"))))
-        new = F.concat(done["out"], F.array(line))
-        return F.struct(
-            F.when(blank, done["out"]).when(same, grown).otherwise(new).alias("out"),
-            F.when(blank, F.lit(-1)).otherwise(line["level"]).alias("last"))
-
-    empty = F.struct(F.array().cast("array<struct<level:int,body:string>>").alias("out"),
-                     F.lit(-1).alias("last"))
-    return F.aggregate(F.transform(lines, parsed), empty, add, lambda s: s["out"])
+        level = F.length(F.regexp_replace(F.regexp_extract(line, _MARKS, 1), "[^>]", ""))
+        body = F.regexp_replace(line, _MARKS, "")
+        return F.struct(F.when(F.trim(body) == "", -1).otherwise(level).alias("level"), body.alias("body"))
+
+    return F.transform(lines, parsed)
+
+
+def passages(lines: Column) -> Column:
+    """array<struct<level, body>>: the passages of a column of parsed lines, in order.
+
+    A passage starts and ends where the level of the neighbouring line differs, so its lines
+    are found by place and joined once, however many lines a text has.
+    """
+    def level(i: Column) -> Column:
+        return F.get(lines, i)["level"]
+
+    places = F.sequence(F.lit(0), F.size(lines) - 1)
+    begin = F.filter(places, lambda i: (level(i) >= 0) & ~level(i).eqNullSafe(level(i - 1)))
+    end = F.filter(places, lambda i: (level(i) >= 0) & ~level(i).eqNullSafe(level(i + 1)))
+    return F.zip_with(begin, end, lambda b, e: F.struct(
+        level(b).alias("level"),
+        F.array_join(F.transform(F.slice(lines, b + 1, e - b + 1), lambda x: x["body"]), "\n").alias("body")))
 
 
 def own_text(text: Column) -> Column:
     """The text without its quoted lines; their surroundings keep their line breaks."""
     lines = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n?", "\n"), "\n")
-    return F.regexp_replace(
-        F.array_join(F.filter(lines, lambda x: ~x.rlike(_MARKS)), "\n"), r"^\s+|\s+$", "")
+    return F.btrim(F.array_join(F.filter(lines, lambda x: ~x.rlike(_MARKS)), "\n"), F.lit(_BLANKS))
 
 
 def _normal(body: Column) -> Column:
@@ -84,7 +86,8 @@ def linked(messages: DataFrame) -> DataFrame:
         "t": F.coalesce(F.col("turn").cast("long"), F.lit(_NO_TURN)),
         "m": F.xxhash64(F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))),
     })
-    parts = rows.select("c", "t", "m", F.explode(passages(F.col("text"))).alias("p")).select(
+    lines = rows.select("c", "t", "m", parsed_lines(F.col("text")).alias("lines"))
+    parts = lines.select("c", "t", "m", F.explode(passages(F.col("lines"))).alias("p")).select(
         "c", "t", "m", "p.level", "p.body")
     quoted = materialise(
         parts.where("level > 0").select("c", "t", "m", "level", _hash(F.col("body")).alias("h"),
@@ -136,17 +139,24 @@ def _numbered(rows: DataFrame, group: str) -> DataFrame:
 
     A group is cut into stretches of one conversation and ``_STRETCH`` turns, which are
     numbered on their own and shifted by the sizes of earlier stretches, so that a very
-    long conversation is not one task.
+    long conversation is not one task.  Shifts are summed inside ``_STRETCH`` conversation
+    numbers first, so that a thread of very many conversations is not one task either.
     """
     rows = rows.withColumn("s", F.floor(F.col("t") / _STRETCH))
     parts = rows.groupBy(group, *[x for x in ("c", "s") if x != group]).agg(
-        F.count("*").alias("n"), F.max("t").alias("end"))
-    earlier = Window.partitionBy(group).orderBy("c", "s")
-    parts = parts.select(
-        F.col(group).alias("g"), F.col("c").alias("gc"), F.col("s").alias("gs"),
-        F.coalesce(F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("shift"),
-        F.lag("end").over(earlier).alias("end"))
-    inside = Window.partitionBy(group, "c", "s").orderBy("t", "m")
+        F.count("*").alias("n"), F.max("t").alias("end")).select(
+        F.col(group).alias("g"), F.floor(F.col("c") / _STRETCH).alias("cs"), F.col("c").alias("gc"),
+        F.col("s").alias("gs"), "n", "end")
+
+    def before(window: Window) -> Column:
+        return F.coalesce(F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    wide = parts.groupBy("g", "cs").agg(F.sum("n").alias("n")).select(
+        "g", "cs", before(Window.partitionBy("g").orderBy("cs")).alias("base"))
+    near = Window.partitionBy("g", "cs").orderBy("gc", "gs")
+    parts = parts.select("g", "cs", "gc", "gs", before(near).alias("shift"), F.lag("end").over(near).alias("end")) \
+        .join(wide, ["g", "cs"]).withColumn("shift", F.col("shift") + F.col("base")).drop("cs", "base")
+    inside = Window.partitionBy(*dict.fromkeys([group, "c", "s"])).orderBy("t", "m")
     found = rows.withColumns({"i": F.row_number().over(inside), "p": F.lag("t").over(inside)}).join(
         parts, F.expr(f"{group} = g AND c = gc AND s = gs"))
     return found.withColumns({

@@ -55,3 +55,15 @@ def test_stretches_do_not_change_places(spark, monkeypatch):
 
 def test_empty(spark):
     assert answer(spark, []) == []
+
+
+def test_long_texts_and_many_conversations_in_a_thread(spark, monkeypatch):
+    monkeypatch.setattr(quotes, "_STRETCH", 4)
+    many = "\n".join(f"> line {i}" if i % 2 else f"own {i}" for i in range(20_000))
+    rows = [(0, 0, "a", "said once")] + [(c, 0, "b", "> said once\nyes") for c in range(1, 30)]
+    rows += [(40, 0, "c", many), (41, 0, "d", ">" * 50_000), (42, 0, "e", "x" + " " * 200_000 + "y")]
+    got = {r["conv_id"]: r for r in answer(spark, rows)}
+    assert [got[c]["position"] for c in range(30)] == list(range(1, 31))
+    assert {got[c]["thread_id"] for c in range(30)} == {0}
+    assert got[40]["n_quoted"] == 10_000 and got[40]["own_text"].count("\n") == 9_999
+    assert got[41]["own_text"] == "" and len(got[42]["own_text"]) == 200_002
