@@ -40,6 +40,7 @@ LEAST_REVISIT = 0
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _LAST = (1 << 63) - 1
+_READ_BYTES = 1 << 14  # what a member leaves over is copied, so little is read at once
 _EMPTY_MEMBER = zlib.compressobj(6, zlib.DEFLATED, 31).flush()
 
 
@@ -221,14 +222,16 @@ def manifest(spark: SparkSession, path: str) -> list[dict]:
 
 def records(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record of an archive's bytes."""
-    rest = raw
-    while rest:
+    view, at = memoryview(raw), 0
+    while at < len(view):
         parts = []
         unpack = zlib.decompressobj(31)
-        parts.append(unpack.decompress(rest))
-        if not unpack.eof:
-            raise ValueError("an archive ends inside a record")
-        rest = unpack.unused_data
+        while not unpack.eof:
+            if at == len(view):
+                raise ValueError("an archive ends inside a record")
+            piece = view[at:at + _READ_BYTES]
+            parts.append(unpack.decompress(piece))
+            at += len(piece) - len(unpack.unused_data)
         text = b"".join(parts)
         if not text:
             continue
