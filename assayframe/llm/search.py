@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 K = 5
 SCALE = 256
 BLOCK_ROWS = 256
-RUN_ROWS = 8192
-QUERY_ROWS = 1024
+RUN_ROWS = 32_768
+QUERY_ROWS = 16_384
+_TURN = 1024  # queries of a group that are scored at once
 _EXACT = 1 << 53
 _OUT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -104,8 +105,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE,
 
     Documents are cut into runs of consecutive ids and queries into groups; each pair of a
     group and a run is one small task that holds one run and one group, and gives back at
-    most ``k`` rows a query.  Queries are a stated set; copying them to the runs moves
-    (queries x runs) vectors, and no pair of single rows is ever made.
+    most ``k`` rows a query.  Queries are a stated set; no pair of single rows is ever made.
+    Every document is copied once per group and every query once per run, so large groups
+    and runs keep the copies few; a task holds some tens of megabytes.
     """
     ready = quantised(vectors, scale)
     asks = quantised(vectors.where(is_query), scale)
@@ -141,8 +143,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE,
         asks = table.column("asks").to_numpy()
         if asks.all() or not asks.any():
             return _OUT.empty_table()
-        parts = best_of_run(ids[asks], matrix[asks], ids[~asks], matrix[~asks], k, block_rows)
-        return pa.table(list(parts), schema=_OUT)
+        own, queries, ids, rows = ids[asks], matrix[asks], ids[~asks], matrix[~asks]
+        parts = [best_of_run(own[a:a + _TURN], queries[a:a + _TURN], ids, rows, k, block_rows)
+                 for a in range(0, len(own), _TURN)]
+        return pa.table([np.concatenate(x) for x in zip(*parts)], schema=_OUT)
 
     found = documents.unionByName(queries).groupBy("grp", "run").applyInArrow(
         task, "query_id long, vec_id long, score long")
