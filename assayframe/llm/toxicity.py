@@ -1,19 +1,21 @@
-"""Toxicity scores: nearest labelled examples by exact TF-IDF cosine.
+"""Toxicity scores: nearest labelled examples by exact cosine over all terms of the examples.
 
 Examples are a bounded sample of labelled documents.  Terms are words (letters and digits,
-lower case) and their first four and five bytes; the vocabulary is the terms that speak most
-for the label by the likelihood ratio (beyond a first few, above a share of the number of
-examples, so that more examples do not let weaker terms in), so common words do not decide who is near.  Vectors
-are (1 + log count) * idf, of length 1.
-
-The inverted index keeps, for every term, the blocks of examples that have it, with the
-largest weight in the block, and the weights themselves.  A query adds up the block maxima,
-visits blocks in falling order of that bound, and stops when the bound is below its k-th
-best cosine, so the neighbours are exact.  The vote of the neighbours, each weighing its
-cosine to a power and shrunk towards the base rate, is turned into a probability by a
-logistic curve that is fitted to the votes the examples get from each other.
-
-Vocabulary, examples and index are bounded by parameters and go to the tasks with the code.
+lower case) and their first four and five bytes.  Every term of an example is in the
+vocabulary; none is left out for being rare, frequent or weak.  Vectors are
+(1 + log count) * idf * evidence, of length 1.  The evidence of a term that leans to label 1
+is 1 + its likelihood ratio, of others 1, so common words do not decide who is near where
+words speak for the label, and decide where none does.
+
+The index keeps the postings of every term.  The few terms that many examples have are a
+matrix, which meets the queries of a block in one product; the postings of all others are
+added up per query.  So every query gets its cosine to every example, and the neighbours are
+exact.  The vote of the neighbours, each weighing its cosine to a power and shrunk towards
+the base rate, is turned into a probability by a logistic curve that is fitted to the votes
+the examples get from each other.
+
+Weights of examples are in single precision.  Examples are bounded by a parameter; vocabulary and index are what their texts hold, and go
+to the tasks with the code.
 
 Defined results: null text is empty; a text without terms of the vocabulary has no
 neighbours and gets the score of the base rate among such examples; equal cosines are
@@ -30,16 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.llm import labelled
-from assayframe.llm.words import chunks, mix64, span_hashes, texts_of, tidied, word_spans
+from assayframe.llm.words import chunks, mix64, span_hashes, texts_of, tidied, tidy, word_spans
 
 EXAMPLES = 8192
-VOCABULARY = 512
-LEAST_DF = 4
-LEAST_TERMS, LEAST_RATIO = 128, 0.006
 NEIGHBOURS = 16
 POWER = 2.0
 SHRINK = 0.25
-BLOCK = 32
+BLOCK = 32  # queries that are scored together
+COMMON_SHARE = 0.12  # terms of more examples than this are held as a matrix
 EVIDENCE = 3
 PREFIXES = (4, 5)
 
@@ -64,9 +64,8 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found), np.concatenate(rows)
 
 
-def choose_terms(sample: DataFrame, size: int, least_df: int, least_terms: int = LEAST_TERMS,
-                 least_ratio: float = LEAST_RATIO) -> tuple[np.ndarray, np.ndarray, int]:
-    """The terms that speak most for label 1, their document frequencies, and the documents."""
+def all_terms(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The terms of all examples, their document frequencies and evidence, and the documents."""
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in chunks(batch, "text"):
@@ -82,9 +81,9 @@ def choose_terms(sample: DataFrame, size: int, least_df: int, least_terms: int =
     counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     ones, zeros = counts.get(1, 0), counts.get(0, 0)
     if not ones or not zeros:
-        return np.zeros(0, np.uint64), np.zeros(0), ones + zeros
+        return np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), ones + zeros
     found = sample.select("text", "label").mapInArrow(tidied(distinct), "term long, label int").groupBy("term").agg(
-        F.sum("label").alias("a"), F.count("*").alias("df")).where(F.col("df") >= least_df)
+        F.sum("label").alias("a"), F.count("*").alias("df"))
     a, b, df = F.col("a"), F.col("df") - F.col("a"), F.col("df")
 
     def part(seen, of, share):
@@ -92,30 +91,26 @@ def choose_terms(sample: DataFrame, size: int, least_df: int, least_terms: int =
 
     p = df / float(ones + zeros)
     ratio = part(a, ones, p) + part(ones - a, ones, 1 - p) + part(b, zeros, p) + part(zeros - b, zeros, 1 - p)
-    best = found.where(a / float(ones) > b / float(zeros)).withColumn("g", 2.0 * ratio).orderBy(
-        F.col("g").desc(), "term").limit(size).select("term", "df", "g").toPandas()
-    best = best[(best["g"] >= least_ratio * (ones + zeros)) | (np.arange(len(best)) < least_terms)]
-    best = best.copy()
-    best["term"] = best["term"].to_numpy().astype(np.int64).view(np.uint64)
-    best = best.sort_values("term")
-    return best["term"].to_numpy(np.uint64), best["df"].to_numpy(np.float64), ones + zeros
+    leans = a / float(ones) > b / float(zeros)
+    known = found.select("term", "df", F.when(leans, 1.0 + F.greatest(2.0 * ratio, F.lit(0.0))).otherwise(1.0).alias("g")).toPandas()
+    term = known["term"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(term)
+    return term[order], known["df"].to_numpy(np.float64)[order], known["g"].to_numpy(np.float64)[order], ones + zeros
 
 
 class Vectors:
     """Weights of texts over a vocabulary."""
 
-    def __init__(self, vocabulary: np.ndarray, df: np.ndarray, documents: int):
+    def __init__(self, vocabulary: np.ndarray, df: np.ndarray, documents: int, evidence: np.ndarray | None = None):
         self.vocabulary = vocabulary
         self.idf = np.log((1.0 + documents) / (1.0 + df)) + 1.0
-        self.seen = np.zeros(1 << 16, bool)  # leading bits of terms: most words stop here
-        self.seen[(vocabulary >> np.uint64(48)).astype(np.int64)] = True
+        if evidence is not None:
+            self.idf = self.idf * evidence
 
     def of(self, column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         """Term numbers and weights of every text."""
         size = max(1, len(self.vocabulary))
         found, row = terms(column)
-        keep = np.flatnonzero(self.seen[(found >> np.uint64(48)).astype(np.int64)])
-        found, row = found[keep], row[keep]
         term = np.searchsorted(self.vocabulary, found)
         real = term < len(self.vocabulary)
         real[real] = self.vocabulary[term[real]] == found[real]
@@ -128,62 +123,72 @@ class Vectors:
         return [(term[a:b], weight[a:b]) for a, b in zip(bound[:-1], bound[1:])]
 
 
-class BlockMaxIndex:
-    """Postings by term and block of examples, with the largest weight of each block."""
+class ExactIndex:
+    """Postings by term, and a matrix of the terms that many examples have."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, labels: np.ndarray,
                  size: int, block: int = BLOCK):
-        # Examples whose heaviest terms agree stand together, so blocks hold few terms.
-        lead = [int(t[np.argmax(w)]) if len(t) else size for t, w in vectors]
-        order = np.lexsort((ids, lead))
+        order = np.argsort(ids, kind="stable")
         self.ids, self.labels, self.block = ids[order], labels[order], block
-        self.blocks = -(-len(order) // block) if len(order) else 0
-        self.order = order
         counts = [len(vectors[i][0]) for i in order]
-        example = np.repeat(np.arange(len(order)), counts)
+        example = np.repeat(np.arange(len(order), dtype=np.min_scalar_type(len(order))), counts)
         term = np.concatenate([vectors[i][0] for i in order]) if len(order) else np.zeros(0, np.int64)
         weight = np.concatenate([vectors[i][1] for i in order]) if len(order) else np.zeros(0)
-        by_term = np.lexsort((example, term))
-        self.example, term, self.weight = example[by_term], term[by_term], weight[by_term]
-        place = term.astype(np.int64) * max(1, self.blocks) + self.example // block
-        cells, starts = np.unique(place, return_index=True)
-        self.start = np.append(starts, len(place))  # postings of each (term, block) cell
-        self.cell_block = cells % max(1, self.blocks)
-        self.cell_max = np.maximum.reduceat(self.weight, starts) if len(starts) else np.zeros(0)
-        self.term_cells = np.searchsorted(cells // max(1, self.blocks), np.arange(size + 1))
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, not_id=None) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples with the largest positive cosines, and those cosines."""
-        spans = [np.arange(self.term_cells[t], self.term_cells[t + 1]) for t in term.tolist()]
-        cells = np.concatenate(spans) if spans else np.zeros(0, np.int64)
-        own = np.repeat(weight, [len(s) for s in spans])
-        bounds = np.bincount(self.cell_block[cells], weights=own * self.cell_max[cells], minlength=self.blocks)
-        visits = np.argsort(-bounds, kind="stable")
-        visits = visits[bounds[visits] > 0]
-        rank = np.full(self.blocks, self.blocks)
-        rank[visits] = np.arange(len(visits))
-        turn = rank[self.cell_block[cells]]
-        by_turn = np.argsort(turn, kind="stable")
-        cells, own, turn = cells[by_turn], own[by_turn], turn[by_turn]
-        who, score = np.zeros(0, np.int64), np.zeros(0)
-        v, step = 0, 4
-        while v < len(visits):
-            # 1e-9: sums of bounds and of cosines may round apart
-            if len(score) >= k and bounds[visits[v]] < score[-1] - 1e-9:
-                break
-            part = slice(*np.searchsorted(turn, [v, v + step]))
-            start, stop = self.start[cells[part]], self.start[cells[part] + 1]
+        by_term = np.argsort(term, kind="stable")
+        self.example, self.weight = example[by_term], weight[by_term].astype(np.float32)
+        self.start = np.append(0, np.cumsum(np.bincount(term, minlength=size)))
+        self.common = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"common": None}  # made again where it is used
+
+    def _matrix(self) -> np.ndarray:
+        """Weights of the common terms by example; ``place`` has the row of each term, or -1."""
+        if self.common is None:
+            many = np.flatnonzero(np.diff(self.start) > COMMON_SHARE * len(self.ids))
+            self.place = np.full(len(self.start) - 1, -1)
+            self.place[many] = np.arange(len(many))
+            self.common = np.zeros((len(many), len(self.ids)))
+            for row, t in enumerate(many.tolist()):
+                here = slice(self.start[t], self.start[t + 1])
+                self.common[row, self.example[here]] = self.weight[here]
+        return self.common
+
+    def _cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        common = self._matrix()
+        own = np.zeros((len(queries), len(common)))
+        total = np.empty((len(queries), len(self.ids)))
+        for i, (term, weight) in enumerate(queries):
+            place = self.place[term]
+            rare = place < 0
+            own[i, place[~rare]] = weight[~rare]
+            start, stop = self.start[term[rare]], self.start[term[rare] + 1]
             size = stop - start
             at = np.repeat(stop - np.cumsum(size), size) + np.arange(size.sum())
-            sums = np.bincount(self.example[at], weights=np.repeat(own[part], size) * self.weight[at])
-            hit = np.flatnonzero(sums > 0)
-            if not_id is not None:
-                hit = hit[self.ids[hit] != not_id]
-            who, score = np.concatenate([who, hit]), np.concatenate([score, sums[hit]])
-            best = np.lexsort((self.ids[who], -score))[:k]
-            who, score = who[best], score[best]
-            v, step = v + step, step * 2
-        return who, score
+            total[i] = np.bincount(self.example[at], np.repeat(weight[rare], size) * self.weight[at], len(self.ids))
+        total += own @ common
+        return total
+
+    def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int,
+                    not_ids: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per query the k examples with the largest positive cosines, and those cosines."""
+        for low in range(0, len(queries), self.block):
+            for i, row in enumerate(self._cosines(queries[low:low + self.block]), low):
+                if not_ids is not None:
+                    row[np.searchsorted(self.ids, not_ids[i]):np.searchsorted(self.ids, not_ids[i], "right")] = 0
+                least = np.partition(row, len(row) - k)[len(row) - k] if k < len(row) else 0.0
+                # 1e-12: equal cosines may be rounded apart
+                hit = np.flatnonzero(row >= max(least - 1e-12, 1e-12))
+                score = np.round(row[hit], 12)
+                best = np.lexsort((self.ids[hit], -score))[:k]
+                yield hit[best], score[best]
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, not_id=None) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one query."""
+        return next(self.nearest_all([(term, weight)], k, None if not_id is None else np.array([not_id])))
+
+
+BlockMaxIndex = ExactIndex  # its earlier name
 
 
 def vote(labels: np.ndarray, score: np.ndarray, base: float, power: float = POWER, shrink: float = SHRINK) -> float:
@@ -211,27 +216,22 @@ def fit_curve(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tup
 class Model:
     """Everything a task needs to score texts."""
 
-    def __init__(self, vectors: Vectors | None, index: BlockMaxIndex | None, base: float, k: int):
+    def __init__(self, vectors: Vectors | None, index: ExactIndex | None, base: float, k: int):
         self.vectors, self.index, self.base, self.k = vectors, index, base, k
         self.curve = (0.0, float(np.log((base + 1e-3) / (1 - base + 1e-3))))
         self.without = base
 
     def scores(self, column: pa.Array) -> list[tuple[float, list[dict]]]:
-        known: dict[tuple, tuple[float, list[dict]]] = {}
-        out = []
         if self.vectors is None:
             return [(self.base, [])] * len(column)
-        for term, weight in self.vectors.of(column):
-            key = (term.tobytes(), weight.tobytes())
-            if key not in known:
-                known[key] = self._score(term, weight)
-            out.append(known[key])
-        return out
-
-    def _score(self, term: np.ndarray, weight: np.ndarray) -> tuple[float, list[dict]]:
-        if not len(term):
-            return self.without, []
-        who, score = self.index.nearest(term, weight, self.k)
+        listed = self.vectors.of(column)
+        keys = [(term.tobytes(), weight.tobytes()) for term, weight in listed]
+        asked = {key: query for key, query in zip(keys, listed) if len(query[0])}
+        found = self.index.nearest_all(list(asked.values()), self.k)
+        known = {key: self._score(who, score) for key, (who, score) in zip(asked, found)}
+        return [known.get(key, (self.without, [])) for key in keys]
+
+    def _score(self, who: np.ndarray, score: np.ndarray) -> tuple[float, list[dict]]:
         value = self.probability(vote(self.index.labels[who], score, self.base))
         return value, [{"doc_id": int(self.index.ids[i]), "similarity": float(s), "label": int(self.index.labels[i])}
                        for i, s in zip(who[:EVIDENCE], score)]
@@ -241,16 +241,16 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(x, -35, 35))))
 
 
-def fit(sample: DataFrame, vocabulary: int = VOCABULARY, least_df: int = LEAST_DF, k: int = NEIGHBOURS) -> Model:
+def fit(sample: DataFrame, k: int = NEIGHBOURS) -> Model:
     """The model of a sample (doc_id, text, label, rate).
 
-    Only the sample's vectors over the vocabulary reach the driver, some kilobytes each.
+    Only the sample's terms and vectors reach the driver, some kilobytes a document.
     """
-    chosen, df, documents = choose_terms(sample, vocabulary, least_df)
+    chosen, df, evidence, documents = all_terms(sample)
     if not len(chosen):
         found = sample.agg(F.avg("label")).first()[0]
         return Model(None, None, 0.5 if found is None else float(found), k)
-    vectors = Vectors(chosen, df, documents)
+    vectors = Vectors(chosen, df, documents, evidence)
 
     def vector(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,27 +258,26 @@ def fit(sample: DataFrame, vocabulary: int = VOCABULARY, least_df: int = LEAST_D
                 rows = vectors.of(piece.column("text"))
                 yield pa.record_batch([
                     piece.column("doc_id").cast(pa.int64()), piece.column("label"), piece.column("rate"),
-                    pa.array([t for t, _ in rows], pa.list_(pa.int64())), pa.array([w for _, w in rows], pa.list_(pa.float64()))],
+                    pa.array([t.astype(np.int32).tobytes() for t, _ in rows], pa.binary()),
+                    pa.array([w.astype(np.float32).tobytes() for _, w in rows], pa.binary())],
                     names=["doc_id", "label", "rate", "term", "weight"])
 
     rows = sample.select("doc_id", "text", "label", "rate").mapInArrow(
-        tidied(vector), "doc_id long, label int, rate double, term array<long>, weight array<double>") \
+        tidied(vector), "doc_id long, label int, rate double, term binary, weight binary") \
         .toPandas().sort_values("doc_id", kind="stable")
     ids, labels, rate = rows["doc_id"].to_numpy(), rows["label"].to_numpy(), rows["rate"].to_numpy()
-    listed = [(np.asarray(t, np.int64), np.asarray(w)) for t, w in zip(rows["term"], rows["weight"])]
-    model = Model(vectors, BlockMaxIndex(listed, ids, labels, len(chosen)), float(np.average(labels, weights=1 / rate)), k)
-    votes, truth, weights, bare = [], [], [], [model.base * 2, 2.0]
-    for (term, weight), doc_id, label, r in zip(listed, ids, labels, rate):
-        if len(term):
-            who, score = model.index.nearest(term, weight, k, doc_id)
-            votes.append(vote(model.index.labels[who], score, model.base))
-            truth.append(label)
-            weights.append(1 / r)
-        else:
-            bare[0] += label / r
-            bare[1] += 1 / r
+    listed = [(np.frombuffer(t, np.int32), np.frombuffer(w, np.float32)) for t, w in zip(rows["term"], rows["weight"])]
+    model = Model(vectors, ExactIndex(listed, ids, labels, len(chosen)), float(np.average(labels, weights=1 / rate)), k)
+    full = np.array([len(term) > 0 for term, _ in listed])
+    found = model.index.nearest_all([x for x in listed if len(x[0])], k, ids[full])
+    votes = [vote(model.index.labels[who], score, model.base) for who, score in found]
+    truth, weights = labels[full].astype(float), 1 / rate[full]
+    bare = [model.base * 2 + (labels[~full] / rate[~full]).sum(), 2.0 + (1 / rate[~full]).sum()]
+    del rows, listed, found
+    model.index.common = None
+    tidy()
     model.without = bare[0] / bare[1]
-    model.curve = fit_curve(np.array(votes), np.array(truth, float), np.array(weights))
+    model.curve = fit_curve(np.array(votes), truth, weights)
     return model
 
 

@@ -88,3 +88,16 @@ def test_terms_votes_and_curve():
     x = np.linspace(0, 1, 200)
     a, b = fit_curve(x, (x > 0.6).astype(float), np.ones(200))
     assert a > 0 and abs(-b / a - 0.2) < 0.1
+
+
+def test_rare_and_clean_words_count(spark):
+    """Labelled words of one document each, and words that lean to no label, still find neighbours."""
+    docs, labels = corpus(600)
+    rare = [i for i in range(20_000, 20_200) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    docs += [(rare[0], "zyxgrunt qqvile", "", 0), (rare[1], "sunlit meadow", "", 0)]
+    labels += [(rare[0], 1, 1), (rare[1], 1, 0)]
+    docs += [(30_001, "Zyxgrunt!", "", 0), (30_002, "a meadow", "", 0)]
+    rows = toxicity_scores(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)).collect()
+    by_id = {r["doc_id"]: r for r in rows}
+    assert by_id[30_001]["evidence"][0]["doc_id"] == rare[0] and by_id[30_001]["score"] > by_id[30_002]["score"]
+    assert by_id[30_002]["evidence"][0]["doc_id"] == rare[1]
