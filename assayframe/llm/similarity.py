@@ -1,12 +1,14 @@
 """Near-duplicate classes by a chosen-path Jaccard join on word shingles.
 
 A text is its set of five-word shingles.  Equal sets are merged first, so copies cost one
-row.  Every set gets 64 min-hash values; a value of one place is a sampled token that two
+row.  Every set gets 80 min-hash values; a value of one place is a sampled token that two
 sets share with a chance equal to their similarity.  A run starts with all sets in one node.
 A node picks one place, and with a chance of 1/4 a second one (1 / 0.8 places on average),
 and sends each set to the child of its value there; children with few sets are compared by
-brute force, larger ones split again, up to three levels.  A pair at the threshold meets in
-one run with a known chance, and runs are repeated until the target recall is reached.
+brute force, larger ones split again, up to three levels.  Every run and level picks among
+places of its own, so runs are independent: a pair at the threshold meets in one run with a
+chance of at least 0.8 ** 3, whatever its nodes pick, and runs are repeated until the target
+recall is reached.
 
 What is left at the last level is many sets that share all sampled tokens, as large groups
 of near copies do.  Such a node is cut into blocks, and pairs of blocks are compared by
@@ -37,7 +39,7 @@ from assayframe.session import materialise
 
 WORDS = 5
 THRESHOLD = 0.8
-PLACES = 64
+PLACES = 80
 LEVELS = 3
 NODE_SETS = 512
 BLOCK_SETS = 512
@@ -54,8 +56,13 @@ def run_recall(similarity: float, levels: int) -> float:
     return met
 
 
+def least_recall(similarity: float, levels: int) -> float:
+    """The same if no node on the way picks a second place: every pair has this chance at least."""
+    return similarity ** levels
+
+
 def runs_needed(threshold: float = THRESHOLD, target: float = TARGET_RECALL, levels: int = LEVELS) -> int:
-    return max(1, math.ceil(math.log(1 - target) / math.log(1 - run_recall(threshold, levels))))
+    return max(1, math.ceil(math.log(1 - target) / math.log(1 - least_recall(threshold, levels))))
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -112,26 +119,30 @@ def described(docs: DataFrame) -> DataFrame:
 
 
 def chosen_paths(sets: DataFrame, runs: int, levels: int = LEVELS, most: int = NODE_SETS) -> DataFrame:
-    """(name, node, size) for every set and final node with at least two sets."""
-    width = PLACES // levels
-    now = sets.select("name", "marks", F.explode(F.array(*[
-        F.xxhash64(F.lit("run"), F.lit(r)) for r in range(runs)])).alias("node"))
+    """(name, node, size) for every set and final node with at least two sets.
+
+    No place serves two runs or levels, as long as there are ``runs * levels`` places.
+    """
+    width = max(1, PLACES // (runs * levels))
+    now = sets.select("name", "marks", F.posexplode(F.array(*[
+        F.xxhash64(F.lit("run"), F.lit(r)) for r in range(runs)])).alias("run", "node"))
     final = None
     for level in range(levels):
         def pick(salt: str, level: int = level):
-            return F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(width)).cast("int") + level * width
+            own = F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(width)).cast("int")
+            return (own + (F.col("run") * levels + level) * width) % PLACES
 
         two = F.pmod(F.xxhash64("node", F.lit("two")), F.lit(4)) == 0
         places = F.array_distinct(F.when(two, F.array(pick("a"), pick("b"))).otherwise(F.array(pick("a"))))
-        child = now.select("name", "node", "marks", F.explode(places).alias("place")).select(
-            "name", F.xxhash64("node", "place", F.expr("substring(marks, 4 * place + 1, 4)")).alias("node"))
+        child = now.select("name", "run", "node", "marks", F.explode(places).alias("place")).select(
+            "name", "run", F.xxhash64("node", "place", F.expr("substring(marks, 4 * place + 1, 4)")).alias("node"))
         sizes = child.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
         child = materialise(child.join(sizes, "node"), f"paths-{level}")
         done = child if level == levels - 1 else child.where(F.col("size") <= most)
         final = done if final is None else final.unionByName(done)
         if level < levels - 1:
-            now = child.where(F.col("size") > most).select("name", "node").join(sets.select("name", "marks"), "name")
-    return final
+            now = child.where(F.col("size") > most).select("name", "run", "node").join(sets.select("name", "marks"), "name")
+    return final.drop("run")
 
 
 def spread(members: DataFrame, block: int = BLOCK_SETS) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from assayframe.llm import similarity
 from assayframe.llm.similarity import near_duplicates, run_recall, runs_needed, without_near_duplicates
@@ -106,3 +108,33 @@ def test_empty_and_recall(spark):
     assert abs(run_recall(0.8, 1) - 0.84) < 1e-9
     runs = runs_needed()
     assert 1 - (1 - run_recall(0.8, similarity.LEVELS)) ** runs >= similarity.TARGET_RECALL
+
+
+def test_pairs_of_a_large_group_meet(spark):
+    """Near copies of one set at similarity 0.8, more than a node holds: nearly all meet it in some run."""
+    n = 10 * similarity.NODE_SETS * 8
+    rng = np.random.default_rng(5)
+    marks = np.full((n, similarity.PLACES), 7, np.uint32)
+    other = rng.random(marks.shape) >= 0.8
+    other[0] = False
+    marks[other] = rng.integers(1 << 10, 1 << 32, other.sum(), dtype=np.uint32)
+    sets = spark.createDataFrame([(i.to_bytes(4, "big"), m.tobytes()) for i, m in enumerate(marks)], "name binary, marks binary")
+    members = similarity.chosen_paths(sets, runs_needed())
+    mine = members.where(F.col("name") == F.lit(bytes(4))).select("node")
+    met = members.join(mine, "node").select("name").distinct().count()
+    assert n - met <= 3 * (1 - similarity.TARGET_RECALL) * n
+
+
+def test_one_place_spoils_one_run_at_most(spark):
+    """Sets that differ from the first in one place each lose one of its root nodes at most."""
+    marks = np.full((similarity.PLACES + 1, similarity.PLACES), 7, np.uint32)
+    for place in range(similarity.PLACES):
+        marks[place + 1, place] = 1000 + place
+    sets = spark.createDataFrame([(bytes([i]), m.tobytes()) for i, m in enumerate(marks)], "name binary, marks binary")
+    nodes = {}
+    for r in similarity.chosen_paths(sets, runs_needed()).collect():
+        nodes.setdefault(bytes(r["name"]), set()).add(r["node"])
+    first = nodes[bytes(1)]
+    assert min(len(first & x) for x in nodes.values()) >= len(first) - 1
+    assert runs_needed() * similarity.LEVELS <= similarity.PLACES
+    assert (1 - 0.8 ** similarity.LEVELS) ** runs_needed() <= 1 - similarity.TARGET_RECALL
