@@ -6,7 +6,10 @@ lines of one level form a passage, ended by a blank line too.  Passages are comp
 hash of their text in lower case with white space reduced to single blanks.  A quoted
 passage belongs to the message that has an equal passage of its own, or an equal single
 line, and that stands earlier: by preference the latest one of the same conversation, else
-the first of all conversations.  The reply target is the message most of whose words are
+the first of all conversations.  A passage without such a message (a trimmed quote, or
+paragraphs run together) is looked up line by line in the same way, and belongs to the
+message that has most of its text; only that text counts for the reply target.  Lines that
+were wrapped anew match nothing.  The reply target is the message most of whose words are
 quoted at the lowest quote level; without one it is the message before.
 
 All work is joins on hashes.  Each side is reduced to one row per (conversation, hash) or
@@ -87,11 +90,13 @@ def linked(messages: DataFrame) -> DataFrame:
         "m": F.xxhash64(F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))),
     })
     lines = rows.select("c", "t", "m", parsed_lines(F.col("text")).alias("lines"))
-    parts = lines.select("c", "t", "m", F.explode(passages(F.col("lines"))).alias("p")).select(
-        "c", "t", "m", "p.level", "p.body")
-    quoted = materialise(
-        parts.where("level > 0").select("c", "t", "m", "level", _hash(F.col("body")).alias("h"),
-                                        F.length(_normal(F.col("body"))).alias("weight")), "quotes")
+    parts = lines.select("c", "t", "m", F.posexplode(passages(F.col("lines"))).alias("n", "p")).select(
+        "c", "t", "m", "n", "p.level", "p.body")
+    # A passage as a whole (line -1), and each of its lines if it has several.
+    pieces = F.when(F.contains("body", F.lit("\n")), F.concat(F.array("body"), F.split("body", "\n"))).otherwise(F.array("body"))
+    quoted = parts.where("level > 0").select("c", "t", "m", "n", "level", F.posexplode(pieces).alias("line", "body"))
+    quoted = materialise(quoted.select("c", "t", "m", "n", "level", (F.col("line") - 1).alias("line"), _hash(F.col("body")).alias("h"),
+                                       F.length(_normal(F.col("body"))).alias("weight")), "quotes")
     asked = quoted.select("h").distinct()
     own = parts.where("level = 0").select("c", "t", F.explode(F.array_distinct(F.concat(
         F.array("body"), F.split("body", "\n")))).alias("body")).where(F.trim("body") != "") \
@@ -107,6 +112,13 @@ def linked(messages: DataFrame) -> DataFrame:
     hits = quoted.join(near, ["c", "h", "t"], "left").join(first, "h", "left").withColumn(
         "to", F.when(F.col("near").isNotNull(), F.struct(F.col("c").alias("c"), F.col("near").alias("t")))
         .when(F.struct(F.col("first.c"), F.col("first.t")) < F.struct("c", "t"), F.col("first")))
+    passage = ["c", "t", "m", "n"]
+    owners = hits.where("line >= 0 AND to IS NOT NULL").groupBy(*passage, "to").agg(F.sum("weight").alias("owned"))
+    owners = owners.groupBy(*passage).agg(F.min(F.struct(
+        -F.col("owned"), (-F.col("to.c")).alias("nc"), (-F.col("to.t")).alias("nt"), "to", "owned")).alias("b")) \
+        .select(*passage, F.col("b.to").alias("owner"), F.col("b.owned").alias("owned"))
+    hits = hits.where("line = -1").join(owners, passage, "left").withColumns({
+        "to": F.coalesce("to", "owner"), "weight": F.when(F.col("to").isNull(), F.col("owned")).otherwise(F.col("weight"))})
     votes = hits.where("to IS NOT NULL").groupBy("c", "t", "m", "level", "to").agg(
         F.sum("weight").alias("weight"))
     target = votes.groupBy("c", "t", "m").agg(F.min(F.struct(

@@ -67,3 +67,17 @@ def test_long_texts_and_many_conversations_in_a_thread(spark, monkeypatch):
     assert {got[c]["thread_id"] for c in range(30)} == {0}
     assert got[40]["n_quoted"] == 10_000 and got[40]["own_text"].count("\n") == 9_999
     assert got[41]["own_text"] == "" and len(got[42]["own_text"]) == 200_002
+
+
+def test_trimmed_quotes_and_paragraphs_run_together(spark):
+    rows = [(1, 0, "a", "one line\ntwo lines\nthree lines\nfour lines\n\nanother paragraph\nwith its end"),
+            (1, 1, "b", "said between\nfour lines"),
+            (1, 2, "c", "> two lines\n> three  LINES\nyes"),
+            (1, 3, "d", "> three lines\n> another paragraph\nno"),
+            (2, 0, "e", "> one line\n> two lines\n> three lines\n> [...]\nelsewhere"),
+            (2, 1, "f", "> never said\n> nor this\nmore")]
+    got = {(r["conv_id"], r["turn"]): r for r in answer(spark, rows)}
+    for key in ((1, 2), (1, 3), (2, 0)):
+        assert (got[key]["reply_conv"], got[key]["reply_turn"]) == (1, 0)
+        assert got[key]["n_quoted"] == 1 and got[key]["n_linked"] == 1
+    assert got[2, 1]["n_linked"] == 0 and got[2, 1]["reply_turn"] == 0 and got[2, 1]["reply_conv"] == 2
