@@ -20,7 +20,8 @@ one position in fourteen is an anchor; the bytes that its windows cover are its
    hash instead, so no gram is one task.
 3. Documents meet their repeated contexts and windows, and lose the bytes those cover.
 
-Texts are shuffled once; steps 2 and 3 read the same shuffle files.  Nothing is collected.
+Parts of documents are dealt by id and sixteen bits of the text's hash, which travel with the
+entries, so many texts with one id, or without one, are many parts.  Texts are shuffled once; steps 2 and 3 read the same shuffle files.  Nothing is collected.
 
 Defined results: null text is empty; texts below 50 bytes lose nothing; a null id counts as
 larger than all others; rows with equal ids are one document for the comparison (they do not
@@ -148,23 +149,26 @@ def _from_six(raw: np.ndarray) -> np.ndarray:
 def _entries(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """Step 1: the smallest id per (gram, context) of some megabytes of text, by gram range."""
     def flush(held: list, size: int) -> Iterator[pa.RecordBatch]:
-        ids, gram, context = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((ids, context, gram))
-        ids, gram, context = ids[order], gram[order], context[order]
+        ids, salt, gram, context = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((salt, ids, context, gram))
+        ids, salt, gram, context = ids[order], salt[order], gram[order], context[order]
         new = np.ones(len(ids), bool)
         new[1:] = (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])
         head = np.flatnonzero(new)[np.cumsum(new) - 1]
         known = ids > ids[head]  # a smaller document of this unit has the context
         rows = []
         if known.any():
-            by = np.lexsort((context[known], ids[known]))
-            rows.append((int(gram[0] % np.uint64(parts)), RESOLVED, _pack(ids[known][by], _six(context[known][by]))))
-        ids, gram, context = ids[new], gram[new], context[new]
+            by = np.lexsort((context[known], salt[known], ids[known]))
+            rows.append((int(gram[0] % np.uint64(parts)), RESOLVED, _pack(
+                ids[known][by], _six(context[known][by]), salt[known][by])))
+        new[1:] |= salt[1:] != salt[:-1]  # every part of the smallest id has to be told
+        new &= ~known
+        ids, salt, gram, context = ids[new], salt[new], gram[new], context[new]
         bounds = np.searchsorted(_part_of(gram, parts), np.arange(parts + 1))
         for part in np.flatnonzero(np.diff(bounds)).tolist():
             here = slice(bounds[part], bounds[part + 1])
-            by = np.argsort(ids[here], kind="stable")
-            rows.append((part, OPEN, _pack(ids[here][by], gram[here][by], _six(context[here][by]))))
+            by = np.lexsort((salt[here], ids[here]))
+            rows.append((part, OPEN, _pack(ids[here][by], gram[here][by], _six(context[here][by]), salt[here][by])))
         yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(
             (pa.int32(), pa.int32(), pa.binary()))], names=["part", "kind", "blob"])
 
@@ -173,7 +177,7 @@ def _entries(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Recor
         for piece in chunks(batch, "text", PIECE_BYTES):
             row, _, _, gram, context = all_anchors(piece)
             if len(row):
-                held.append((piece.column("id").to_numpy()[row], gram, context))
+                held.append((piece.column("id").to_numpy()[row], _salt(piece.column("key").to_numpy())[row], gram, context))
             size += piece.column("text").nbytes
             if size >= UNIT_BYTES and held:
                 yield from flush(held, size)
@@ -187,16 +191,20 @@ def _part_of(gram: np.ndarray, parts: int) -> np.ndarray:
     return ((gram >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _doc_part(ids: np.ndarray, parts: int) -> np.ndarray:
-    return _part_of(mix64(ids.astype(np.uint64) + np.uint64(99)), parts)
+def _salt(keys: np.ndarray) -> np.ndarray:
+    return (keys & 0xFFFF).astype(np.uint16)
+
+
+def _doc_part(ids: np.ndarray, salt: np.ndarray, parts: int) -> np.ndarray:
+    return _part_of(mix64(mix64(ids.astype(np.uint64) + np.uint64(99)) + salt.astype(np.uint64)), parts)
 
 
 def _decide(batches: Iterator[pa.RecordBatch], doc_parts: int, many: int) -> Iterator[pa.RecordBatch]:
     """The bucket of step 1: which contexts are repeated, and which need their bytes."""
-    ids, gram, context = [], [], []
+    ids, salt, gram, context = [], [], [], []
 
-    def send(ids: np.ndarray, context: np.ndarray, flag: np.ndarray) -> pa.RecordBatch:
-        part = _doc_part(ids, doc_parts)
+    def send(ids: np.ndarray, salt: np.ndarray, context: np.ndarray, flag: np.ndarray) -> pa.RecordBatch:
+        part = _doc_part(ids, salt, doc_parts)
         order = np.lexsort((context, ids, part))
         ids, context, flag, part = ids[order], context[order], flag[order], part[order]
         bounds = np.searchsorted(part, np.arange(doc_parts + 1))
@@ -209,18 +217,19 @@ def _decide(batches: Iterator[pa.RecordBatch], doc_parts: int, many: int) -> Ite
     for batch in batches:
         for kind, raw in zip(batch.column("kind").to_pylist(), batch.column("blob").to_pylist()):
             if kind == RESOLVED:
-                i, c = _unpack(raw, (np.uint8, 6))
-                yield send(i, _from_six(c), np.zeros(len(i), np.uint8))
+                i, c, x = _unpack(raw, (np.uint8, 6), (np.uint16, 2))
+                yield send(i, x, _from_six(c), np.zeros(len(i), np.uint8))
             else:
-                i, g, c = _unpack(raw, (np.uint64, 8), (np.uint8, 6))
+                i, g, c, x = _unpack(raw, (np.uint64, 8), (np.uint8, 6), (np.uint16, 2))
                 ids.append(i)
+                salt.append(x)
                 gram.append(g)
                 context.append(_from_six(c))
     if not ids:
         return
-    ids, gram, context = np.concatenate(ids), np.concatenate(gram), np.concatenate(context)
+    ids, salt, gram, context = (np.concatenate(x) for x in (ids, salt, gram, context))
     order = np.lexsort((ids, context, gram))
-    ids, gram, context = ids[order], gram[order], context[order]
+    ids, salt, gram, context = ids[order], salt[order], gram[order], context[order]
     new_gram = np.ones(len(ids), bool)
     new_gram[1:] = gram[1:] != gram[:-1]
     new = new_gram.copy()
@@ -236,7 +245,7 @@ def _decide(batches: Iterator[pa.RecordBatch], doc_parts: int, many: int) -> Ite
     flag[first] = np.where(contexts[first] > many, OPEN_MANY, OPEN)
     told = flag < 9
     if told.any():
-        yield send(ids[told], context[told], flag[told])
+        yield send(ids[told], salt[told], context[told], flag[told])
 
 
 _RESULT = ["n_bytes", "n_removed", "n_spans", "kept"]
@@ -396,7 +405,7 @@ def _compare(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Recor
     who = owner[first]
     spans = np.stack([place[who] + offset[first], place[who] + offset[last] + LENGTH], axis=1).astype(np.int64)
     yield pa.record_batch([
-        pa.array(_doc_part(ids[who], parts).astype(np.int32)), pa.array(ids[who]), pa.array(keys[who]),
+        pa.array(_doc_part(ids[who], _salt(keys[who]), parts).astype(np.int32)), pa.array(ids[who]), pa.array(keys[who]),
         pa.array([x.tobytes() for x in spans], pa.binary())], names=["part", "id", "key", "spans"])
 
 
@@ -436,7 +445,7 @@ def without_repeats(docs: DataFrame, part_bytes: int = PART_BYTES, many: int = M
         .withColumn("key", F.xxhash64("text"))
     size = int(rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0])
     parts = max(1, -(-size // part_bytes))
-    entries = rows.select("id", "text").mapInArrow(
+    entries = rows.select("id", "key", "text").mapInArrow(
         tidied(lambda b: _entries(b, parts)), "part int, kind int, blob binary").repartitionById(parts, "part")
     flags = entries.mapInArrow(tidied(lambda b: _decide(b, parts, many)), "part int, blob binary")
     made = T.StructType([
@@ -445,11 +454,11 @@ def without_repeats(docs: DataFrame, part_bytes: int = PART_BYTES, many: int = M
     schema = to_arrow_schema(made)
 
     @F.pandas_udf("int")
-    def doc_part(ids: pd.Series) -> pd.Series:
-        return pd.Series(_doc_part(ids.to_numpy(), parts).astype(np.int32))
+    def doc_part(ids: pd.Series, keys: pd.Series) -> pd.Series:
+        return pd.Series(_doc_part(ids.to_numpy(), _salt(keys.to_numpy()), parts).astype(np.int32))
 
     # Both cogroups shuffle this one plan in the same way, so its texts are shuffled once.
-    texts = rows.withColumn("part", doc_part("id")).groupBy("part")
+    texts = rows.withColumn("part", doc_part("id", "key")).groupBy("part")
     found = texts.cogroup(flags.groupBy("part")).applyInArrow(
         _tidied_group(lambda docs, told: _open_contexts(docs, told, parts)),
         "part int, id long, key long, place long, bytes binary, spans binary")

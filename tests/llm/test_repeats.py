@@ -86,3 +86,13 @@ def test_sorted_suffixes():
     listed = [tuple(r) for r in words[order].tolist()]
     assert listed == sorted(listed)
     assert new.tolist() == [k == 0 or listed[k] != listed[k - 1] for k in range(500)]
+
+
+def test_texts_without_id_are_many_parts(spark):
+    keys = np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 20_000)
+    parts = repeats._doc_part(np.full(len(keys), repeats._NO_ID), repeats._salt(keys), 100)
+    assert np.bincount(parts, minlength=100).max() < 2 * len(keys) / 100
+    rows = [(None if k % 3 else (7 if k % 2 else i), *rest) for k, (i, *rest) in enumerate(corpus(4))]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = sorted((tuple(r) for r in repeats_report(df, part_bytes=4000).collect()), key=str)
+    assert got == sorted((r[:5] for r in brute(rows)), key=str)
