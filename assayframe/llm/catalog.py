@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayframe.catalog.base import Query, table
-from assayframe.llm import fingerprints, labelled, mixing, packing, quality, quotes, repeats, search, similarity, superkmers, toxicity, warc
+from assayframe.llm import fingerprints, labelled, mixing, packing, quality, quotes, repeats, search, similarity, spelling, superkmers, toxicity, warc
 from assayframe.session import scratch_path
 
 
@@ -67,6 +67,10 @@ def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), spelling.DAMAGED)
+
+
 def repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.windows_report(table(spark, sf_dir, "documents"))
 
@@ -98,5 +102,6 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": Query(fingerprinted),
     "op9_repeats": Query(repeated),
     "op10_topk": Query(neighbours, SEARCH_SQL),
+    "op11_spelling": Query(spellings),
     "op12_superkmers": Query(repeated_windows),
 }

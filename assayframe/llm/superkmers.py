@@ -8,8 +8,8 @@ The minimiser of a window is its run of ``run`` words with the smallest hash, th
 among equals.  Consecutive windows that share a minimiser (a super-k-mer) travel as one
 packed string, the words with one space between them, to the bucket of that minimiser; so
 a word is sent about three times instead of ``window`` times.  Equal windows have equal
-minimisers and meet in one bucket.  A bucket makes its strings distinct, sorts its windows,
-confirms equal neighbours byte by byte and adds up their counts.  What it returns is one row
+minimisers and meet in one bucket.  A bucket makes its strings distinct, sorts its windows
+by a 64-bit hash, confirms equal neighbours byte by byte and adds up their counts.  What it returns is one row
 per distinct string that holds a repeated window: a 128-bit hash and a mask of its windows.
 Texts work out their strings again and join those rows.
 
@@ -38,8 +38,10 @@ from assayframe.llm.words import chunks, mix64, span_hashes, texts_of, tidied, w
 
 WINDOW = 35
 RUN = 4
-BUCKET_BYTES = 24 << 20
-PIECE_BYTES = 2 << 20
+BUCKET_BYTES = 32 << 20
+LANES = 16  # parts of a bucket that are sorted one after the other
+PIECE_BYTES = 1 << 20
+PARCEL_BYTES = 16 << 20  # strings that a task holds before it sends them
 SAMPLE_DOCS = 4096
 FREQUENT = 8  # texts of the sample that make a run a frequent one
 MOST_FREQUENT = 1 << 16
@@ -166,25 +168,49 @@ def frequent_runs(docs: DataFrame, run: int, sample_docs: int = SAMPLE_DOCS) ->
     return np.sort(rows["g"].to_numpy().astype(np.int64).view(np.uint64))
 
 
-def _blob(data: np.ndarray, first: np.ndarray, last: np.ndarray, many: np.ndarray) -> bytes:
-    """Strings as (number, sizes, marks, bytes), compressed; the size before comes first."""
-    size = last - first
-    text = data[np.repeat(first, size) + _steps(size)]
-    raw = b"".join([np.int64(len(size)).tobytes(), size.astype(np.int32).tobytes(),
-                    many.astype(np.uint8).tobytes(), text.tobytes()])
-    return np.int64(len(raw)).tobytes() + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+class Parcel:
+    """Strings on their way to one bucket, by lane: the lane is worked on alone there."""
+
+    def __init__(self):
+        self.lane, self.size, self.many, self.text = [], [], [], []
+
+    def add(self, lane: np.ndarray, size: np.ndarray, many: np.ndarray, text: bytes) -> None:
+        for kept, new in zip((self.lane, self.size, self.many, self.text), (lane, size, many, text)):
+            kept.append(new)
+
+    def packed(self) -> bytes:
+        """The number of strings, their lanes, sizes and marks, and their bytes, compressed."""
+        lane, size, many = map(np.concatenate, (self.lane, self.size, self.many))
+        raw = b"".join([np.int64(len(size)).tobytes(), size.astype(np.int32).tobytes(),
+                        lane.astype(np.uint8).tobytes(), many.astype(np.uint8).tobytes(), *self.text])
+        return np.int64(len(raw)).tobytes() + pa.Codec("zstd", 1).compress(raw, asbytes=True)
 
 
-def _unblob(blob: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
-    raw = pa.Codec("zstd").decompress(blob[8:], int(np.frombuffer(blob[:8], np.int64)[0]), asbytes=True)
+def unpacked(parcel: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lanes, sizes, marks and bytes of a parcel."""
+    raw = pa.Codec("zstd").decompress(parcel[8:], int(np.frombuffer(parcel[:8], np.int64)[0]), asbytes=True)
     n = int(np.frombuffer(raw[:8], np.int64)[0])
-    return np.frombuffer(raw, np.int32, n, 8), np.frombuffer(raw, np.uint8, n, 8 + 4 * n), raw[8 + 5 * n:]
+    return (np.frombuffer(raw, np.uint8, n, 8 + 4 * n), np.frombuffer(raw, np.int32, n, 8),
+            np.frombuffer(raw, np.uint8, n, 8 + 5 * n), np.frombuffer(raw, np.uint8, -1, 8 + 6 * n))
+
+
+def _slices(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The given stretches of bytes, one after the other."""
+    return data[np.repeat(start, size) + _steps(size)]
 
 
 def sent_strings(docs: DataFrame, window: int, run: int, frequent: np.ndarray, buckets: int) -> DataFrame:
     """(bucket, strings): the distinct super-k-mers of each piece of a task, packed by bucket."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settled = np.zeros(0, np.uint64)  # sent with a count of two before
+        parcels: dict[int, Parcel] = {}
+        held = 0
+
+        def sent() -> pa.RecordBatch:
+            each = sorted(parcels)
+            return pa.record_batch([pa.array(each, pa.int32()), pa.array([parcels[i].packed() for i in each], pa.binary())],
+                                   names=["bucket", "strings"])
+
         for batch in batches:
             for piece in chunks(batch, "text", PIECE_BYTES):
                 s = Strings(piece.column("text"), window, run, frequent)
@@ -193,14 +219,22 @@ def sent_strings(docs: DataFrame, window: int, run: int, frequent: np.ndarray, b
                 at, many = at[new], count[new] > 1
                 if len(settled) < SETTLED:
                     settled = np.union1d(settled, (s.h1[at] ^ s.h2[at])[many])
-                bucket = (mix64(s.minimiser[at]) % np.uint64(buckets)).astype(np.int64)
+                goal = mix64(s.minimiser[at])
+                bucket = (goal % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
-                at, many, bucket = at[order], many[order], bucket[order]
+                at, many, bucket, lane = at[order], many[order], bucket[order], (goal[order] >> np.uint64(40)) % np.uint64(LANES)
+                first, size = s.start[s.first[at]], s.end[s.last[at] - 1] - s.start[s.first[at]]
                 each, cut = np.unique(bucket, return_index=True)
-                blobs = [_blob(s.data, s.start[s.first[i]], s.end[s.last[i] - 1], m)
-                         for i, m in zip(np.split(at, cut[1:]), np.split(many, cut[1:]))] if len(at) else []
-                yield pa.record_batch([pa.array(each.astype(np.int32)), pa.array(blobs, pa.binary())],
-                                      names=["bucket", "strings"])
+                for i, low, high in zip(each.tolist(), cut.tolist(), [*cut[1:].tolist(), len(bucket)]):
+                    here = slice(low, high)
+                    parcels.setdefault(i, Parcel()).add(
+                        lane[here], size[here], many[here], _slices(s.data, first[here], size[here]).tobytes())
+                held += int(size.sum())
+                if held > PARCEL_BYTES:
+                    yield sent()
+                    parcels.clear()
+                    held = 0
+        yield sent()
 
     return docs.select("text").mapInArrow(tidied(task), "bucket int, strings binary")
 
@@ -222,15 +256,16 @@ def _equal_neighbours(data: np.ndarray, start: np.ndarray, end: np.ndarray, orde
     return out
 
 
-def repeated_windows(column: pa.Array, many: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the distinct strings of a bucket, and masks of their repeated windows."""
-    coded = column.dictionary_encode()
-    if isinstance(coded, pa.ChunkedArray):
-        coded = coded.unify_dictionaries().combine_chunks()
+def repeated_windows(data: np.ndarray, size: np.ndarray, many: np.ndarray,
+                     window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct strings among those given, and masks of their repeated windows."""
+    offsets = np.append(0, np.cumsum(size.astype(np.int64)))
+    coded = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data)]) \
+        .dictionary_encode()
     n = np.bincount(coded.indices.to_numpy(), weights=many + 1.0, minlength=len(coded.dictionary))
-    data, start, end, row = packed_words(coded.dictionary)
-    words = span_hashes(data, start, end, lower=False)
-    sequences = Sequences(words)
+    data, at = texts_of(coded.dictionary)
+    start, end, row = word_spans(data, at)
+    sequences = Sequences(span_hashes(data, start, end, lower=False))
     begin = np.searchsorted(row, np.arange(len(n) + 1))
     windows = np.diff(begin) - window + 1
     owner = np.repeat(np.arange(len(n)), windows)
@@ -239,15 +274,13 @@ def repeated_windows(column: pa.Array, many: np.ndarray, window: int) -> tuple[n
     key = sequences.of(first, first + window, 0)
     order = np.argsort(key, kind="stable")
     same = key[order[1:]] == key[order[:-1]]
-    # of two hashes that are equal by chance only the neighbours that differ are told apart
     same = _equal_neighbours(data, start[first], end[first + window - 1], order, same)
     group = np.append(0, np.cumsum(~same)) if len(order) else np.zeros(0, np.int64)
     total = np.bincount(group, weights=n[owner[order]])
     repeated = np.zeros(len(order), bool)
     repeated[order] = total[group] > 1.5
     bits = np.where(repeated, np.uint64(1) << step.astype(np.uint64), np.uint64(0))
-    mask = np.zeros(len(n), np.uint64)
-    np.bitwise_or.at(mask, owner, bits)
+    mask = np.bitwise_or.reduceat(bits, np.cumsum(windows) - windows) if len(bits) else np.zeros(0, np.uint64)
     hit = np.flatnonzero(mask)
     h = [sequences.of(begin[:-1][hit], begin[1:][hit], i) for i in (0, 1)]
     return h[0], h[1], mask[hit]
@@ -256,11 +289,17 @@ def repeated_windows(column: pa.Array, many: np.ndarray, window: int) -> tuple[n
 def found_strings(sent: DataFrame, window: int) -> DataFrame:
     """(h1, h2, mask): distinct super-k-mers that hold a repeated window."""
     def count(table: pa.Table) -> pa.Table:
-        sizes, marks, texts = zip(*(_unblob(b.as_py()) for b in table.column("strings")))
-        offsets = np.append(0, np.cumsum(np.concatenate(sizes).astype(np.int64)))
-        column = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1,
-                                       [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(texts))])
-        h1, h2, mask = repeated_windows(column, np.concatenate(marks), window)
+        parcels = [unpacked(b.as_py()) for b in table.column("strings")]
+        ends = [np.cumsum(size, dtype=np.int64) for _, size, _, _ in parcels]
+        found = []
+        for lane in range(LANES):
+            chosen = [np.flatnonzero(p[0] == lane) for p in parcels]
+            size = np.concatenate([p[1][i] for p, i in zip(parcels, chosen)])
+            if len(size):
+                text = np.concatenate([_slices(p[3], e[i] - p[1][i], p[1][i]) for p, e, i in zip(parcels, ends, chosen)])
+                many = np.concatenate([p[2][i] for p, i in zip(parcels, chosen)])
+                found.append(repeated_windows(text, size, many, window))
+        h1, h2, mask = map(np.concatenate, zip(*found)) if found else [np.zeros(0, np.uint64)] * 3
         return pa.table({"h1": h1.view(np.int64), "h2": h2.view(np.int64), "mask": mask.view(np.int64)})
 
     return sent.groupBy("bucket").applyInArrow(count, "h1 long, h2 long, mask long")
@@ -320,7 +359,7 @@ def without_windows(docs: DataFrame, window: int = WINDOW, run: int = RUN,
                 begins = np.searchsorted(row, np.arange(piece.num_rows + 1))
                 gone = _covered(piece.column("marks"), begins, len(row), window)
                 size = np.where(gone, 0, end - start + 1)
-                text = data[np.repeat(start, size) + _steps(size)] if not gone.all() else data[:0]
+                text = _slices(data, start, size)
                 stop = np.append(0, np.cumsum(size))[begins]
                 raw = text.tobytes()
                 kept = [raw[a:max(a, b - 1)] for a, b in zip(stop[:-1], stop[1:])]
