@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayframe.catalog.base import Query, table
-from assayframe.llm import fingerprints, labelled, mixing, packing, quality, quotes, repeats, search, similarity, spelling, superkmers, toxicity, warc
+from assayframe.llm import fingerprints, labelled, mixing, packing, quality, quotes, repeats, search, similarity, spelling, superkmers, toxicity, turns, warc
 from assayframe.session import scratch_path
 
 
@@ -75,6 +75,10 @@ def repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.windows_report(table(spark, sf_dir, "documents"))
 
 
+def repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair_report(table(spark, sf_dir, "conversations"))
+
+
 SEARCH_SQL = """
 WITH q AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
@@ -104,4 +108,5 @@ QUERIES: dict[str, Query] = {
     "op10_topk": Query(neighbours, SEARCH_SQL),
     "op11_spelling": Query(spellings),
     "op12_superkmers": Query(repeated_windows),
+    "op13_repair": Query(repaired),
 }

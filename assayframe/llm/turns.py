@@ -135,8 +135,9 @@ def derived(letters: str, start: int, goals: tuple[int, ...]) -> tuple[tuple[int
 def joined_blocks(blocks: list[list[tuple[int, int, int, str]]]) -> tuple[int, str]:
     """Cost and audit of the lightest way through blocks of (from, to, cost, audit).
 
-    Audits stay in their blocks while the agenda runs: an item's audit is the list of the
-    blocks it came through, and only ties compare their letters.
+    States are joined with one block after the other, which is the order of rows consumed.
+    Audits stay in their blocks: a state's audit is the chain of blocks it came through, and
+    only ties compare letters, back to where their chains meet.
     """
     best: dict[int, tuple[int, tuple | None]] = {0: (0, None)}
     for block in blocks:
@@ -181,7 +182,7 @@ def ordered_turns(turns: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"),
     ).groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("times")).withColumns(
         {f"h{i}": F.xxhash64(F.lit(i), F.length("role"), "role", "text") for i in (1, 2)})
-    asked = [F.col("conv_id").isNull().alias("no_id"), F.coalesce("conv_id", F.lit(0)).alias("id"), "h1", "h2"]
+    asked = [F.col("conv_id").isNull().alias("no_id"), F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("id"), "h1", "h2"]
     first = rows.select(*asked, F.struct(F.col("turn").isNotNull().alias("known"), "turn").alias("at")).groupBy(
         "no_id", "id", "h1", "h2").agg(F.min("at.known").alias("known"), F.min("at.turn").alias("least"),
                                        F.count("*").alias("turns")).where("turns > 1")
@@ -203,13 +204,15 @@ def ordered_turns(turns: DataFrame) -> DataFrame:
             (F.col("fault") == 2).cast("long").alias("n_truncated"))
     order = ["conv_id", "turn", "role", "text"]
     width = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialise(found.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumns(
+    # beginnings only: Spark brings a sample of the keys to the driver
+    ranged = found.repartitionByRange(width, *order[:2], *[F.substring(c, 1, 64) for c in order[2:]])
+    return materialise(ranged.sortWithinPartitions(*order).withColumns(
         {"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()}), "turns")
 
 
 def conversation_letters(ordered: DataFrame) -> DataFrame:
     """(conv_id, letters): one letter a turn, in order."""
-    block = F.floor(F.col("place") / BLOCK).alias("block")
+    block = F.shiftright("place", 10).alias("block")
     pieces = ordered.groupBy("conv_id", block).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "letters"))), lambda x: x["letters"]), "").alias("letters"))
     return pieces.groupBy("conv_id").agg(
