@@ -183,7 +183,7 @@ class Parcel:
         lane, size, many = map(np.concatenate, (self.lane, self.size, self.many))
         raw = b"".join([np.int64(len(size)).tobytes(), size.astype(np.int32).tobytes(),
                         lane.astype(np.uint8).tobytes(), many.astype(np.uint8).tobytes(), *self.text])
-        return np.int64(len(raw)).tobytes() + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+        return np.int64(len(raw)).tobytes() + pa.Codec("zstd", 3).compress(raw, asbytes=True)
 
 
 def unpacked(parcel: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
