@@ -151,7 +151,7 @@ def _matrix_file(spark, sf):
     """The score matrix read back from its JSON."""
     root = scratch_path(spark, "matrix")
     df = dirty(spark, sf)
-    made = matrix.score_matrix(inject.build_scenarios(df, SCENARIOS, df.count()), RULES)
+    made = matrix.score_scenarios(df, SCENARIOS, df.count(), RULES)
     matrix.write_matrix(made, root)
     return spark.read.schema(made.schema).json(f"{root}/matrix_summary.json")
 

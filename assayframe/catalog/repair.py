@@ -34,7 +34,7 @@ RULES = Rules(
 
 def dirty(spark, sf):
     """The dirty entities, numbered in order of position."""
-    return with_row_id(table(spark, sf, "dirty_entities"), ["position"], plain_scan=True).drop("position")
+    return with_row_id(table(spark, sf, "dirty_entities"), ["position"], plain_scan=True, keep=True).drop("position")
 
 
 def _step(name):

@@ -30,6 +30,11 @@ def _all(spark, sf):
     return inject.build_scenarios(df, SCENARIOS, df.count())
 
 
+def _scored(spark, sf):
+    df = dirty(spark, sf)
+    return matrix.score_scenarios(df, SCENARIOS, df.count(), RULES)
+
+
 def _valid(spark, sf):
     return inject.valid_baseline(dirty(spark, sf), SOURCES, 1).select("row_id", *COLUMNS)
 
@@ -134,6 +139,5 @@ QUERIES = {
     "scenario_mixed_extreme": Query(_scenario("mixed_extreme"), _one("mixed_extreme")),
     "scenario_manifest": Query(
         lambda spark, sf: matrix.manifest(_all(spark, sf)), with_tables(MANIFEST_SQL, "dirty_entities")),
-    "scenario_matrix": Query(
-        lambda spark, sf: matrix.score_matrix(_all(spark, sf), RULES), with_tables(MATRIX_SQL, "dirty_entities")),
+    "scenario_matrix": Query(_scored, with_tables(MATRIX_SQL, "dirty_entities")),
 }

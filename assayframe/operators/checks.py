@@ -148,7 +148,7 @@ def plan_checks(df: DataFrame, rules: Rules) -> list[Check]:
     return plan
 
 
-def _group_value(df: DataFrame, column: str) -> tuple[str, str]:
+def group_value(df: DataFrame, column: str) -> tuple[str, str]:
     """A value as SQL for (integer, text) such that equal pairs mean equal values.
 
     Integers and dates stay eight bytes wide.  Text over 40 bytes is replaced by a
@@ -187,7 +187,7 @@ def value_sizes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     """
     values = ", ".join(
         f"struct({i} AS column_index, {number} AS int_value, {text} AS text_value)"
-        for i, (number, text) in enumerate(_group_value(df, c) for c in columns)
+        for i, (number, text) in enumerate(group_value(df, c) for c in columns)
     )
     groups = [name_sql(g) for g in by]
     return (
@@ -197,7 +197,7 @@ def value_sizes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     )
 
 
-def _counts(checked: DataFrame, groups: list[str], seqs: Sequence[int]) -> DataFrame:
+def check_counts(checked: DataFrame, groups: list[str], seqs: Sequence[int]) -> DataFrame:
     """One row per check from the aggregated columns ``n`` and ``bad<seq>``."""
     rows = ", ".join(
         f"struct({seq} AS seq, coalesce(n, 0L) AS row_count, coalesce(bad{seq}, 0L) AS failed_rows)"
@@ -205,7 +205,8 @@ def _counts(checked: DataFrame, groups: list[str], seqs: Sequence[int]) -> DataF
     return checked.selectExpr(*groups, f"inline(array({rows}))")
 
 
-def _verdicts(counts: DataFrame, groups: list[str], plan: list[Check]) -> DataFrame:
+def verdicts(counts: DataFrame, groups: list[str], plan: list[Check]) -> DataFrame:
+    """Results from rows (group, seq, row_count, failed_rows)."""
     described = F.from_json(F.lit(json.dumps([c.describe() for c in plan])), _DESCRIPTION)
     ratio = "CAST(failed_rows AS DOUBLE) / nullif(row_count, 0L)"
     # An empty table has no ratio: NULL, which fails.
@@ -245,7 +246,7 @@ def run_checks(df: DataFrame, rules: Rules, by: Sequence[str] = ()) -> DataFrame
         F.expr("count(1) AS n"),
         *[F.expr(f"count_if({bad}) AS bad{seq}") for seq, bad in rowwise.items()],
     )
-    counts = [_counts(totals, groups, list(rowwise))]
+    counts = [check_counts(totals, groups, list(rowwise))]
     if keyed:
         sizes = value_sizes(df, list(keyed.values()), by)
         repeats = sizes.groupBy(*groups).agg(
@@ -255,8 +256,8 @@ def run_checks(df: DataFrame, rules: Rules, by: Sequence[str] = ()) -> DataFrame
                 for i, seq in enumerate(keyed)
             ],
         )
-        counts.append(_counts(repeats, groups, list(keyed)))
-    return _verdicts(reduce(DataFrame.unionByName, counts), groups, plan)
+        counts.append(check_counts(repeats, groups, list(keyed)))
+    return verdicts(reduce(DataFrame.unionByName, counts), groups, plan)
 
 
 def _single(df: DataFrame, by: Sequence[str], **rule) -> DataFrame:

@@ -130,6 +130,11 @@ def rekey(df: DataFrame, key: str = "entity_key", where: str = "true") -> DataFr
     return df
 
 
+def copied_sql(column: str, copy: str) -> str:
+    """An id with the suffix of its copy: ``-B01``, ``-B02``…"""
+    return f"concat({name_sql(column)}, '-B', {padded_sql(f'CAST({copy} AS STRING)', 2)})"
+
+
 def replicate(df: DataFrame, copies: int | str, rows: int | str, row_id: str = ROW_ID) -> DataFrame:
     """Each row ``copies`` times with ids suffixed ``-B01``, ``-B02``…, without a shuffle.
 
@@ -138,7 +143,7 @@ def replicate(df: DataFrame, copies: int | str, rows: int | str, row_id: str = R
     """
     copied = df.selectExpr("*", f"explode(sequence(1, greatest({copies}, 1))) AS _copy")
     return rekey(replaced(copied, {
-        "id": f"if({copies} > 0, concat(id, '-B', {padded_sql('_copy', 2)}), id)",
+        "id": f"if({copies} > 0, {copied_sql('id', '_copy')}, id)",
         row_id: f"{name_sql(row_id)} + (_copy - 1) * CAST({rows} AS BIGINT)",
     }).drop("_copy"), where=f"{copies} > 0")
 
@@ -156,6 +161,15 @@ def append_head(df: DataFrame, count: int | str, rows: int | str, row_id: str =
     ).select(*map(name_sql, df.columns))
 
 
+def defect_cases(scenarios: Sequence[Scenario], row: str, name: str) -> dict[str, list[str]]:
+    """CASE branches per column for rows labelled with their scenario."""
+    cases: dict[str, list[str]] = {}
+    for s in scenarios:
+        for column, branches in _cases(s.defects, row, f"{name} = {text_sql(s.name)} AND ").items():
+            cases.setdefault(column, []).extend(branches)
+    return cases
+
+
 def build_scenarios(df: DataFrame, scenarios: Sequence[Scenario], rows: int,
                     row_id: str = ROW_ID, name: str = "scenario") -> DataFrame:
     """All scenarios over the rows of an ordered table of ``rows`` rows, from one scan.
@@ -169,11 +183,7 @@ def build_scenarios(df: DataFrame, scenarios: Sequence[Scenario], rows: int,
         for s in scenarios)
     made = df.selectExpr("*", f"inline(array({settings}))")
     made = replicate(made, "_copies", rows, row_id)
-    cases: dict[str, list[str]] = {}
-    for s in scenarios:
-        for column, branches in _cases(s.defects, row, f"{name} = {text_sql(s.name)} AND ").items():
-            cases.setdefault(column, []).extend(branches)
-    made = append_head(_rewritten(made, cases), "_head", f"{rows}L * greatest(_copies, 1)", row_id)
+    made = append_head(_rewritten(made, defect_cases(scenarios, row, name)), "_head", f"{rows}L * greatest(_copies, 1)", row_id)
     return made.drop("_copies", "_head")
 
 

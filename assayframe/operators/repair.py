@@ -133,7 +133,9 @@ def _number_repeats(df: DataFrame, column: str, plan: RepairPlan) -> DataFrame:
 
 
 def repeated_keys(df: DataFrame, plan: RepairPlan) -> DataFrame:
-    """New id and key of the rows that need one: ``row_id, new_id, new_key``.
+    """New id and key of the rows that need one: ``row_id``, ``old_`` and ``new_`` values.
+
+    The old key is the one rebuilt from source and id.
 
     Second and later occurrences of an id, then of a key, get a numbered suffix; keys
     are rebuilt from source and id in between.  Only the key columns are shuffled, and
@@ -141,23 +143,24 @@ def repeated_keys(df: DataFrame, plan: RepairPlan) -> DataFrame:
     decides how it is joined.
     """
     columns = present(df, (plan.source, plan.id, plan.key))
-    narrow = _rebuilt(df, plan).select(name_sql(plan.row_id), *map(name_sql, columns))
+    narrow = rebuilt_keys(df, plan).select(name_sql(plan.row_id), *map(name_sql, columns))
     pairs = {"id": plan.id, "key": plan.key}
     pairs = {new: c for new, c in pairs.items() if c in columns}
-    fixed = replaced(narrow, {f"old_{new}": name_sql(c) for new, c in pairs.items()})
+    fixed = replaced(narrow, {f"old_{new}": name_sql(c) for new, c in pairs.items()})  # rebuilt just before
     if plan.id in columns:
-        fixed = _rebuilt(_number_repeats(fixed, plan.id, plan), plan)
+        fixed = rebuilt_keys(_number_repeats(fixed, plan.id, plan), plan)
     if plan.key in columns:
         fixed = _number_repeats(fixed, plan.key, plan)
     same = " AND ".join(f"{name_sql(c)} <=> old_{new}" for new, c in pairs.items())
     return materialise(
         fixed.filter(f"NOT ({same})").selectExpr(
             f"{name_sql(plan.row_id)} AS row_id",
-            *[f"{name_sql(c)} AS new_{new}" for new, c in pairs.items()]),
+            *[f"old_{new}" for new in pairs], *[f"{name_sql(c)} AS new_{new}" for new, c in pairs.items()]),
         "repeats")
 
 
-def _rebuilt(df: DataFrame, plan: RepairPlan) -> DataFrame:
+def rebuilt_keys(df: DataFrame, plan: RepairPlan) -> DataFrame:
+    """Keys from source and id, where the table has all three."""
     return replaced(df, {plan.key: plan.key_sql()}) if plan.keyed(df) else df
 
 
@@ -167,6 +170,7 @@ def deduplicate_keys(df: DataFrame, plan: RepairPlan) -> DataFrame:
              for new, c in (("id", plan.id), ("key", plan.key)) if c in df.columns}
     if not pairs:
         return df
-    changes = repeated_keys(df, plan).withColumnRenamed("row_id", plan.row_id)
-    joined = _rebuilt(df, plan).join(changes, plan.row_id, "left")
+    changes = repeated_keys(df, plan).select(F.col("row_id").alias(plan.row_id), *[
+        f"new_{new}" for new, c in (("id", plan.id), ("key", plan.key)) if c in df.columns])
+    joined = rebuilt_keys(df, plan).join(changes, plan.row_id, "left")
     return replaced(joined, pairs).select(*map(name_sql, df.columns))

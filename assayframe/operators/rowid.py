@@ -17,6 +17,9 @@ BLOCK_ROWS = 1_000_000
 # Rows that one range of an ordered table holds at most, about.
 RANGE_ROWS = 1_000_000
 _READ = ("_file", "_start", "_read")
+_PLACE = ("_row_path", "_row_index")
+# The path of a file as 96 bits of fixed width, which is what rows are joined by.
+_ROW = ("_row_file", "_row_check", "_row_index")
 
 
 def _with_reading_position(df: DataFrame) -> DataFrame:
@@ -30,8 +33,24 @@ def _with_reading_position(df: DataFrame) -> DataFrame:
         return counted.withColumns({
             "_file": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start")})
     except AnalysisException:
-        return counted.withColumns({
-            "_file": F.lit(None).cast("string"), "_start": F.lit(None).cast("bigint")})
+        return counted.withColumns({"_file": F.lit(""), "_start": F.lit(0).cast("bigint")})
+
+
+def _with_row_index(df: DataFrame) -> DataFrame | None:
+    """File and place in it of each row, where the format knows them (parquet does)."""
+    try:
+        found = df.withColumns({
+            "_row_path": F.col("_metadata.file_path"), "_row_index": F.col("_metadata.row_index")})
+    except AnalysisException:
+        return None
+    return found.withColumns({"_row_file": F.xxhash64("_row_path"), "_row_check": F.crc32(F.col("_row_path").cast("binary"))})
+
+
+def _before(pieces: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``_shift``: the rows of all earlier pieces, stored.  One row per file, split or range."""
+    earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    return materialise(pieces.withColumn("_shift", shift).drop("_rows").coalesce(1), "offsets")
 
 
 def with_row_id(
@@ -40,45 +59,60 @@ def with_row_id(
     name: str = ROW_ID,
     partitions: int | None = None,
     plain_scan: bool = False,
+    keep: bool = False,
 ) -> DataFrame:
     """Number the rows 0..n-1 in the given order; ties keep the order they are read in.
 
-    Reading order is by file path and position in the file.  The table is
-    range-partitioned and sorted once and written to the shared scratch folder with its
-    partition number and place in the partition; the offsets of the partitions are a
-    small table that is joined.  The reading position is part of the range key, so no
-    order value is too frequent to be split over several tasks.  Without order columns
-    nothing is shuffled: splits take the place of partitions.
-
-    A repeated task must see the reading positions it saw before, or rows would change
-    ranges half way.  That holds for a plain scan of files, which ``plain_scan`` states;
-    anything else is written with its positions first.
+    Reading order is by file path and position in the file.  ``plain_scan`` states that
+    the table is a scan of files with at most a projection on it.  Parquet then names the
+    place of each row in its file, so an unordered number is that place plus the rows of
+    earlier files, and nothing is written.  An ordered number range-partitions and sorts
+    the order columns and places alone; what is written is a place and a number a row, and
+    the table is joined to it by place (a table of order columns alone needs no join).
+    ``keep`` writes whole rows with their numbers instead: one write in place of a join for
+    each later use, for tables that are read several times.  Places are part of the range key, so no order
+    value is too frequent to be split over several tasks.
+
+    Anything else is written once with its reading positions: a repeated task must see the
+    positions it saw before, or rows would change ranges half way.
     """
     spark = df.sparkSession
-    ranged = _with_reading_position(df)
-    if order:
-        keys = [*map(named, order), *map(F.col, _READ)]
-        if not plain_scan:
-            ranged = materialise(ranged, "positions")
-        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        n = partitions or max(width, -(-ranged.count() // RANGE_ROWS))
-        ranged = ranged.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-        # A range stands for itself; its rows come from any number of files.
-        ranged = ranged.withColumns({"_file": F.lit(""), "_start": F.lit(0).cast("bigint")})
+    found, ties = _with_row_index(df) if plain_scan else None, list(_PLACE)
+    if found is None:
+        found, ties = _with_reading_position(df), list(_READ)
+        if not (plain_scan and keep and order):  # whole rows of a plain scan are written below
+            stored = materialise(found, "positions")
+            if not order:
+                return _numbered_by_split(stored, df.columns, name)
+            found = _with_row_index(stored)
+    if not order:
+        files = found.groupBy("_row_path").agg(F.count(F.lit(1)).alias("_rows"))
+        return found.join(_before(files, ["_row_path"]), "_row_path").select(
+            *map(named, df.columns), (F.col("_shift") + F.col("_row_index")).alias(name))
+    keys = [*map(named, order), *map(F.col, ties)]
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(width, -(-found.count() // RANGE_ROWS))
+    carried = [] if keep or set(df.columns) <= set(order) else list(_ROW)
     in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    written = materialise(
-        ranged.drop("_read").withColumn("_part", F.spark_partition_id()).withColumn("_place", in_part)
-        .withColumns({"_file": F.coalesce("_file", F.lit("")), "_start": F.coalesce("_start", F.lit(0))}), "rowid"
-    )
-    # One row per range or split, so the window holds little however large the table is.
-    pieces = written.groupBy("_file", "_start", "_part").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
-    earlier = Window.orderBy("_file", "_start", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")
-    offsets = materialise(
-        pieces.select("_file", "_start", "_part", shift.alias("_shift")).coalesce(1), "offsets")
-    return written.join(offsets, ["_file", "_start", "_part"]).select(
-        *map(named, df.columns), (F.col("_shift") + F.col("_place")).alias(name))
+    kept = carried or df.columns
+    placed = materialise(
+        found.select(*map(named, dict.fromkeys([*order, *ties, *kept])))
+        .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        .select(*map(named, kept), F.spark_partition_id().alias("_part"), in_part.alias("_place")), "rowid")
+    ranges = _before(placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")), ["_part"])
+    numbers = placed.join(ranges, "_part").withColumn("_number", F.col("_shift") + F.col("_place"))
+    if carried:
+        numbers = found.join(numbers.select(*carried, "_number"), carried)
+    return numbers.select(*map(named, df.columns), F.col("_number").alias(name))
+
+
+def _numbered_by_split(stored: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """Numbers in reading order; the rows of a split follow each other in one task."""
+    split = ["_file", "_start", "_part"]
+    stored = stored.withColumn("_part", F.shiftright("_read", 33))
+    pieces = stored.groupBy(*split).agg(F.count(F.lit(1)).alias("_rows"), F.min("_read").alias("_first"))
+    return stored.join(_before(pieces, split), split).select(
+        *map(named, columns), (F.col("_shift") + F.col("_read") - F.col("_first")).alias(name))
 
 
 def occurrence(
