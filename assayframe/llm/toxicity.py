@@ -7,15 +7,15 @@ vocabulary; none is left out for being rare, frequent or weak.  Vectors are
 is 1 + its likelihood ratio, of others 1, so common words do not decide who is near where
 words speak for the label, and decide where none does.
 
-The index keeps the postings of every term.  The few terms that many examples have are a
-matrix, which meets the queries of a block in one product; the postings of all others are
-added up per query.  So every query gets its cosine to every example, and the neighbours are
-exact.  The vote of the neighbours, each weighing its cosine to a power and shrunk towards
-the base rate, is turned into a probability by a logistic curve that is fitted to the votes
-the examples get from each other.
+The index is a block-max inverted index over all those terms: blocks of like examples are
+bounded for each query and scored only where the bound reaches the k-th cosine, so the
+neighbours are exact.  The vote of the neighbours, each weighing its cosine to a power and
+shrunk towards the base rate, is turned into a probability by a logistic curve that is fitted
+to the votes the examples get from each other, counted in tasks.
 
-Weights of examples are in single precision.  Examples are bounded by a parameter; vocabulary and index are what their texts hold, and go
-to the tasks with the code.
+Weights of examples are in single precision.  Examples are bounded in number and in bytes of
+text by parameters; their vectors, some bytes for each byte of text at most, are brought
+to the driver and go to the tasks with the code.
 
 Defined results: null text is empty; a text without terms of the vocabulary has no
 neighbours and gets the score of the base rate among such examples; equal cosines are
@@ -27,19 +27,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.llm import labelled
-from assayframe.llm.words import chunks, mix64, span_hashes, texts_of, tidied, tidy, word_spans
+from assayframe.llm.words import chunks, mix64, one_thread, span_hashes, texts_of, tidied, tidy, word_spans
 
 EXAMPLES = 8192
 NEIGHBOURS = 16
 POWER = 2.0
 SHRINK = 0.25
-BLOCK = 32  # queries that are scored together
-COMMON_SHARE = 0.12  # terms of more examples than this are held as a matrix
+BLOCK = 32  # examples
+BATCH = 256  # queries that meet the matrix in one product
+COMMON_SHARE = 0.05  # terms of more examples than this are held as a matrix
+PIVOTS = 48
+SLACK = 1e-5  # more than single precision can lose in a cosine
 EVIDENCE = 3
 PREFIXES = (4, 5)
 
@@ -123,74 +127,160 @@ class Vectors:
         return [(term[a:b], weight[a:b]) for a, b in zip(bound[:-1], bound[1:])]
 
 
-class ExactIndex:
-    """Postings by term, and a matrix of the terms that many examples have."""
+def _stretches(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of stretches one after the other, and their sizes."""
+    end = np.cumsum(size, dtype=np.int32)
+    at = np.arange(end[-1] if len(end) else 0, dtype=np.int32)
+    at += np.repeat(start - (end - size), size)
+    return at, size
+
+
+def _paired(number: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """A number and a weight side by side, so that one look into memory finds both."""
+    out = np.empty((len(number), 2), np.int32)
+    out[:, 0] = number
+    out[:, 1] = weight.astype(np.float32).view(np.int32)
+    return out.view(np.int64).ravel()
+
+
+def _parts(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    both = pairs.view(np.int32).reshape(-1, 2)
+    return both[:, 0], both.view(np.float32)[:, 1]
+
+
+class BlockMaxIndex:
+    """Examples in blocks of near ones, and the most that a block can add to a cosine.
+
+    Examples are ordered by label and by the closest of a few pivot examples, so a block holds
+    like texts.  A rare term has a posting list cut at block borders, with its largest weight
+    in each block.  The common terms are a matrix by example: one product with a batch of
+    queries gives their whole part of every cosine, and its largest value in a block is as
+    tight as a maximum can be.  Both together bound a block.  The blocks of the largest
+    bounds are scored first; of the rest only those whose bound reaches the k-th cosine so
+    far.  The cosines of the winners are added up once more in double precision, so results
+    do not depend on which queries share a batch.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, labels: np.ndarray,
                  size: int, block: int = BLOCK):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.labels, self.block = ids[order], labels[order], block
-        counts = [len(vectors[i][0]) for i in order]
-        example = np.repeat(np.arange(len(order), dtype=np.min_scalar_type(len(order))), counts)
-        term = np.concatenate([vectors[i][0] for i in order]) if len(order) else np.zeros(0, np.int64)
-        weight = np.concatenate([vectors[i][1] for i in order]) if len(order) else np.zeros(0)
-        by_term = np.argsort(term, kind="stable")
-        self.example, self.weight = example[by_term], weight[by_term].astype(np.float32)
-        self.start = np.append(0, np.cumsum(np.bincount(term, minlength=size)))
-        self.common = None
+        order = self._order(vectors, labels, ids, size)
+        self.ids, self.labels, self.size, self.block = ids[order], labels[order], size, block
+        self.start = np.append(0, np.cumsum([len(vectors[i][0]) for i in order])).astype(np.int64)
+        self.term = np.concatenate([vectors[i][0] for i in order]).astype(np.int32) if len(order) else np.zeros(0, np.int32)
+        self.weight = np.concatenate([vectors[i][1] for i in order]).astype(np.float32) if len(order) else np.zeros(0, np.float32)
+        self.inverted = None
+        self.scored_blocks = self.seen_blocks = 0
+
+    @staticmethod
+    def _order(vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
+        pivots = np.argsort(mix64(ids.astype(np.int64).view(np.uint64)), kind="stable")[:PIVOTS]
+        dense = np.zeros((size, len(pivots)), np.float32)
+        for column, i in enumerate(pivots.tolist()):
+            dense[vectors[i][0], column] = vectors[i][1]
+        near = np.zeros(len(ids), np.int64)
+        close = np.zeros(len(ids))
+        for i, (term, weight) in enumerate(vectors):
+            if len(term):
+                likeness = weight.astype(np.float32) @ dense[term]
+                near[i] = int(likeness.argmax())
+                close[i] = float(likeness[near[i]])
+        return np.lexsort((ids, close, near, labels))
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"common": None}  # made again where it is used
-
-    def _matrix(self) -> np.ndarray:
-        """Weights of the common terms by example; ``place`` has the row of each term, or -1."""
-        if self.common is None:
-            many = np.flatnonzero(np.diff(self.start) > COMMON_SHARE * len(self.ids))
-            self.place = np.full(len(self.start) - 1, -1)
-            self.place[many] = np.arange(len(many))
-            self.common = np.zeros((len(many), len(self.ids)))
-            for row, t in enumerate(many.tolist()):
-                here = slice(self.start[t], self.start[t + 1])
-                self.common[row, self.example[here]] = self.weight[here]
-        return self.common
-
-    def _cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        common = self._matrix()
-        own = np.zeros((len(queries), len(common)))
-        total = np.empty((len(queries), len(self.ids)))
-        for i, (term, weight) in enumerate(queries):
-            place = self.place[term]
-            rare = place < 0
-            own[i, place[~rare]] = weight[~rare]
-            start, stop = self.start[term[rare]], self.start[term[rare] + 1]
-            size = stop - start
-            at = np.repeat(stop - np.cumsum(size), size) + np.arange(size.sum())
-            total[i] = np.bincount(self.example[at], np.repeat(weight[rare], size) * self.weight[at], len(self.ids))
-        total += own @ common
-        return total
+        return self.__dict__ | {"inverted": None}  # made again where it is used
+
+    def _prepare(self) -> None:
+        if self.inverted is not None:
+            return
+        n = len(self.ids)
+        self.blocks = -(-n // self.block)
+        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
+        many = np.bincount(self.term, minlength=self.size) > COMMON_SHARE * n
+        self.place = np.full(self.size, -1, np.int32)
+        self.place[many] = np.arange(many.sum())
+        common = many[self.term]
+        self.matrix = np.zeros((self.blocks * self.block, int(many.sum())), np.float32)
+        self.matrix[example[common], self.place[self.term[common]]] = self.weight[common]
+        term, example, weight = self.term[~common], example[~common], self.weight[~common]
+        by_term = np.argsort(term, kind="stable")
+        term, example, weight = term[by_term], example[by_term], weight[by_term]
+        self.postings = _paired(example, weight)
+        block = example // self.block
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        first = np.flatnonzero(new)
+        self.entry_start = np.append(first, len(term)).astype(np.int32)
+        self.entries = _paired(block[first], np.maximum.reduceat(weight, first) if len(first) else np.zeros(0, np.float32))
+        self.term_entry = np.searchsorted(term[first], np.arange(self.size + 1)).astype(np.int32)
+        self.inverted = True
+
+    def _rare(self, entries: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the postings of some entries add to each example, in order of terms."""
+        start = self.entry_start[entries]
+        at, size = _stretches(start, self.entry_start[entries + 1] - start)
+        example, weight = _parts(self.postings[at])
+        return np.bincount(example, np.repeat(weights, size) * weight, len(self.ids))
 
     def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int,
                     not_ids: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per query the k examples with the largest positive cosines, and those cosines."""
-        for low in range(0, len(queries), self.block):
-            for i, row in enumerate(self._cosines(queries[low:low + self.block]), low):
-                if not_ids is not None:
-                    row[np.searchsorted(self.ids, not_ids[i]):np.searchsorted(self.ids, not_ids[i], "right")] = 0
-                least = np.partition(row, len(row) - k)[len(row) - k] if k < len(row) else 0.0
-                # 1e-12: equal cosines may be rounded apart
-                hit = np.flatnonzero(row >= max(least - 1e-12, 1e-12))
-                score = np.round(row[hit], 12)
-                best = np.lexsort((self.ids[hit], -score))[:k]
-                yield hit[best], score[best]
+        self._prepare()
+        one_thread()
+        for low in range(0, len(queries), BATCH):
+            part = queries[low:low + BATCH]
+            own = np.zeros((len(part), self.matrix.shape[1]), np.float32)
+            for i, (term, weight) in enumerate(part):
+                place = self.place[term]
+                own[i, place[place >= 0]] = weight[place >= 0]
+            exact = own @ self.matrix.T
+            most = exact.reshape(len(part), self.blocks, self.block).max(axis=2) if self.blocks else exact
+            for i, (term, weight) in enumerate(part):
+                yield self._nearest(term, weight, k, exact[i], most[i], None if not_ids is None else not_ids[low + i])
+
+    def _nearest(self, term: np.ndarray, weight: np.ndarray, k: int, exact: np.ndarray, most: np.ndarray,
+                 not_id) -> tuple[np.ndarray, np.ndarray]:
+        n = len(self.ids)
+        rare = self.place[term] < 0
+        first, last = self.term_entry[term[rare]], self.term_entry[term[rare] + 1]
+        entries, size = _stretches(first, last - first)
+        weights = np.repeat(weight[rare].astype(np.float32), size)
+        block, most_of = _parts(self.entries[entries])
+        bound = most + np.bincount(block, weights * most_of, self.blocks) + SLACK
+        ahead = min(self.blocks, max(1, 4 * k // self.block))
+        chosen = np.zeros(self.blocks, bool)
+        chosen[np.argpartition(-bound, ahead - 1)[:ahead]] = True
+        held, rest, kth = np.zeros(0, np.int64), np.zeros(0), 0.0
+        while True:
+            here = chosen[block]
+            inside = (np.flatnonzero(chosen)[:, None] * self.block + np.arange(self.block)).ravel()
+            inside = inside[inside < n]
+            if not_id is not None:
+                inside = inside[self.ids[inside] != not_id]
+            held, rest = np.append(held, inside), np.append(rest, self._rare(entries[here], weights[here])[inside])
+            self.scored_blocks += int(chosen.sum())
+            bound[chosen] = -1.0
+            total = exact[held] + rest
+            kth = max(0.0, float(np.partition(total, len(total) - k)[len(total) - k])) if k < len(total) else 0.0
+            chosen = bound >= max(kth, SLACK)
+            if not chosen.any():
+                break
+        self.seen_blocks += self.blocks
+        good = total >= max(kth - SLACK, -SLACK)
+        held = held[good]
+        # once more in double precision, so that cosines do not depend on the batch
+        own = np.zeros(self.matrix.shape[1])
+        own[self.place[term[~rare]]] = weight[~rare]
+        score = np.round((self.matrix[held] * own).sum(axis=1) + rest[good], 12)
+        # 1e-12: equal cosines may be rounded apart
+        held, score = held[score > 1e-12], score[score > 1e-12]
+        best = np.lexsort((self.ids[held], -score))[:k]
+        return held[best], score[best]
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, not_id=None) -> tuple[np.ndarray, np.ndarray]:
         """The same for one query."""
         return next(self.nearest_all([(term, weight)], k, None if not_id is None else np.array([not_id])))
 
 
-BlockMaxIndex = ExactIndex  # its earlier name
-
-
 def vote(labels: np.ndarray, score: np.ndarray, base: float, power: float = POWER, shrink: float = SHRINK) -> float:
     """Share of label 1 among neighbours that weigh cosine^power, drawn towards the base rate."""
     weight = score ** power
@@ -216,7 +306,7 @@ def fit_curve(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tup
 class Model:
     """Everything a task needs to score texts."""
 
-    def __init__(self, vectors: Vectors | None, index: ExactIndex | None, base: float, k: int):
+    def __init__(self, vectors: Vectors | None, index: BlockMaxIndex | None, base: float, k: int):
         self.vectors, self.index, self.base, self.k = vectors, index, base, k
         self.curve = (0.0, float(np.log((base + 1e-3) / (1 - base + 1e-3))))
         self.without = base
@@ -267,20 +357,36 @@ def fit(sample: DataFrame, k: int = NEIGHBOURS) -> Model:
         .toPandas().sort_values("doc_id", kind="stable")
     ids, labels, rate = rows["doc_id"].to_numpy(), rows["label"].to_numpy(), rows["rate"].to_numpy()
     listed = [(np.frombuffer(t, np.int32), np.frombuffer(w, np.float32)) for t, w in zip(rows["term"], rows["weight"])]
-    model = Model(vectors, ExactIndex(listed, ids, labels, len(chosen)), float(np.average(labels, weights=1 / rate)), k)
+    model = Model(vectors, BlockMaxIndex(listed, ids, labels, len(chosen)), float(np.average(labels, weights=1 / rate)), k)
     full = np.array([len(term) > 0 for term, _ in listed])
-    found = model.index.nearest_all([x for x in listed if len(x[0])], k, ids[full])
-    votes = [vote(model.index.labels[who], score, model.base) for who, score in found]
-    truth, weights = labels[full].astype(float), 1 / rate[full]
+    votes = own_votes(sample, model).sort_values("doc_id", kind="stable")
+    truth, weights = votes["label"].to_numpy(float), 1 / votes["rate"].to_numpy()
     bare = [model.base * 2 + (labels[~full] / rate[~full]).sum(), 2.0 + (1 / rate[~full]).sum()]
-    del rows, listed, found
-    model.index.common = None
+    del rows, listed
     tidy()
     model.without = bare[0] / bare[1]
-    model.curve = fit_curve(np.array(votes), truth, weights)
+    model.curve = fit_curve(votes["vote"].to_numpy(), truth, weights)
     return model
 
 
+def own_votes(sample: DataFrame, model: Model) -> pd.DataFrame:
+    """(doc_id, label, rate, vote): what the other examples say of each example with terms."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in chunks(batch, "text"):
+                asked = model.vectors.of(piece.column("text"))
+                full = np.flatnonzero([len(term) > 0 for term, _ in asked])
+                ids = np.array(piece.column("doc_id").to_pylist(), np.int64)[full]
+                found = model.index.nearest_all([asked[i] for i in full.tolist()], model.k, ids)
+                told = [vote(model.index.labels[who], score, model.base) for who, score in found]
+                take = pa.array(full)
+                yield pa.record_batch([pa.array(ids), piece.column("label").take(take), piece.column("rate").take(take),
+                                       pa.array(told, pa.float64())], names=["doc_id", "label", "rate", "vote"])
+
+    spread = sample.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "label", "rate").repartition(12, "doc_id")
+    return spread.mapInArrow(tidied(task), "doc_id long, label int, rate double, vote double").toPandas()
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, evidence) of every row; no shuffle."""
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))

@@ -9,6 +9,7 @@ import ctypes
 import gc
 import sys
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from types import ModuleType
 
 import numpy as np
@@ -38,6 +39,21 @@ def tidy() -> None:
         pass
 
 
+def one_thread() -> None:
+    """Let numpy's matrix products use one thread: a task has one core, and idle threads spin."""
+    if "one_thread" in _tables():
+        return
+    _tables()["one_thread"] = True
+    for path in Path(np.__file__).parent.parent.glob("numpy.libs/*openblas*"):
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_",
+                     "openblas_set_num_threads"):
+            try:
+                getattr(ctypes.CDLL(str(path)), name)(1)
+                return
+            except (AttributeError, OSError):
+                continue
+
+
 def tidied(task: Callable) -> Callable:
     """A task over batches that gives its memory back at its end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
