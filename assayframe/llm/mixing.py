@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assayframe.llm.rows import exact, free_name
 from assayframe.session import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -82,7 +83,8 @@ def ordered(rows: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     buckets of bounded size are summed inside, and the sums of whole buckets are added.
     """
     named = rows.join(sources, rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    named = named.withColumn("u", _unit(F.lit(seed), F.col("doc_id"))).withColumn(
+    # rows without id, or with one id, are told apart by their text
+    named = named.withColumn("u", _unit(F.lit(seed), F.col("doc_id"), F.col("mix_key_1"), F.col("mix_key_2"))).withColumn(
         "bucket", F.floor(F.col("u") * F.ceil(F.col("rows") / float(ROWS_PER_BUCKET))))
     sums = named.groupBy("source_no", "bucket").agg(F.sum("size").alias("bucket_size"))
     earlier = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -210,24 +212,29 @@ def with_sizes(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PER_SHARD,
-        seed: int = SEED) -> DataFrame:
-    """The mixed corpus: each row of ``docs`` as often as the mix takes it, plus mix_shard.
+        seed: int = SEED, shard: str | None = "mix_shard") -> DataFrame:
+    """The mixed corpus: each row of ``docs`` as often as the mix takes it.
 
     ``docs`` needs doc_id, text and source.  Texts are shuffled once, by a 128-bit key of
-    those three columns, to meet their draws; rows that agree in all three share their
-    draws evenly.  Rows stand in hashed order inside each task.
+    those three columns, to meet their draws.  Rows that agree in all three share their draws
+    evenly: both sides are numbered, and a draw meets the row of its number modulo the rows.
+    Rows stand in hashed order inside each task.  ``shard`` names a column for the output
+    shard (with underscores behind it where ``docs`` has that name), or is None for none.
+    The columns of ``docs`` travel in one struct, so no name of theirs meets one used here.
     """
     drawn = draw(with_sizes(docs), shards, blocks_per_shard, seed).where("copy IS NOT NULL")
     keys = list(_row_key(docs))
-    drawn = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list("shard")).alias("mix_shards"))
-    same = Window.partitionBy(*keys)
-    rows = docs.withColumns(_row_key(docs)).withColumns({
-        "mix_no": F.row_number().over(same.orderBy("doc_id")), "mix_rows": F.count("*").over(same)})
-    own = F.filter("mix_shards", lambda _, i: i % F.col("mix_rows") == F.col("mix_no") - 1)
-    names = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
-    return rows.join(drawn, keys).select(*names, F.explode(own).alias("mix_shard"), "mix_key_1") \
-        .sortWithinPartitions("mix_shard", F.xxhash64(F.lit(seed), "mix_shard", "mix_key_1")) \
-        .drop("mix_key_1")
+    numbered = Window.partitionBy(*keys)
+    rows = docs.select(F.struct(*[exact(c) for c in docs.columns]).alias("whole"),
+                       *[k.alias(n) for n, k in _row_key(docs).items()])
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("rows"))
+    rows = rows.withColumn("place", F.row_number().over(numbered.orderBy(F.lit(1))) - 1)
+    drawn = drawn.select(*keys, "shard").withColumn("draw", F.row_number().over(numbered.orderBy("shard")) - 1)
+    drawn = drawn.join(counts, keys).select(*keys, "shard", (F.col("draw") % F.col("rows")).cast("int").alias("place"))
+    met = rows.join(drawn, [*keys, "place"]).sortWithinPartitions(
+        "shard", F.xxhash64(F.lit(seed), "shard", keys[0]))
+    added = [] if shard is None else [F.col("shard").alias(free_name(shard, docs.columns))]
+    return met.select("whole.*", *added)
 
 
 def mix_report(docs: DataFrame, shards: int = SHARDS, blocks_per_shard: int = BLOCKS_PER_SHARD,

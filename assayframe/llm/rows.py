@@ -20,9 +20,17 @@ def exact(name: str) -> Column:
 def keep_one(docs: DataFrame, kept_keys: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose keys are in ``kept_keys``, one row per key, columns unchanged.
 
-    One shuffle of the texts: the join and the numbering use the same partitioning.
+    One shuffle of the texts: the join and the numbering use the same partitioning.  The
+    columns travel in one struct, so no name of theirs meets one used here.
     """
-    same = Window.partitionBy(*KEYS).orderBy("doc_id")
-    found = docs.withColumns(row_keys()).join(kept_keys.select(*KEYS), KEYS)
-    first = found.withColumn("row_no", F.row_number().over(same)).where("row_no = 1")
-    return first.select(*[exact(c) for c in docs.columns])
+    same = Window.partitionBy(*KEYS).orderBy(F.lit(1))
+    rows = docs.select(F.struct(*[exact(c) for c in docs.columns]).alias("whole"), *[k.alias(n) for n, k in row_keys().items()])
+    first = rows.join(kept_keys.select(*KEYS), KEYS).withColumn("row_no", F.row_number().over(same)).where("row_no = 1")
+    return first.select("whole.*")
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores behind it until no other column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name

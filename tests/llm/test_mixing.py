@@ -6,6 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from assayframe.llm import mixing
 from assayframe.llm.mixing import draw, mix, mix_report, split_quotas, targets, with_sizes
 
 SCHEMA = "doc_id long, text string, source string, size string, copy int"
@@ -108,3 +109,26 @@ def test_empty_tables(spark):
     blank = spark.createDataFrame([(1, None, None, None, None), (2, " ", "a", None, None)], SCHEMA)
     assert {(r["doc_id"], r["taken"], r["target"]) for r in mix_report(blank).collect()} == {(1, 0, 0.0), (2, 0, 0.0)}
     assert targets(with_sizes(empty)).collect() == []
+
+
+def test_columns_of_the_user_survive(spark):
+    """Every name that the operator and its helpers use, as a column of the input."""
+    names = ["whole", "place", "rows", "draw", "shard", "mix_shard", "mix_key_1", "mix_key_2", "mix_no", "mix_rows",
+             "size", "row", "row_no", "row_key_1", "row_key_2", "_quality_score"]
+    rows = [(i % 40 or None, f"text {i % 30} of some words", "ab"[i % 2], *[f"{n}-{i}" for n in names]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    from assayframe.llm.rows import KEYS, keep_one, row_keys
+
+    for made in (mixing.mix(docs), mixing.mix(docs, shard=None), keep_one(docs, docs.select(*[k.alias(n) for n, k in row_keys().items()]).distinct())):
+        found = made.select(*docs.columns).collect()
+        assert found and {tuple(r) for r in found} <= set(rows)
+    assert mixing.mix(docs).columns == [*docs.columns, "mix_shard_"] and KEYS
+    assert mixing.mix(docs, shard=None).columns == docs.columns
+
+
+def test_equal_rows_and_rows_without_id(spark):
+    rows = [(None, f"{i} word", "a") for i in range(300)] + [(7, "same words here", "b")] * 200 + [(i, "x y z", "c") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    report = mixing.mix_report(docs).collect()
+    mixed = mixing.mix(docs, shard=None).collect()
+    assert sum(r.taken for r in report) == sum(len(r.text.split()) for r in mixed)

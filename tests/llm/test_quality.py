@@ -7,8 +7,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from assayframe.llm import quality
+from assayframe.llm import labelled, quality
 from assayframe.llm.quality import dots, features, ftrl, quality_scores, weights_of
 
 DOCS = "doc_id long, text string, label string, rate int"
@@ -90,3 +91,14 @@ def test_dots_are_sums_over_features():
     assert np.allclose(dots(texts, w), want) and words.tolist() == [3, 0, 0, 4]
     assert np.bincount(row, minlength=4).tolist() == [3 + 2 + 3 + 2 + 2, 0, 0, 4 + 3 + 4 + 3 + 3]
     assert (weights_of(np.zeros(3), np.ones(3)) == 0).all()
+
+
+def test_the_sample_is_bounded_in_rows_and_bytes(spark):
+    docs = [(1, f"text {i}") for i in range(3000)] + [(2, "other words")] * 500 + [(i, "long " * 200) for i in range(10, 60)]
+    labels = [(1, 1), (2, 0), *[(i, i % 2) for i in range(10, 60)]]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
+    found = labelled.sample(docs, labels, "quality", F.lit(True), 64, "test").collect()
+    assert len(found) < 100 and len({(r.doc_id, r.text) for r in found}) == len(found)
+    short = labelled.sample(docs, labels, "quality", F.lit(True), 10_000, "test", most_bytes=20_000).collect()
+    assert 0 < sum(len(r.text) for r in short) < 40_000

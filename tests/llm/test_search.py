@@ -16,10 +16,10 @@ def brute(rows, k):
     usable = [(i, [math.floor(256 * x) for x in v]) for i, v, *_ in rows
               if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for qi, q in usable:
+    for own, (qi, q) in enumerate(usable):
         if qi % 50:
             continue
-        scored = sorted((-sum(a * b for a, b in zip(q, v)), i) for i, v in usable if i != qi)[:k]
+        scored = sorted((-sum(a * b for a, b in zip(q, v)), i) for n, (i, v) in enumerate(usable) if n != own)[:k]
         out += [(qi, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
     return sorted(out)
 
@@ -51,3 +51,10 @@ def test_empty_and_single(spark):
     assert found(spark, []) == []
     assert found(spark, [(50, [1.0], "", "")]) == []
     assert found(spark, [(50, [1.0], "", ""), (51, [2.0], "", "")]) == [(50, 1, 51, 256 * 512)]
+
+
+@pytest.mark.parametrize("how", [{}, {"block_rows": 2, "run_rows": 4, "query_rows": 2}])
+def test_repeated_query_ids(spark, how):
+    rows = [(50, [1.0, 0.0], "", ""), (50, [0.0, 1.0], "", ""), (50, [1.0, 0.0], "", ""), (100, [1.0, 1.0], "", ""),
+            (1, [2.0, 0.5], "", ""), (2, [0.5, 3.0], "", "")]
+    assert found(spark, rows, **how) == brute(rows, 5)
