@@ -24,15 +24,16 @@ from pyspark.sql import functions as F
 from assayframe.catalog.base import table
 from assayframe.llm import mixing, quality, repeats, similarity
 from assayframe.llm.catalog import pieces
+from assayframe.llm.rows import free_name
 from assayframe.session import materialise
 
 LEAST_QUALITY = 0.3
-_SCORE = "_quality_score"
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = quality.quality_scores(docs, table(spark, sf_dir, "labels"), name=_SCORE)
-    return scored.where(F.col(_SCORE) >= LEAST_QUALITY).drop(_SCORE)
+    score = free_name("_quality_score", docs.columns)
+    scored = quality.quality_scores(docs, table(spark, sf_dir, "labels"), name=score)
+    return scored.where(F.col(score) >= LEAST_QUALITY).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs).drop("mix_shard")
+    return mixing.mix(docs, shard=None)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
