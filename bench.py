@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -58,6 +59,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("assayframe-bench")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_CHECKPOINT_DIR") or f"file://{tempfile.mkdtemp(prefix='bench-')}")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         # Building plans from Python is a visible share of runs this small.
