@@ -1,14 +1,20 @@
 """Entities against the registry."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from assayframe.catalog.base import Query, REPORTING_DATE, table, with_tables
+from assayframe.catalog.oracle import report_sql
 from assayframe.functions import keys
 from assayframe.operators import filters, lookups
 from assayframe.operators.frequency import distinct_beside_count
 from assayframe.plans import coverage
-from assayframe.session import scratch_path
+from assayframe.plans.validate import store_and_validate
+from assayframe.rules import Rules
+from assayframe.session import materialise, scratch_path
+from assayframe.sources.sinks import create_tables, drop_tables
 
 LOAD_DATE = "1997-06-01"
 RUN_TS = "2001-06-30 12:00:00"
@@ -79,10 +85,6 @@ def _coverage_run(spark, sf, part):
 def _stored(spark, sf):
     """Rows written to the output tables of a coverage run, loaded twice."""
     run = coverage.run_coverage(_base(spark, sf), _sample_lookup(spark, sf), RUN_TS)
-    import uuid
-
-    from assayframe.sources.sinks import create_tables, drop_tables
-
     suffix = uuid.uuid4().hex[:8]
     names = {part: f"coverage_{part}_{suffix}" for part in run._fields}
     schemas = {names[part]: getattr(run, part).schema for part in run._fields}
@@ -105,6 +107,56 @@ def _stored(spark, sf):
         drop_tables(spark, schemas)
 
 
+def _registry_lookup(spark, sf):
+    """The combined lookup of the registry tables, one row a key."""
+    return coverage.combined_registry(
+        coverage.identity_columns(table(spark, sf, "registry_rows"), "SYS"),
+        coverage.risk_columns(table(spark, sf, "registry_risks")),
+        coverage.link_counts(table(spark, sf, "registry_links")), dedupe=True).drop("_known")
+
+
+def _registry_run(spark, sf):
+    """A coverage run against the registry, its lookup stored before it is used twice."""
+    lookup = materialise(_registry_lookup(spark, sf), "lookup")
+    return coverage.run_coverage(_base(spark, sf), lookup, RUN_TS), lookup
+
+
+def _coverage_file(spark, sf, part):
+    """One of the four files of a coverage run, read back."""
+    run, lookup = _registry_run(spark, sf)
+    paths = coverage.write_coverage(run, lookup, scratch_path(spark, "coverage"))
+    return spark.read.parquet(paths[part])
+
+
+def _coverage_summary_file(spark, sf):
+    """The ordered summary, numbered as its lines stand in the file."""
+    run, lookup = _registry_run(spark, sf)
+    paths = coverage.write_coverage(run, lookup, scratch_path(spark, "coverage"))
+    return spark.read.schema(run.summary.schema).csv(paths["summary"], header=True).withColumn(
+        "line", F.monotonically_increasing_id())
+
+
+def _coverage_validated(spark, sf):
+    """The enriched table of a run, stored and validated in one pass."""
+    run, _ = _registry_run(spark, sf)
+    name = f"coverage_rich_{uuid.uuid4().hex[:8]}"
+    create_tables(spark, {name: run.rich.schema})
+    try:
+        return store_and_validate(run.rich, name, RICH_RULES, RUN_TS).report
+    finally:
+        drop_tables(spark, {name: run.rich.schema})
+
+
+RICH_RULES = Rules(
+    required_columns=("id", "source", coverage.FLAG, "registry_risk_score", "not_there"),
+    non_null_columns=("id", "name", "registry_risk_score"),
+    unique_columns=("id", "registry_kvk"),
+    positive_numeric_columns=("total_msv_12m_eur", "registry_ubo_count"),
+    allowed_values={coverage.FLAG: ("Y", "N"), "registry_risk_score": ("Low", "Medium", "High")},
+    null_thresholds={"registry_vat": 0.5, "country": 0.0},
+)
+RICH_COLUMNS = ("id", "source", "name", "country", "total_msv_12m_eur", *coverage.IDENTITY_COLUMNS,
+                *coverage.RISK_COLUMNS, *coverage.LINK_COLUMNS, coverage.FLAG)
 KEY_SQL = """CASE WHEN regexp_matches(id, '[0-9]') THEN
   'P_M' || LPAD(regexp_replace(id, '[^0-9]', '', 'g'), 13, '0') END"""
 CURRENT = "valid_to LIKE '%9999%' AND system_flag LIKE 'SYS%' AND key LIKE 'P\\_M%' ESCAPE '\\'"
@@ -136,6 +188,13 @@ RICH = f"""SELECT e.* EXCLUDE (jk), CASE WHEN g.key IS NOT NULL THEN 'Y' ELSE 'N
   FROM (SELECT *, {KEY_SQL} AS jk FROM entities) e
     LEFT JOIN (SELECT * FROM registry_rows WHERE {CURRENT}) g ON e.jk = g.key
     LEFT JOIN ({LATEST}) r ON e.jk = r.key LEFT JOIN ({LINKS}) l ON e.jk = l.key"""
+# A run takes its flag from the lookup's keys and that of the enriched table from the risk score.
+LOOKUP_KEYS = f"""SELECT key FROM registry_rows WHERE {CURRENT} UNION SELECT key FROM ({LATEST})
+  UNION SELECT key FROM ({LINKS})"""
+RUN_FLAG = f"""SELECT e.* EXCLUDE (jk), CASE WHEN r.key IS NOT NULL THEN 'Y' ELSE 'N' END AS in_registry_flag
+  FROM (SELECT *, {KEY_SQL} AS jk FROM entities) e LEFT JOIN ({LOOKUP_KEYS}) r ON e.jk = r.key"""
+RUN_RICH = f"""SELECT * EXCLUDE (in_registry_flag, has_risk_flag), has_risk_flag AS in_registry_flag,
+  CAST('{RUN_TS}' AS TIMESTAMP) AS generated_at FROM ({RICH})"""
 ALL = ("entities", "registry_rows", "registry_risks", "registry_links")
 SAMPLE = f"""SELECT jk, UPPER(name) AS registry_name, country AS registry_country,
     CASE WHEN LENGTH(name) > 3 THEN 'Low' END AS registry_risk_score, LENGTH(name) AS registry_ubo_count
@@ -295,6 +354,23 @@ QUERIES = {
         lambda spark, sf: _coverage_run(spark, sf, "summary"),
         with_tables(f"""SELECT *, CAST('{RUN_TS}' AS TIMESTAMP) AS generated_at FROM ({_summary_sql(SAMPLE_FLAG)})""",
                     "entities")),
+    "coverage_file_flag": Query(
+        lambda spark, sf: _coverage_file(spark, sf, "flag"),
+        with_tables(f"SELECT *, CAST('{RUN_TS}' AS TIMESTAMP) AS generated_at FROM ({RUN_FLAG})", *ALL)),
+    "coverage_file_enriched": Query(
+        lambda spark, sf: _coverage_file(spark, sf, "rich"), with_tables(RUN_RICH, *ALL)),
+    "coverage_file_lookup": Query(
+        lambda spark, sf: _coverage_file(spark, sf, "lookup").select(
+            coverage.JOIN_KEY, "registry_name", "registry_risk_score", "registry_ubo_count"),
+        with_tables(f"""SELECT k.key AS join_key, TRIM(g.name) AS registry_name,
+          TRIM(r.risk_score) AS registry_risk_score, l.ubo AS registry_ubo_count
+        FROM ({LOOKUP_KEYS}) k LEFT JOIN (SELECT * FROM registry_rows WHERE {CURRENT}) g ON k.key = g.key
+          LEFT JOIN ({LATEST}) r ON k.key = r.key LEFT JOIN ({LINKS}) l ON k.key = l.key""", *ALL)),
+    "coverage_file_summary": Query(_coverage_summary_file, with_tables(
+        f"""SELECT *, CAST('{RUN_TS}' AS TIMESTAMP) AS generated_at,
+          ROW_NUMBER() OVER (ORDER BY source, in_registry_flag) - 1 AS line FROM ({_summary_sql(RUN_FLAG)})""", *ALL)),
+    "coverage_validated": Query(_coverage_validated, with_tables(
+        f"WITH rich AS ({RUN_RICH}) " + report_sql("rich", RICH_RULES, RICH_COLUMNS), *ALL)),
     "coverage_tables_replaced": Query(_stored, with_tables(f"""
         SELECT 'flag' AS part, COUNT(*) AS "rows", CAST('{RUN_TS}' AS TIMESTAMP) AS last_run, COUNT(*) AS written FROM entities
         UNION ALL SELECT 'rich', COUNT(*), CAST('{RUN_TS}' AS TIMESTAMP), COUNT(*) FROM entities

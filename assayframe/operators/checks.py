@@ -14,11 +14,11 @@ The result is lazy.  With ``by`` the same two passes serve any number of groups
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -235,31 +235,60 @@ def verdicts(counts: DataFrame, groups: list[str], plan: list[Check]) -> DataFra
     )
 
 
-def run_checks(df: DataFrame, rules: Rules, by: Sequence[str] = ()) -> DataFrame:
-    """One row per check (and group), numbered in execution order by ``seq``."""
-    plan = plan_checks(df, rules)
-    groups = [name_sql(g) for g in by]
+def _split(plan: list[Check]) -> tuple[dict[int, str], dict[int, str]]:
+    """Row-level checks as conditions, and key columns, by their numbers."""
     rowwise = {seq: check.bad for seq, check in enumerate(plan) if check.bad is not None}
     keyed = {seq: check.column for seq, check in enumerate(plan) if check.bad is None}
+    return rowwise, keyed
+
 
-    totals = df.groupBy(*groups).agg(
-        F.expr("count(1) AS n"),
-        *[F.expr(f"count_if({bad}) AS bad{seq}") for seq, bad in rowwise.items()],
+def _row_totals(rowwise: dict[int, str]) -> list[Column]:
+    return [F.expr("count(1)").alias("n"),
+            *[F.expr(f"count_if({bad})").alias(f"bad{seq}") for seq, bad in rowwise.items()]]
+
+
+def _key_counts(df: DataFrame, keyed: dict[int, str], by: Sequence[str] = ()) -> DataFrame:
+    """Surplus rows of each key column, from one scan and one shuffle of key values."""
+    groups = [name_sql(g) for g in by]
+    repeats = value_sizes(df, list(keyed.values()), by).groupBy(*groups).agg(
+        F.expr("sum(if(column_index = 0, size, 0)) AS n"),
+        *[F.expr(f"sum(if(column_index = {i}, size - 1, 0)) AS bad{seq}") for i, seq in enumerate(keyed)],
     )
-    counts = [check_counts(totals, groups, list(rowwise))]
+    return check_counts(repeats, groups, list(keyed))
+
+
+def run_checks(df: DataFrame, rules: Rules, by: Sequence[str] = ()) -> DataFrame:
+    """One row per check (and group), numbered in execution order by ``seq``."""
+    plan = plan_checks(df, rules)
+    groups = [name_sql(g) for g in by]
+    rowwise, keyed = _split(plan)
+    counts = [check_counts(df.groupBy(*groups).agg(*_row_totals(rowwise)), groups, list(rowwise))]
     if keyed:
-        sizes = value_sizes(df, list(keyed.values()), by)
-        repeats = sizes.groupBy(*groups).agg(
-            F.expr("sum(if(column_index = 0, size, 0)) AS n"),
-            *[
-                F.expr(f"sum(if(column_index = {i}, size - 1, 0)) AS bad{seq}")
-                for i, seq in enumerate(keyed)
-            ],
-        )
-        counts.append(check_counts(repeats, groups, list(keyed)))
+        counts.append(_key_counts(df, keyed, by))
     return verdicts(reduce(DataFrame.unionByName, counts), groups, plan)
 
 
+def check_while_writing(
+    df: DataFrame, rules: Rules, write: Callable[[DataFrame], None], stored: Callable[[], DataFrame],
+) -> DataFrame:
+    """The results of ``run_checks``, counted while ``write`` writes the rows.
+
+    All row-level checks are observed on the one pass that writes; ``stored`` reads back what
+    was written, of which uniqueness scans the key columns alone.  ``write`` must run one job
+    over the frame it is given.
+    """
+    plan = plan_checks(df, rules)
+    rowwise, keyed = _split(plan)
+    seen = Observation()
+    write(df.observe(seen, *_row_totals(rowwise)))
+    found = seen.get
+    literals = [F.lit(found[name]).cast("bigint").alias(name) for name in ("n", *(f"bad{seq}" for seq in rowwise))]
+    counts = [check_counts(df.sparkSession.range(1).select(*literals), [], list(rowwise))]
+    if keyed:
+        counts.append(_key_counts(stored(), keyed))
+    return verdicts(reduce(DataFrame.unionByName, counts), [], plan)
+
+
 def _single(df: DataFrame, by: Sequence[str], **rule) -> DataFrame:
     return run_checks(df, Rules(**rule), by).filter(F.col("seq") > 0)
 

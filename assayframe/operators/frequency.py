@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from assayframe.columns import named
 from assayframe.functions.text import percent
+from assayframe.session import materialise
 
 
 def frequency(df: DataFrame, columns: Sequence[str], count: str = "count") -> DataFrame:
@@ -98,17 +99,48 @@ def category_text(df: DataFrame, key: str, column: str, separator: str = ", ") -
     )
 
 
-def step_change(df: DataFrame, order: str, columns: Mapping[str, str]) -> DataFrame:
-    """Differences between consecutive summary rows; the first row has 0.
+def step_change(
+    df: DataFrame, order: str, columns: Mapping[str, str], partitions: int | None = None,
+    few: bool = False,
+) -> DataFrame:
+    """Differences between consecutive rows; the first row has 0.
+
+    Rows are range-partitioned by ``order`` and compared inside their range; the first row
+    of a range is compared with the last row of the range before it that has any.  What
+    passes from range to range is one struct of the compared values each.  Rows with equal
+    order are ordered by these values, rows without one come first.  The ranges are stored,
+    so that a repeated task finds its row in the range where it was.
 
-    Meant for runs and repair steps, a handful of rows, which is why one ordered
-    window is enough.
+    ``few`` states that the rows are bounded by something the caller holds in memory, such
+    as the steps of a plan; they are then compared in one window.
     """
-    window = Window.orderBy(named(order))
-    return df.withColumns({
-        new: F.coalesce(F.bround(named(old) - F.lag(named(old)).over(window), 2), F.lit(0))
-        for old, new in columns.items()
-    })
+    old = F.struct(*[named(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    ties = [named(order), *map(named, columns)]
+    if few:
+        before = F.lag(old).over(Window.orderBy(*ties))
+        return df.withColumn("_before", before).withColumns(_changes(columns)).drop("_before")
+    width = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialise(
+        df.repartitionByRange(width, named(order)).withColumn("_range", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("_range").orderBy(*ties)
+    compared = rows.withColumns({"_before": F.lag(old).over(inside), "_after": F.lead(old).over(inside)})
+    # One entry a range that has rows, at most ``width``; each gets the end of the one before.
+    ends = compared.filter("_after IS NULL").agg(
+        F.array_sort(F.collect_list(F.struct("_range", old.alias("_end")))).alias("_ends"))
+    carried = ends.select(F.inline(F.transform("_ends", lambda end, i: F.struct(
+        end["_range"].alias("_range"), F.get("_ends", i - 1)["_end"].alias("_carried")))))
+    return (
+        compared.join(carried, "_range", "left")
+        .withColumn("_before", F.coalesce("_before", "_carried"))
+        .withColumns(_changes(columns)).drop("_before", "_after", "_carried", "_range")
+    )
+
+
+def _changes(columns: Mapping[str, str]) -> dict[str, Column]:
+    return {
+        new: F.coalesce(F.bround(named(old) - F.col("_before")[f"_{i}"], 2), F.lit(0))
+        for i, (old, new) in enumerate(columns.items())
+    }
 
 
 def share_of_group(counts: DataFrame, group: str, count: str, share: str) -> DataFrame:

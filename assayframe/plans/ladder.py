@@ -179,7 +179,7 @@ def ladder_summary(df: DataFrame, plan: RepairPlan, rules: Rules) -> DataFrame:
         "quality_score", named_checks.alias("failed_checks"),
     )
     changed = step_change(rows, "step", {
-        "quality_score": "score_delta", "checks_failed": "failed_delta"})
+        "quality_score": "score_delta", "checks_failed": "failed_delta"}, few=True)
     return changed.withColumn("failed_delta", F.col("failed_delta").cast("bigint")).orderBy("step")
 
 

@@ -5,12 +5,12 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assayframe.operators.checks import run_checks
+from assayframe.operators.checks import check_while_writing, run_checks
 from assayframe.operators.report import build_report, build_summary
 from assayframe.rules import Config, Rules, load_config
 from assayframe.session import materialise
 from assayframe.sources.files import load_dataset, load_table
-from assayframe.sources.sinks import publish_run
+from assayframe.sources.sinks import publish_run, shaped
 
 
 class Validation(NamedTuple):
@@ -57,3 +57,21 @@ def validate_source(
     summary = build_summary(results, source, run_ts)
     paths = publish_run(results, summary, output, run_id) if output and run_id else {}
     return Validation(data, results, build_report(results), summary, paths)
+
+
+def store_and_validate(
+    df: DataFrame, table: str, rules: Rules, run_ts: str | None = None
+) -> Validation:
+    """Replace the rows of an existing table and validate them as they are written.
+
+    Rows take the table's schema first, so what is checked is what is stored.  The row-level
+    checks cost no scan; unique columns are read back, and nothing else is.
+    """
+    spark = df.sparkSession
+    rows = shaped(df, spark.table(table).schema)
+    results = materialise(check_while_writing(
+        rows, rules, lambda out: out.write.insertInto(table, overwrite=True), lambda: spark.table(table),
+    ).coalesce(1), "results")
+    return Validation(
+        spark.table(table), results, build_report(results),
+        build_summary(results, f"sql://{table}", run_ts), {})

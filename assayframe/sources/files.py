@@ -1,7 +1,9 @@
 """Text and table scans with the loader's missing-value and failure rules."""
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,26 @@ def _require(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(f"no input at {path}")
 
 
+# How every CSV file below a folder is found.
+_BELOW = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"}
+
+
+def _scan(spark: SparkSession, path: str | list[str], multi_line: bool = False, folder: bool = False) -> DataFrame:
+    # Broken rows must fail even when a query needs only some of their columns.
+    reader = spark.read.option("columnPruning", False).options(**_BELOW if folder else {})
+    return reader.csv(
+        path, header=True, quote='"', escape='"', mode="FAILFAST", multiLine=multi_line,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        nullValue="\x00none\x00", emptyValue="",
+        enforceSchema=False,  # a file whose header differs is an error, not other columns
+    )
+
+
+def _no_open_quotes(spark: SparkSession, path: str, folder: bool) -> None:
+    if not spark.read.text(path, **_BELOW if folder else {}).filter(OPEN_QUOTE).isEmpty():
+        raise UnreadableInput(f"{path} holds a line that ends inside a quoted cell")
+
+
 def read_text_table(
     spark: SparkSession, path: str, multi_line: bool = False, check: bool = True,
     folder: bool = False,
@@ -58,16 +80,7 @@ def read_text_table(
     if not folder and not str(path).rstrip("/").lower().endswith(".csv"):
         raise ValueError(f"unsupported file format: {path}; use CSV or a table")
     _require(spark, path)
-    # Broken rows must fail even when a query needs only some of their columns.
-    reader = spark.read.option("columnPruning", False)
-    if folder:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-    df = reader.csv(
-        path, header=True, quote='"', escape='"', mode="FAILFAST", multiLine=multi_line,
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        nullValue="\x00none\x00", emptyValue="",
-        enforceSchema=False,  # a file whose header differs is an error, not other columns
-    )
+    df = _scan(spark, path, multi_line, folder)
     if not df.columns:
         raise UnreadableInput(f"{path} has no header and no rows")
     if multi_line:
@@ -75,9 +88,7 @@ def read_text_table(
         df = df.withColumn(last, F.regexp_replace(named(last), "\r$", ""))
         df = df.withColumnRenamed(last, last.rstrip("\r"))
     if check and not multi_line:
-        options = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"} if folder else {}
-        if not spark.read.text(path, **options).filter(OPEN_QUOTE).isEmpty():
-            raise UnreadableInput(f"{path} holds a line that ends inside a quoted cell")
+        _no_open_quotes(spark, path, folder)
     return df.na.fill("")
 
 
@@ -125,10 +136,41 @@ def load_text(spark: SparkSession, path: str) -> DataFrame:
     return read_text_table(spark, path)
 
 
+# A scenario is a CSV file or a written CSV folder.
+_SCENARIO = r"/([^/]+)\.csv(/[^/]*)?$"
+
+
+def scenario_paths(spark: SparkSession, directory: str) -> list[str]:
+    """The CSV files and written CSV folders below a directory, from its listing alone."""
+    listed = spark.read.format("binaryFile").options(**_BELOW).load(directory).select("path")
+    own = F.concat(F.regexp_replace("path", _SCENARIO, "/"), F.regexp_extract("path", _SCENARIO, 1), F.lit(".csv"))
+    return sorted(row[0] for row in listed.select(own).distinct().collect())
+
+
 def load_scenarios(spark: SparkSession, directory: str, name: str = "scenario") -> DataFrame:
-    """Every CSV file (or written CSV folder) of a directory, labelled with its name."""
-    label = F.regexp_extract(F.expr(FILE_PATH), r"/([^/]+)\.csv(/[^/]*)?$", 1)
-    return with_nulls(read_text_table(spark, directory, folder=True).withColumn(name, label))
+    """Every CSV file (or written CSV folder) of a directory, labelled with its name.
+
+    Each is read by its own header, so the order of columns may differ, and a column that one
+    does not have is NULL in its rows.  Those with equal headers share a scan: there are as
+    many readers as there are headers.  The driver holds one path a scenario.  A part of a
+    written folder whose header differs from its first part is an error.  Scenarios without
+    a header have no rows; when none has one, that is an error.
+    """
+    _require(spark, directory)
+    by_header: dict[tuple, list[str]] = {}
+    for path in scenario_paths(spark, directory):
+        literal = re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
+        header = tuple(_scan(spark, literal, folder=True).columns)
+        if header:
+            by_header.setdefault(header, []).append(literal)
+    if not by_header:
+        raise UnreadableInput(f"{directory} holds no CSV file with a header")
+    _no_open_quotes(spark, directory, folder=True)
+    label = F.regexp_extract(F.expr(FILE_PATH), _SCENARIO, 1)
+    frames = [_scan(spark, paths, folder=True).na.fill("").withColumn(name, label)
+              for paths in by_header.values()]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return with_nulls(merged.select(*[named(c) for c in merged.columns if c != name], name))
 
 
 def load_table(

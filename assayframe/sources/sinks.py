@@ -38,22 +38,24 @@ def drop_tables(spark: SparkSession, schemas: dict[str, T.StructType]) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a schema in its types; those that the frame lacks are NULL."""
+    have = set(df.columns)
+    return df.select(*[
+        (named(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ])
+
+
 def replace_rows(df: DataFrame, table: str, append: bool = False) -> int:
     """Fill an existing table, keeping its schema; loading twice does not duplicate.
 
     The row count comes from the write itself.
     """
-    spark = df.sparkSession
-    target = spark.table(table).schema
-    have = set(df.columns)
-    shaped = df.select(*[
-        (named(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in target.fields
-    ])
     from pyspark.sql import Observation
 
     seen = Observation()
-    shaped.observe(seen, F.count(F.lit(1)).alias("rows")).write.insertInto(
+    shaped(df, df.sparkSession.table(table).schema).observe(seen, F.count(F.lit(1)).alias("rows")).write.insertInto(
         table, overwrite=not append)
     return seen.get["rows"]
 

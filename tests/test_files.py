@@ -7,7 +7,7 @@ import pytest
 from assayframe.operators.report import build_summary
 from assayframe.operators.checks import run_checks
 from assayframe.plans import history
-from assayframe.plans.validate import validate_source
+from assayframe.plans.validate import store_and_validate, validate_frame, validate_source
 from assayframe.rules import Config, DatasetSettings, Rules
 from assayframe.sources import files, sinks
 from assayframe.streaming.revalidate import batch_history, revalidate
@@ -255,3 +255,58 @@ def test_files_with_another_column_order_are_refused(spark, tmp_path):
     (tmp_path / "b.csv").write_text("country,id,name\nFR,3,Gamma\n")
     with pytest.raises(Exception):
         files.read_text_table(spark, str(tmp_path), folder=True).collect()
+
+
+def test_scenarios_are_read_by_their_own_headers(spark, tmp_path):
+    csv(tmp_path, "id,name\n1,Acme\n", "a.csv")
+    csv(tmp_path, "name,id\nBeta,2\n,3\n", "b {x}, [y].csv")
+    csv(tmp_path, "id,extra\n4,more\n", "c.csv")
+    csv(tmp_path, "", "empty.csv")
+    folder = tmp_path / "d.csv"
+    folder.mkdir()
+    csv(folder, "id,name\n5,Delta\n", "part-0.csv")
+    csv(folder, "id,name\n6,Echo\n", "part-1.csv")
+    df = files.load_scenarios(spark, str(tmp_path))
+    assert sorted(df.columns) == ["extra", "id", "name", "scenario"]
+    rows = sorted(df.select("scenario", "id", "name", "extra").collect())
+    assert [tuple(r) for r in rows] == [
+        ("a", "1", "Acme", None), ("b {x}, [y]", "2", "Beta", None), ("b {x}, [y]", "3", None, None),
+        ("c", "4", None, "more"), ("d", "5", "Delta", None), ("d", "6", "Echo", None)]
+    scans = df._jdf.queryExecution().executedPlan().toString().count("FileScan csv")
+    assert scans == 3  # one a header, not one a file
+
+
+def test_a_part_with_another_header_is_an_error(spark, tmp_path):
+    folder = tmp_path / "d.csv"
+    folder.mkdir()
+    csv(folder, "id,name\n5,Delta\n", "part-0.csv")
+    csv(folder, "name,id\nEcho,6\n", "part-1.csv")
+    with pytest.raises(Exception, match="header"):
+        files.load_scenarios(spark, str(tmp_path)).collect()
+
+
+def test_scenarios_without_any_header(spark, tmp_path):
+    csv(tmp_path, "", "empty.csv")
+    with pytest.raises(files.UnreadableInput):
+        files.load_scenarios(spark, str(tmp_path))
+
+
+def test_rows_are_checked_while_they_are_stored(spark):
+    schema = spark.createDataFrame([], "id bigint, name string, amount double, extra date").schema
+    rows = [(1, "a", 1.0), (2, None, -3.0), (2, "c", None), (None, "d", 5.0)]
+    rules = Rules(
+        required_columns=("id", "absent"), non_null_columns=("name", "extra"), unique_columns=("id",),
+        positive_numeric_columns=("amount",), allowed_values={"name": ("a", "c")}, null_thresholds={"id": 0.2})
+    sinks.create_tables(spark, {"checked_rows": schema})
+    try:
+        df = spark.createDataFrame(rows, "id int, name string, amount double")
+        for _ in range(2):  # a second load replaces the rows of the first
+            run = store_and_validate(df, "checked_rows", rules)
+        plain = validate_frame(spark.table("checked_rows"), rules)
+        assert run.report.collect() == plain.report.collect()
+        assert spark.table("checked_rows").count() == 4
+        empty = store_and_validate(df.filter("id < 0"), "checked_rows", rules)
+        assert empty.report.collect() == validate_frame(spark.table("checked_rows"), rules).report.collect()
+        assert spark.table("checked_rows").count() == 0
+    finally:
+        sinks.drop_tables(spark, {"checked_rows": schema})

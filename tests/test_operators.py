@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assayframe.functions import keys, parse, text
 from assayframe.operators import inject, lookups, repair
-from assayframe.operators.frequency import distinct_beside_count, latest_per_key
+from assayframe.operators.frequency import distinct_beside_count, latest_per_key, step_change
 from assayframe.operators.repair import RepairPlan
 from assayframe.operators.rowid import head, mark_repeats, occurrence, with_row_id
 from assayframe.plans import coverage, ladder
@@ -329,3 +329,27 @@ def test_rows_without_any_key_are_spread_without_hot_keys(spark, how):
         assert "hashpartitioning(k" in plan and "_salt" in plan.split("hashpartitioning(k")[1][:40]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_changes_over_many_ranges_are_those_of_one_window(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, *range(900)]), rng.choice([None, 1.25, 7.5, 100.0]), i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "at int, score double, n int").repartition(6, "n")
+    wanted = {"score": "score_delta", "n": "n_delta"}
+    ranged, single = (step_change(df, "at", wanted, **how) for how in ({"partitions": 13}, {"few": True}))
+    found = sorted(map(tuple, ranged.collect()), key=lambda r: r[2])
+    assert found == sorted(map(tuple, single.collect()), key=lambda r: r[2])
+    plan = ranged._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(_range" in plan and "windowspecdefinition(at" not in plan
+    stored = ranged.select(F.spark_partition_id()).distinct().count()
+    assert stored > 1
+    assert step_change(df.filter("n < 0"), "at", wanted).count() == 0
+    one = step_change(df.filter("n = 7"), "at", wanted).collect()
+    assert [(r.score_delta, r.n_delta) for r in one] == [(0.0, 0)]
+
+
+def test_order_values_that_repeat_stay_in_one_range(spark):
+    df = spark.createDataFrame([(1, 10.0), (5, 30.0), (5, 20.0), (9, 50.0)], "at int, v double")
+    found = step_change(df, "at", {"v": "d"}, partitions=4).collect()
+    assert sorted((r.at, r.v, r.d) for r in found) == [
+        (1, 10.0, 0.0), (5, 20.0, 10.0), (5, 30.0, 10.0), (9, 50.0, 20.0)]
