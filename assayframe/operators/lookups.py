@@ -46,6 +46,16 @@ def lookup_join(
     Salts come from the row's own values, so a repeated task sends every row where it
     went before.  A side is broadcast only when the optimizer's size estimate allows it.
     """
+    return lookup_joins(left, [right], key, how, hot_keys)
+
+
+def lookup_joins(
+    left: DataFrame, rights: Sequence[DataFrame], key: str, how: str, hot_keys: Sequence = ()
+) -> DataFrame:
+    """``lookup_join`` with several tables of one key, one after the other.
+
+    The rows are salted once, so all joins that shuffle use one shuffle of ``left``.
+    """
     hashable = [
         named(f.name) for f in left.schema.fields
         if f.name != key and "map<" not in f.dataType.simpleString()
@@ -59,11 +69,13 @@ def lookup_join(
         hot = named(key).isin(*hot_keys)
         salt = salt.when(hot, F.pmod(hashed, F.lit(hot_spread)).cast("int"))
         copies = F.when(hot, F.sequence(F.lit(0), F.lit(hot_spread - 1))).otherwise(copies)
-    salted = left.withColumn("_salt", salt.otherwise(0))
-    matches = right.filter(named(key).isNotNull())
-    # Exploded even where it is always 0: a constant would be folded out of the join keys.
-    matches = matches.withColumn("_salt", F.explode(copies))
-    return salted.join(matches, [key, "_salt"], how).drop("_salt")
+    joined = left.withColumn("_salt", salt.otherwise(0))
+    for right in rights:
+        matches = right.filter(named(key).isNotNull())
+        # Exploded even where it is always 0: a constant would be folded out of the join keys.
+        matches = matches.withColumn("_salt", F.explode(copies))
+        joined = joined.join(matches, [key, "_salt"], how)
+    return joined.drop("_salt")
 
 
 def with_flag(

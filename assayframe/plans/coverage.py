@@ -18,7 +18,7 @@ from assayframe.columns import named, present
 from assayframe.functions import dates, keys, text
 from assayframe.functions.parse import blank_to_null, date_from_text_key, zero_text_to_null
 from assayframe.operators.frequency import distributions, latest_per_key, share_of_group
-from assayframe.operators.lookups import lookup_join, with_flag, without_match
+from assayframe.operators.lookups import lookup_join, lookup_joins, with_flag, without_match
 from assayframe.sources.sinks import replace_rows, stamp, write_csv
 
 JOIN_KEY = "join_key"
@@ -153,17 +153,21 @@ def unmatched(base: DataFrame, known: DataFrame, hot_keys: Sequence = (), **key_
 
 def combined_registry(identity: DataFrame, risk: DataFrame, links: DataFrame,
                       dedupe: bool = False) -> DataFrame:
-    """The three enrichment inputs in one table, so that the base is joined once.
+    """The three enrichment inputs in one table, to be stored and looked up later.
 
     ``dedupe`` keeps one identity row per key; otherwise several identity rows
     multiply the entity as they do in a direct join.
     """
+    known = _known_identity(identity, dedupe)
+    return known.join(risk, JOIN_KEY, "full").join(links, JOIN_KEY, "full")
+
+
+def _known_identity(identity: DataFrame, dedupe: bool) -> DataFrame:
     if dedupe:
         rest = [c for c in identity.columns if c != JOIN_KEY]
         identity = identity.groupBy(JOIN_KEY).agg(
             F.min(F.struct(*map(named, rest))).alias("_row")).select(JOIN_KEY, "_row.*")
-    marked = identity.withColumn("_known", F.lit(True))
-    return marked.join(risk, JOIN_KEY, "full").join(links, JOIN_KEY, "full")
+    return identity.withColumn("_known", F.lit(True))
 
 
 def enriched(base: DataFrame, identity: DataFrame, risk: DataFrame, links: DataFrame,
@@ -171,10 +175,11 @@ def enriched(base: DataFrame, identity: DataFrame, risk: DataFrame, links: DataF
     """The base with flag and 25 registry columns; unmatched entities have NULLs.
 
     ``in_registry_flag`` means the registry knows the key, ``has_risk_flag`` that a
-    risk score was found; the two can differ.
+    risk score was found; the two can differ.  ``dedupe`` is that of ``combined_registry``.
+    The base is joined to each input on one key and one shuffle of its own, without a full join.
     """
-    registry = combined_registry(identity, risk, links, dedupe)
-    joined = lookup_join(with_join_key(base, **key_options), registry, JOIN_KEY, "left", hot_keys)
+    sides = [_known_identity(identity, dedupe), risk, links]
+    joined = lookup_joins(with_join_key(base, **key_options), sides, JOIN_KEY, "left", hot_keys)
     return joined.select(
         *base.columns,
         F.when(F.col("_known"), "Y").otherwise("N").alias(FLAG),

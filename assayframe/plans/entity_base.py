@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from assayframe.columns import named
 from assayframe.functions import classes, dates, keys, text
 from assayframe.functions.parse import blank_to_null, date_from_key
-from assayframe.operators.lookups import lookup_join
+from assayframe.operators.lookups import lookup_join, lookup_joins
 
 MONEY = "decimal(20,2)"
 
@@ -179,10 +179,9 @@ def contract_base(
         payments.filter(F.col("currency") != no_currency), "contract_key", reporting_date)
     vat = keys.strip_prefix(F.col("vat_number"), id_prefix)
     kvk = keys.strip_prefix(F.col("kvk_number"), id_prefix)
-    # Terms and activity meet first: the contracts are shuffled once per key.
-    per_contract = terms.join(active, "contract_key", "full")
-    joined = lookup_join(
-        lookup_join(contracts, companies, "company_key", "left"), per_contract, "contract_key", "left")
+    # Left joins, not a full join of terms and activity: only these can be split under skew.
+    joined = lookup_joins(
+        lookup_join(contracts, companies, "company_key", "left"), [terms, active], "contract_key", "left")
     return joined.select(
         F.lit(source).alias("source"),
         keys.entity_key(F.lit(source), F.col("contract_id")).alias("entity_key"),

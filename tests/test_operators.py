@@ -130,6 +130,24 @@ def test_hot_keys_are_found_and_change_no_result(spark):
             assert sorted(map(str, mine.select(left.join(right, "key", how).columns).collect())) == plain
 
 
+def test_several_lookups_shuffle_the_left_rows_once(spark):
+    left, right = hot_tables(spark)
+    other = right.select("key", F.lit(7).alias("other"))
+    plain = left.join(right, "key", "left").join(other, "key", "left")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for hot in ([], ["hot"]):
+            joined = lookups.lookup_joins(left, [right, other], "key", "left", hot)
+            text = joined._jdf.queryExecution().executedPlan().toString()
+            assert text.count("Exchange hashpartitioning") == 3
+            assert sorted(map(str, joined.select(plain.columns).collect())) == sorted(
+                map(str, plain.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_rows_without_key_are_spread(spark):
     left, right = hot_tables(spark)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
