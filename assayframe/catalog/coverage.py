@@ -47,9 +47,19 @@ def _rich(spark, sf, **options):
         **options)
 
 
-def _sample_lookup(spark, sf):
+def _sample_run(spark, sf):
+    """A coverage run against a lookup sampled from the entities, base and lookup stored once.
+
+    The key is stored beside the base: a filter on a derived key would work it out many times.
+    Rows are dealt out first, since a small file of many rows is read by a few tasks.
+    """
+    keyed = materialise(coverage.with_join_key(_base(spark, sf).repartition("entity_key")), "keyed")
+    lookup = materialise(_sample_lookup(keyed), "lookup")
+    return coverage.run_coverage(keyed.drop(coverage.JOIN_KEY), lookup, RUN_TS)
+
+
+def _sample_lookup(base):
     """A lookup sampled from the entities themselves, at each source's own rate."""
-    base = coverage.with_join_key(_base(spark, sf))
     picked = keys.in_hash_sample(
         F.col(coverage.JOIN_KEY), F.col("source"), {"TERMINAL": 0.714}, 0.353)
     rows = base.filter(picked).select(
@@ -78,13 +88,12 @@ def _split(spark, sf):
 
 
 def _coverage_run(spark, sf, part):
-    run = coverage.run_coverage(_base(spark, sf), _sample_lookup(spark, sf), RUN_TS)
-    return getattr(run, part)
+    return getattr(_sample_run(spark, sf), part)
 
 
 def _stored(spark, sf):
     """Rows written to the output tables of a coverage run, loaded twice."""
-    run = coverage.run_coverage(_base(spark, sf), _sample_lookup(spark, sf), RUN_TS)
+    run = _sample_run(spark, sf)
     suffix = uuid.uuid4().hex[:8]
     names = {part: f"coverage_{part}_{suffix}" for part in run._fields}
     schemas = {names[part]: getattr(run, part).schema for part in run._fields}

@@ -19,6 +19,7 @@ from assayframe.functions import dates, keys, text
 from assayframe.functions.parse import blank_to_null, date_from_text_key, zero_text_to_null
 from assayframe.operators.frequency import distributions, latest_per_key, share_of_group
 from assayframe.operators.lookups import lookup_join, lookup_joins, with_flag, without_match
+from assayframe.session import materialise
 from assayframe.sources.sinks import replace_rows, stamp, write_csv
 
 JOIN_KEY = "join_key"
@@ -318,14 +319,17 @@ def require_rows(df: DataFrame, what: str) -> None:
 def run_coverage(base: DataFrame, lookup: DataFrame, run_ts: str) -> Coverage:
     """Flag, enrichment and summary of a base against a combined lookup.
 
-    Empty inputs are an error.  Every output row carries the same run time.
+    Empty inputs are an error.  Every output row carries the same run time.  The flagged
+    base is stored once, and all outputs start from it however often they are written;
+    ``lookup`` is read for the check, the flag and each use of the enriched table, so a
+    derived one should be stored before.
     """
     require_rows(base, "the entity base")
     require_rows(lookup, "the registry lookup")
-    flag = flagged(base, lookup)
+    flag = materialise(flagged(base, lookup), "flagged")
     return Coverage(
         stamp(flag, run_ts),
-        stamp(enrich_from_lookup(base, lookup), run_ts),
+        stamp(enrich_from_lookup(flag.select(*map(named, base.columns)), lookup), run_ts),
         stamp(match_summary(flag), run_ts),
     )
 
