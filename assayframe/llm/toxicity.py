@@ -110,14 +110,36 @@ class Vectors:
         self.idf = np.log((1.0 + documents) / (1.0 + df)) + 1.0
         if evidence is not None:
             self.idf = self.idf * evidence
+        self.first = self.ended = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"first": None, "ended": None}  # made again where it is used
+
+    def _prepare(self) -> None:
+        """Where the terms of each leading bit pattern begin: hashes are even, so about one of each."""
+        bits = len(self.vocabulary).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        heads = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.first = np.searchsorted(self.vocabulary, heads).astype(np.int32)
+        self.ended = np.append(self.vocabulary, np.uint64(2**64 - 1))
+
+    def numbers(self, found: np.ndarray) -> np.ndarray:
+        """The place of each hash in the vocabulary, or of the next one above it."""
+        if self.first is None:
+            self._prepare()
+        term = self.first.take((found >> self.shift).view(np.int64)).astype(np.int64)
+        late = np.flatnonzero(self.ended.take(term) < found)
+        while len(late):
+            term[late] += 1
+            late = late[self.ended.take(term[late]) < found[late]]
+        return term
 
     def of(self, column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         """Term numbers and weights of every text."""
         size = max(1, len(self.vocabulary))
         found, row = terms(column)
-        term = np.searchsorted(self.vocabulary, found)
-        real = term < len(self.vocabulary)
-        real[real] = self.vocabulary[term[real]] == found[real]
+        term = self.numbers(found)
+        real = np.flatnonzero((self.ended.take(term) == found) & (term < len(self.vocabulary)))
         key, count = np.unique(row[real] * size + term[real], return_counts=True)
         row, term = key // size, key % size
         weight = (1.0 + np.log(count)) * self.idf[term] if len(key) else np.zeros(0)
@@ -129,8 +151,8 @@ class Vectors:
 
 def _stretches(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The places of stretches one after the other, and their sizes."""
-    end = np.cumsum(size, dtype=np.int32)
-    at = np.arange(end[-1] if len(end) else 0, dtype=np.int32)
+    end = np.cumsum(size)
+    at = np.arange(end[-1] if len(end) else 0)
     at += np.repeat(start - (end - size), size)
     return at, size
 
@@ -209,16 +231,18 @@ class BlockMaxIndex:
         new = np.ones(len(term), bool)
         new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
         first = np.flatnonzero(new)
-        self.entry_start = np.append(first, len(term)).astype(np.int32)
+        self.entry_start = np.append(first, len(term))
+        self.entry_size = np.diff(self.entry_start)
         self.entries = _paired(block[first], np.maximum.reduceat(weight, first) if len(first) else np.zeros(0, np.float32))
-        self.term_entry = np.searchsorted(term[first], np.arange(self.size + 1)).astype(np.int32)
+        self.term_entry = np.searchsorted(term[first], np.arange(self.size + 1))
+        self.term_entries = np.diff(self.term_entry)
         self.inverted = True
 
     def _rare(self, entries: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """What the postings of some entries add to each example, in order of terms."""
-        start = self.entry_start[entries]
-        at, size = _stretches(start, self.entry_start[entries + 1] - start)
-        example, weight = _parts(self.postings[at])
+        # ``take`` with places of the machine's own width: numpy copies others first
+        at, size = _stretches(self.entry_start.take(entries), self.entry_size.take(entries))
+        example, weight = _parts(self.postings.take(at))
         return np.bincount(example, np.repeat(weights, size) * weight, len(self.ids))
 
     def nearest_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int,
@@ -240,23 +264,24 @@ class BlockMaxIndex:
     def _nearest(self, term: np.ndarray, weight: np.ndarray, k: int, exact: np.ndarray, most: np.ndarray,
                  not_id) -> tuple[np.ndarray, np.ndarray]:
         n = len(self.ids)
-        rare = self.place[term] < 0
-        first, last = self.term_entry[term[rare]], self.term_entry[term[rare] + 1]
-        entries, size = _stretches(first, last - first)
+        rare = np.flatnonzero(self.place[term] < 0)
+        listed = term[rare].astype(np.int64)
+        entries, size = _stretches(self.term_entry.take(listed), self.term_entries.take(listed))
         weights = np.repeat(weight[rare].astype(np.float32), size)
-        block, most_of = _parts(self.entries[entries])
+        block, most_of = _parts(self.entries.take(entries))
+        block = block.astype(np.int64)
         bound = most + np.bincount(block, weights * most_of, self.blocks) + SLACK
         ahead = min(self.blocks, max(1, 4 * k // self.block))
         chosen = np.zeros(self.blocks, bool)
         chosen[np.argpartition(-bound, ahead - 1)[:ahead]] = True
         held, rest, kth = np.zeros(0, np.int64), np.zeros(0), 0.0
         while True:
-            here = chosen[block]
+            here = np.flatnonzero(chosen.take(block))
             inside = (np.flatnonzero(chosen)[:, None] * self.block + np.arange(self.block)).ravel()
             inside = inside[inside < n]
             if not_id is not None:
                 inside = inside[self.ids[inside] != not_id]
-            held, rest = np.append(held, inside), np.append(rest, self._rare(entries[here], weights[here])[inside])
+            held, rest = np.append(held, inside), np.append(rest, self._rare(entries.take(here), weights.take(here))[inside])
             self.scored_blocks += int(chosen.sum())
             bound[chosen] = -1.0
             total = exact[held] + rest
@@ -269,7 +294,8 @@ class BlockMaxIndex:
         held = held[good]
         # once more in double precision, so that cosines do not depend on the batch
         own = np.zeros(self.matrix.shape[1])
-        own[self.place[term[~rare]]] = weight[~rare]
+        place = self.place[term]
+        own[place[place >= 0]] = weight[place >= 0]
         score = np.round((self.matrix[held] * own).sum(axis=1) + rest[good], 12)
         # 1e-12: equal cosines may be rounded apart
         held, score = held[score > 1e-12], score[score > 1e-12]

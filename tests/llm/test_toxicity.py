@@ -101,3 +101,24 @@ def test_rare_and_clean_words_count(spark):
     by_id = {r["doc_id"]: r for r in rows}
     assert by_id[30_001]["evidence"][0]["doc_id"] == rare[0] and by_id[30_001]["score"] > by_id[30_002]["score"]
     assert by_id[30_002]["evidence"][0]["doc_id"] == rare[1]
+
+
+def test_terms_are_found_without_a_search_for_each_occurrence(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = pa.array([" ".join(f"w{k}" for k in rng.integers(0, 900, 200)) for _ in range(20)] + ["", None])
+    vocabulary = np.unique(terms(texts.slice(0, 10))[0])
+    vectors = Vectors(vocabulary, np.ones(len(vocabulary)), 10)
+    edge = np.array([0, 1, 2**63, 2**64 - 2, 2**64 - 1], np.uint64)
+    for known in (vocabulary, np.unique(np.append(vocabulary, edge)), np.arange(2**63, 2**63 + 500, dtype=np.uint64), edge[:1]):
+        asked = np.concatenate([vocabulary, edge, known + np.uint64(1), rng.integers(0, 2**64, 500, np.uint64)])
+        assert (Vectors(known, np.ones(len(known)), 1).numbers(asked) == np.searchsorted(known, asked)).all()
+    want, needles, search = vectors.of(texts), [], np.searchsorted
+
+    def counted(a, v, *more, **named):
+        needles.append((len(a), np.size(v)))
+        return search(a, v, *more, **named)
+
+    monkeypatch.setattr(np, "searchsorted", counted)
+    found = vectors.of(texts)
+    assert not [n for size, n in needles if size == len(vocabulary) and n > len(texts) + 1]
+    assert all((a == c).all() and (b == d).all() for (a, b), (c, d) in zip(want, found))
